@@ -78,3 +78,7 @@ for _v in ("1.0.0", "2.0.0", "3.0.0"):
                                          _doubles(G.CUSTOMER_COLUMNS[_m], "c")))(_gen_customer(_v))
     register(f"gen_credit_v{_m}", rsql(O.credit_sql(O.ORDER_IDS, _v),
                                        _doubles(G.CREDIT_COLUMNS[_m], "f")))(_gen_credit(_v))
+
+
+# Query modules register themselves on import.
+from . import snapshot_queries  # noqa: E402,F401

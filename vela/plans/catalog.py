@@ -84,3 +84,4 @@ for _v in ("1.0.0", "2.0.0", "3.0.0"):
 from . import snapshot_queries  # noqa: E402,F401
 from . import model_queries  # noqa: E402,F401
 from . import registry_queries  # noqa: E402,F401
+from . import lineage_queries  # noqa: E402,F401

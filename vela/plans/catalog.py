@@ -85,3 +85,4 @@ from . import snapshot_queries  # noqa: E402,F401
 from . import model_queries  # noqa: E402,F401
 from . import registry_queries  # noqa: E402,F401
 from . import lineage_queries  # noqa: E402,F401
+from . import ml_queries  # noqa: E402,F401

@@ -316,3 +316,18 @@ def namespace_summary(spark: SparkSession, sf: str) -> DataFrame:
         L.run_io(ev).select(F.col("namespace").alias("ns"))).distinct()
     return ns.agg(F.count(F.lit(1)).alias("namespaces"),
                   F.array_join(F.array_sort(F.collect_list("ns")), ",").alias("names"))
+
+
+# ------------------------------------------------------- L1 streaming ---
+@register("lineage_stream")
+def lineage_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Event files ingested by a stream (watermarked de-duplication) into a typed table."""
+    src, sink, ck = (scratch_path(spark, n) for n in ("lineage-src", "lineage-typed", "lineage-ckpt"))
+    raw_fixture(TB.table(spark, sf, "events")).drop("_corrupt_record").write.json(src)
+    ev = L.read_events_stream(spark, src)
+    flat = ev.select("run_id", "event_type", "event_time", "job_name",
+                     F.size("inputs").alias("n_inputs"), F.size("outputs").alias("n_outputs"))
+    q = (flat.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ck)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(sink)

@@ -75,9 +75,11 @@ def read_events_stream(spark: SparkSession, path: str, watermark: str = "1 hour"
     """
     raw = (spark.readStream.schema(RAW_EVENT).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
-    ev = typed_events(raw).where(F.col("error").isNull())
-    return ev.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(
-        ["run_id", "event_type", "event_time"])
+    from ..streaming.scoring import ntz_to_instant
+
+    ev = typed_events(raw).where(F.col("error").isNull()).withColumn("_wm", ntz_to_instant(F.col("event_time")))
+    return (ev.withWatermark("_wm", watermark)
+            .dropDuplicatesWithinWatermark(["run_id", "event_type", "event_time"]).drop("_wm"))
 
 
 def dedupe(ev: DataFrame) -> DataFrame:

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import ensure_checkpoint_dir
+
 
 def _b(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("boolean")
@@ -55,6 +57,10 @@ def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -
     per = (df.where(F.col(score).isNotNull())
            .groupBy(F.col(score).cast("double").alias("s"))
            .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
+    # The distinct-score table feeds three passes (quantiles, bucket totals,
+    # running counts): materialise it once in the shared checkpoint folder.
+    ensure_checkpoint_dir(spark)
+    per = per.checkpoint(eager=True)
     if buckets > 1:
         cuts = sorted(set(per.approxQuantile("s", [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets))))
     else:

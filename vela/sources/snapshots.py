@@ -12,9 +12,12 @@ plus the new one, so no data is copied.  A failed write leaves an ``error``
 row that every reader skips, and the error is re-raised.  One writer per
 table; ids are ``max + 1`` from the log.
 
-Statistics (row count, per-column null counts) come from an ``Observation``
-attached to the write itself, so there is no second pass over the data;
-file count and bytes come from a file-system summary of the new folder.
+Statistics (row count, per-column null counts) are answered from the new
+files' Parquet footers (aggregate pushdown: COUNT(*) and COUNT(col) read
+row-group statistics, not data pages), so they cost a metadata scan, not a
+second pass over the data; file count and bytes come from a file-system
+listing of the new folder.  (An ``Observation`` would avoid even that, but
+it leaves the session unable to serialise Spark ML models afterwards.)
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ import json
 import traceback
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -98,6 +101,20 @@ class SnapshotCatalog:
         fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
         return bool(fs.exists(p))
 
+    def _footer_stats(self, path: str, schema: T.StructType) -> tuple[int, dict[str, int]]:
+        """Row count and per-column null counts from Parquet footers."""
+        key = "spark.sql.parquet.aggregatePushdown"
+        old = self.spark.conf.get(key, "false")
+        self.spark.conf.set(key, "true")
+        try:
+            cols = schema.fieldNames()
+            row = (self.spark.read.schema(schema).parquet(path)
+                   .agg(F.count(F.lit(1)).alias("__rows"), *[F.count(F.col(c)).alias(c) for c in cols]).first())
+        finally:
+            self.spark.conf.set(key, old)
+        n = int(row["__rows"])
+        return n, {c: n - int(row[c]) for c in cols}
+
     def _summary(self, path: str) -> tuple[int | None, int | None]:
         jvm = getattr(self.spark, "_jvm", None)
         if jvm is None:
@@ -176,9 +193,6 @@ class SnapshotCatalog:
         sid, prev = self._next_id(ident)
         path = f"{self._table_dir(ident)}/snapshot-{sid:08d}"
         partition_by = list(partition_by or [])
-        obs = Observation(f"snapshot_{uuid.uuid4().hex[:8]}")
-        metrics: list[Column] = [F.count(F.lit(1)).alias("rows")]
-        metrics += [F.count_if(F.col(c).isNull()).alias(f"nulls::{c}") for c in df.columns]
         run = None
         if self.lineage is not None:
             run = self.lineage.start(f"write_{ident}", inputs=[], facets={"mode": mode})
@@ -187,7 +201,7 @@ class SnapshotCatalog:
                 "schema_json": df.schema.json(), "partition_cols": partition_by,
                 "properties": {k: str(v) for k, v in (properties or {}).items()}}
         try:
-            writer = df.observe(obs, *metrics).write.mode("errorifexists")
+            writer = df.write.mode("errorifexists")
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
             writer.parquet(path)
@@ -197,9 +211,7 @@ class SnapshotCatalog:
             if run is not None:
                 self.lineage.fail(run, exc)
             raise
-        got = obs.get
-        added = int(got.get("rows", 0))
-        nulls = {c: int(got.get(f"nulls::{c}", 0)) for c in df.columns}
+        added, nulls = self._footer_stats(path, df.schema)
         files, size = self._summary(path)
         dirs = [path]
         total = added

@@ -100,3 +100,22 @@ def test_split_run_repair(spark):
                                " job_name string, error string")
     got = [(r.start_run_id, r.end_run_id, r.status) for r in L.repair_split_runs(ev).orderBy("started_at").collect()]
     assert got == [("a", "b", "COMPLETE"), ("c", "d", "FAIL")]
+
+
+def test_sequence_and_next_within_match_plain_windows_on_hot_key(spark):
+    from pyspark.sql.window import Window
+
+    from vela.operators.sequence import next_within, sequence_within
+
+    # key 0 holds ~half of all rows, with tied timestamps broken by id
+    df = spark.range(0, 4000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 37).alias("k"),
+        (F.col("id") % 701).alias("t"), F.col("id"))
+    w = Window.partitionBy("k").orderBy("t", "id")
+    want = {(r.id, r.rn, r.nxt) for r in df.select("id", (F.row_number().over(w) - 1).alias("rn"),
+                                                    F.lead("id").over(w).alias("nxt")).collect()}
+    seq = sequence_within(df, ["k"], "t", ["id"], out="rn", buckets=8)
+    nxt = next_within(df, ["k"], "t", ["id"], ["id"], buckets=8)
+    got_rn = {r.id: r.rn for r in seq.collect()}
+    got_nx = {r.id: r.next_id for r in nxt.collect()}
+    assert {(i, got_rn[i], got_nx[i]) for i in got_rn} == want

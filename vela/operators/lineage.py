@@ -24,7 +24,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
+
+from .sequence import next_within
 
 FACETS = T.MapType(T.StringType(), T.StringType())
 DATASET = T.StructType([
@@ -112,12 +113,14 @@ def repair_split_runs(ev: DataFrame) -> DataFrame:
     START (a known emitter bug).  Returns (start_run_id, end_run_id, job,
     status, started_at, ended_at).
     """
-    good = ev.where(F.col("error").isNull())
-    w = Window.partitionBy("job_namespace", "job_name").orderBy("event_time", "run_id")
-    nxt = good.select(
-        "job_namespace", "job_name", "run_id", "event_type", "event_time",
-        F.lead("event_type").over(w).alias("next_type"), F.lead("run_id").over(w).alias("next_run"),
-        F.lead("event_time").over(w).alias("next_time"))
+    good = ev.where(F.col("error").isNull()).select("job_namespace", "job_name", "run_id", "event_type",
+                                                    "event_time")
+    # lead(...) over (partition by job order by event_time, run_id), split by time bucket so a
+    # job holding most events does not become one task
+    nxt = next_within(good, ["job_namespace", "job_name"], "event_time", ["run_id"],
+                      ["event_type", "run_id", "event_time"])
+    nxt = nxt.withColumnRenamed("next_event_type", "next_type").withColumnRenamed(
+        "next_run_id", "next_run").withColumnRenamed("next_event_time", "next_time")
     return nxt.where((F.col("event_type") == "START") & F.col("next_type").isin(*TERMINAL)).select(
         F.col("run_id").alias("start_run_id"), F.col("next_run").alias("end_run_id"), "job_namespace", "job_name",
         F.col("next_type").alias("status"), F.col("event_time").alias("started_at"),
@@ -158,6 +161,21 @@ def dataset_versions(io: DataFrame) -> DataFrame:
                                    F.max("version").alias("max_version"), F.max("format").alias("format"))
 
 
+def model_facets(ev: DataFrame, io: DataFrame) -> DataFrame:
+    """Facets of runs that write a model, long form (model, version, run, kind, key, value).
+
+    START facets are the run's hyperparameters, COMPLETE facets its metrics,
+    FAIL facets its error; one row per facet key per event.
+    """
+    models = io.where((F.col("side") == "output") & (dataset_kind("name") == "model")).select(
+        "run_id", F.col("name").alias("model"), F.col("facets").getItem("version").alias("version"))
+    kv = ev.where(F.col("error").isNull()).select(
+        "run_id", F.when(F.col("event_type") == "START", F.lit("hyperparameter"))
+        .when(F.col("event_type") == "COMPLETE", F.lit("metric")).otherwise(F.lit("status")).alias("kind"),
+        F.explode("job_facets").alias("key", "value"))
+    return models.join(kv, "run_id").select("model", "version", "run_id", "kind", "key", "value")
+
+
 def run_kinds(io: DataFrame, all_runs: DataFrame) -> DataFrame:
     """Generation (outputs only) / transformation (both) / sink / other."""
     sides = io.groupBy("run_id").agg(

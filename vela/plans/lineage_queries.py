@@ -17,9 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from ..operators import lineage as L
+from ..operators.sequence import sequence_within
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import tables as TB
 from .catalog import register, round_doubles
@@ -31,9 +31,9 @@ def _ns(layer: Column) -> Column:
 
 def raw_fixture(events: DataFrame) -> DataFrame:
     """Events table -> DM9-shaped raw rows (what a JSON reader would give)."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    b = events.select("event_id", "ts", "user_id", "event_type", "props",
-                      (F.row_number().over(w) - 1).alias("rn"))
+    # rn = row_number() over (partition by user_id order by ts, event_id) - 1, computed skew-safe
+    b = sequence_within(events.select("event_id", "ts", "user_id", "event_type", "props"),
+                        ["user_id"], "ts", ["event_id"], out="rn")
     k, i = F.col("user_id") % 4, F.col("user_id") % 30
     j = (F.lit(2) * i + F.col("event_id") % 2) % 30
     et = (F.when(F.col("rn") % 2 == 0, F.lit("START")).when(F.col("event_type") == "error", F.lit("FAIL"))
@@ -331,3 +331,15 @@ def lineage_stream(spark: SparkSession, sf: str) -> DataFrame:
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(sink)
+
+
+# ----------------------------------------------------------------- L8 ---
+@register("lineage_model_facets", _q(
+    ", m AS (SELECT run_id, out_name AS model, arg_max(out_version, event_time) AS version FROM ev"
+    " WHERE has_output AND out_ns = 'model' GROUP BY run_id, out_name)"
+    " SELECT m.model, m.version, m.run_id, CASE WHEN e.event_type = 'START' THEN 'hyperparameter'"
+    " WHEN e.event_type = 'COMPLETE' THEN 'metric' ELSE 'status' END AS kind, e.facet_key AS key,"
+    " e.facet_value AS value FROM m JOIN ev e ON e.run_id = m.run_id"))
+def lineage_model_facets(spark: SparkSession, sf: str) -> DataFrame:
+    ev = _events(spark, sf)
+    return L.model_facets(ev, L.run_io(ev))

@@ -223,3 +223,22 @@ def snapshot_failed_write(spark: SparkSession, sf: str) -> DataFrame:
         pass
     return (cat.log().where(F.col("table_identifier") == CHURN)
             .select("snapshot_id", "status", "row_count"))
+
+
+# -------------------------------------------------------------- P14/W5 ---
+_SAMPLE_COLS = ["CustomerId", "Age", "Tenure", "ContractType", "Churned"]
+_SAMPLE_SQL = (
+    "SELECT snapshot_id, " + ", ".join(_SAMPLE_COLS) + " FROM (SELECT *, row_number() OVER (PARTITION BY snapshot_id"
+    " ORDER BY CustomerId) AS rn FROM (" + " UNION ALL ".join(
+        f"SELECT {sid}::bigint AS snapshot_id, {', '.join(_SAMPLE_COLS)} FROM ({_csql(v, s, n)})"
+        for sid, v, s, n in ((1, "1.0.0", 42, 0.5), (2, "2.0.0", 43, 0.8))) + ")) WHERE rn <= 3")
+
+
+@register("snapshot_sample", _SAMPLE_SQL)
+def snapshot_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """First three rows of each snapshot by key (deterministic ``head(3)``), top-k per group."""
+    cat = _catalog(spark)
+    for v, seed, noise in (("1.0.0", 42, 0.5), ("2.0.0", 43, 0.8)):
+        cat.write(_cust(spark, sf, v, seed, noise), CHURN)
+    frames = {sid: cat.read(CHURN, snapshot_id=sid).select(*_SAMPLE_COLS) for sid in cat.snapshot_ids(CHURN)}
+    return S.sample_rows(S.tagged_union(frames), ["snapshot_id"], ["CustomerId"], 3)

@@ -284,6 +284,12 @@ def tagged_union(frames: dict[int, DataFrame], tag: str = "snapshot_id") -> Data
     return out
 
 
+def sample_rows(df: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
+    """First ``n`` rows per group in key order (a per-group top-k, limited map-side)."""
+    w = Window.partitionBy(*by).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
+
+
 def snapshot_rates(frames: dict[int, DataFrame], target: str, by: list[str] | None = None) -> DataFrame:
     """Row count and target rate per snapshot (and optional grouping)."""
     keys = ["snapshot_id"] + list(by or [])

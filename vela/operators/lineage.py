@@ -225,21 +225,27 @@ def closure(io: DataFrame, direction: str = "downstream", max_depth: int = 64,
     if seeds is None:
         seeds = first.select(F.col("ds").alias("origin")).distinct()
     frontier = seeds.select("origin", F.col("origin").alias("node"))
-    reached = None
+    steps: list[DataFrame] = []
     for depth in range(1, max_depth + 1):
         step = (frontier.join(first.withColumnRenamed("ds", "node"), "node")
                 .select("origin", "run_id")
                 .join(second, "run_id").select("origin", F.col("ds").alias("node")).distinct())
-        if reached is not None:
-            step = step.join(reached.select("origin", "node"), ["origin", "node"], "left_anti")
+        if steps:  # earlier rounds are already materialised; their union is a cheap scan
+            seen = steps[0].select("origin", "node")
+            for prev in steps[1:]:
+                seen = seen.unionByName(prev.select("origin", "node"))
+            step = step.join(seen, ["origin", "node"], "left_anti")
         step = step.withColumn("depth", F.lit(depth)).checkpoint(eager=True)
         if step.isEmpty():
             break
-        reached = step if reached is None else reached.unionByName(step).checkpoint(eager=True)
+        steps.append(step)
         frontier = step.select("origin", "node")
-    if reached is None:
+    if not steps:
         return seeds.sparkSession.createDataFrame([], "origin string, node string, depth int")
-    return reached
+    out = steps[0]
+    for s in steps[1:]:
+        out = out.unionByName(s)
+    return out
 
 
 # ------------------------------------------------------------- emitter ---

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import ensure_checkpoint_dir
+from .sequence import with_order_bucket
 
 
 def _b(c: str | Column) -> Column:
@@ -61,14 +62,7 @@ def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -
     # running counts): materialise it once in the shared checkpoint folder.
     ensure_checkpoint_dir(spark)
     per = per.checkpoint(eager=True)
-    if buckets > 1:
-        cuts = sorted(set(per.approxQuantile("s", [i / buckets for i in range(1, buckets)], 1.0 / (4 * buckets))))
-    else:
-        cuts = []
-    b = F.lit(0)
-    for c in cuts:
-        b = b + F.when(F.col("s") > F.lit(c), 1).otherwise(0)
-    per = per.withColumn("bucket", b)
+    per = with_order_bucket(per, "s", buckets, name="bucket")
     totals = per.groupBy("bucket").agg(F.sum("neg").alias("bneg"))
     offsets = totals.select(
         "bucket",

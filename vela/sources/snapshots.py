@@ -172,15 +172,12 @@ class SnapshotCatalog:
         return rows[0]
 
     def _next_id(self, ident: str) -> tuple[int, object]:
-        rows = (self.log().where(F.col("table_identifier") == ident)
-                .agg(F.max("snapshot_id").alias("m")).collect())
-        m = rows[0]["m"] if rows else None
-        prev = None
-        try:
-            prev = self._latest_row(ident)
-        except SnapshotNotFoundError:
-            pass
-        return (m or 0) + 1, prev
+        """Next id (max over all rows, failed ones included) and the current committed row, one job."""
+        log = self.log().where(F.col("table_identifier") == ident)
+        row = log.agg(F.max("snapshot_id").alias("m"),
+                      F.max_by(F.struct(*log.columns),
+                               F.when(F.col("status") == "committed", F.col("snapshot_id"))).alias("cur")).first()
+        return (row["m"] or 0) + 1, row["cur"]
 
     # ---------------------------------------------------------- write ---
     def write(self, df: DataFrame, table: str, mode: str = "overwrite",

@@ -219,8 +219,9 @@ def closure(io: DataFrame, direction: str = "downstream", max_depth: int = 64,
     depth, cycles terminate, and paths never multiply.  Each round's
     frontier is checkpointed (reliable, shared folder) to cut lineage.
     """
-    ins = io.where(F.col("side") == "input").select(F.col("name").alias("ds"), "run_id").distinct()
-    outs = io.where(F.col("side") == "output").select(F.col("name").alias("ds"), "run_id").distinct()
+    # Edge lists are re-joined every round: materialise them once (reliable checkpoint).
+    ins = io.where(F.col("side") == "input").select(F.col("name").alias("ds"), "run_id").distinct().checkpoint()
+    outs = io.where(F.col("side") == "output").select(F.col("name").alias("ds"), "run_id").distinct().checkpoint()
     first, second = (ins, outs) if direction == "downstream" else (outs, ins)
     if seeds is None:
         seeds = first.select(F.col("ds").alias("origin")).distinct()

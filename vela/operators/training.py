@@ -22,6 +22,7 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from . import features as FE
 from . import metrics as M
 
@@ -89,7 +90,8 @@ def classifier(model_type: str, hp: Mapping, n_train: int, n_features: int, seed
     if model_type == "random_forest":
         return RandomForestClassifier(numTrees=int(hp["n_estimators"]), maxDepth=int(hp["max_depth"]),
                                       minInstancesPerNode=int(hp.get("min_samples_leaf", 1)),
-                                      featureSubsetStrategy="sqrt", seed=seed, **common)
+                                      featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=True,
+                                      maxMemoryInMB=1024, **common)
     if model_type == "gradient_boosting":
         return GBTClassifier(maxIter=int(hp["n_estimators"]), stepSize=float(hp["learning_rate"]),
                              maxDepth=int(hp["max_depth"]), seed=seed, **common)
@@ -117,7 +119,7 @@ def fit(train: DataFrame, target: str, features: Sequence[str], model_type: str,
     stages, used = preprocessing_stages(train, features, target)
     train = with_label(train, target)
     prep = Pipeline(stages=stages).fit(train)
-    prepared = prep.transform(train).select("features", "_f_label").persist(StorageLevel.MEMORY_AND_DISK)
+    prepared = spread(prep.transform(train).select("features", "_f_label")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         n = prepared.count()
         est = classifier(model_type, hp, n, _n_features(prepared), seed)

@@ -56,3 +56,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint dir."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/vela-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin a frame over the cluster's cores when it has fewer partitions.
+
+    Compute-heavy narrow work (hash samplers, model fits) on a small input file
+    would otherwise run in one task.  Inputs that already have enough
+    partitions (the normal case on a large table) are returned unchanged, so
+    no shuffle is added at scale.
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import random as R
+from ..session import spread
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference generator's (weights, formulas'
@@ -117,7 +118,7 @@ def customer_dataset(ids: DataFrame, version: str = "1.0.0", seed: int = 42,
         spec.update(phone=1, internet=1)
     elif v == "3":
         spec.update(inet=1, payment=1, value=6, risk_z=2, risk_h=1, risk_b=8)
-    d = _draws(ids.select(F.col("id").cast("bigint").alias("id")), seed, spec)
+    d = _draws(spread(ids.select(F.col("id").cast("bigint").alias("id"))), seed, spec)
 
     age = R.clip(R.normal(_u("age", 0), _u("age", 1), 45.0, 15.0).cast("int"), 18, 95)
     tenure = R.clip(R.gamma_int_shape([_u("tenure", 0), _u("tenure", 1)], 15.0).cast("int"), 0, 100)
@@ -184,7 +185,7 @@ def credit_dataset(ids: DataFrame, version: str = "1.0.0", seed: int = 42,
         spec.update(last=1, ratio=1, merchant=1)
     if v == "3":
         spec.update(repeat=1, chip=1, pin=1, online=1, signals=1)
-    d = _draws(ids.select(F.col("id").cast("bigint").alias("id")), seed, spec)
+    d = _draws(spread(ids.select(F.col("id").cast("bigint").alias("id"))), seed, spec)
 
     feats = [
         F.col("id"),

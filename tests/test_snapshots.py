@@ -88,3 +88,29 @@ def test_diff(spark):
     b = spark.createDataFrame([(2, "y"), (3, "Z"), (4, "w")], "k int, v string")
     got = {r["k"]: r["change"] for r in S.snapshot_diff(a, b, ["k"]).collect()}
     assert got == {1: "removed", 2: "unchanged", 3: "changed", 4: "added"}
+
+
+def test_footer_null_counts_with_nulls_and_partitions(cat, spark):
+    df = spark.range(0, 1000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") * 2).alias("x"),
+        F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.lit("s")).alias("s"),
+        (F.col("id") % 4).alias("p"))
+    cat.write(df, "n", partition_by=["p"])
+    row = cat.committed().where("table_identifier = 't.n'").first()
+    assert row["row_count"] == 1000
+    assert row["null_counts"]["x"] == 334 and row["null_counts"]["s"] == 143
+    assert row["null_counts"]["id"] == 0 and row["null_counts"]["p"] == 0
+    assert cat.read("n").where("x IS NULL").count() == 334
+
+
+def test_read_as_of_timestamp(cat, spark):
+    import datetime as dt
+    import time
+
+    cat.write(_df(spark, 10), "c")
+    time.sleep(1.1)
+    mid = dt.datetime.now()
+    time.sleep(1.1)
+    cat.write(_df(spark, 20), "c")
+    assert cat.read("c", as_of=mid).count() == 10
+    assert cat.read("c").count() == 20

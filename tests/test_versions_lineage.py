@@ -79,7 +79,7 @@ def test_closure_with_cycle_matches_bfs(spark):
 def test_ingest_routes_bad_lines_and_dedupes(spark):
     path = scratch_path(spark, "events")
     log = L.LineageLog(spark, path)
-    run = log.start("job_a", inputs=["iceberg://t1"])
+    run = log.start("job_a", inputs=["table://t1"])
     log.complete(run, outputs=["model://m1"], facets={"score": 1})
     run2 = log.start("job_b")
     log.fail(run2, RuntimeError("boom"))

@@ -64,7 +64,7 @@ def fit_standard_scaler(df: DataFrame, columns: list[str]) -> dict[str, tuple[fl
 
 
 def standard_scale(df: DataFrame, stats: dict[str, tuple[float, float]], suffix: str = "") -> DataFrame:
-    """(x - mean) / std_pop; a constant column gets scale 1 (sklearn rule)."""
+    """(x - mean) / std_pop; a constant column gets scale 1, so it maps to 0."""
     cols = []
     for c in df.columns:
         if c in stats:

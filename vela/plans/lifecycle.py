@@ -45,7 +45,7 @@ def run_lifecycle(spark: SparkSession, ids: DataFrame, version: str = "1.0.0", s
     snap = cat.create_table(table, df, properties=G.descriptor("customer", version, seed, noise_level, df.columns))
 
     data = cat.read(table)
-    run = lineage.start(f"train_{model_name}", inputs=[f"iceberg://{table}"],
+    run = lineage.start(f"train_{model_name}", inputs=[f"table://{table}"],
                         facets={k: v for k, v in (hyperparameters or {}).items()})
     try:
         model, record = TR.train(data, "Churned", model_type, id_column="CustomerId",

@@ -7,7 +7,7 @@ Fixture rule (grows with ``events``; equal in Spark and DuckDB):
   layer k  = user_id % 4, i = user_id % 30, j = (2i + event_id % 2) % 30
   inputs   = [<ns(k)>://d<k>_<i>] on terminal events when k > 0 (k = 0 runs generate)
   outputs  = [<ns(k+1)>://d<k+1>_<j>] on COMPLETE events, facets version/format/rows
-  ns(l)    = iceberg for l <= 2, model for l = 3, deployment for l = 4
+  ns(l)    = table for l <= 2, model for l = 3, deployment for l = 4
   facets   = START {n_estimators: props.k}; COMPLETE {score}; FAIL {errorMessage}
 Layers make the graph acyclic; the closure code does not rely on it.
 """
@@ -26,7 +26,7 @@ from .catalog import register, round_doubles
 
 
 def _ns(layer: Column) -> Column:
-    return F.when(layer <= 2, F.lit("iceberg")).when(layer == 3, F.lit("model")).otherwise(F.lit("deployment"))
+    return F.when(layer <= 2, F.lit("table")).when(layer == 3, F.lit("model")).otherwise(F.lit("deployment"))
 
 
 def raw_fixture(events: DataFrame) -> DataFrame:
@@ -80,8 +80,8 @@ f AS (SELECT event_id, ts AS event_time, user_id, props,
   'vela' AS job_namespace, 'job_' || cast(user_id % 20 AS varchar) AS job_name,
   user_id % 4 AS k, user_id % 30 AS i, (2 * (user_id % 30) + event_id % 2) % 30 AS j FROM b),
 g AS (SELECT *,
-  CASE WHEN k <= 2 THEN 'iceberg' WHEN k = 3 THEN 'model' ELSE 'deployment' END AS in_ns,
-  CASE WHEN k + 1 <= 2 THEN 'iceberg' WHEN k + 1 = 3 THEN 'model' ELSE 'deployment' END AS out_ns,
+  CASE WHEN k <= 2 THEN 'table' WHEN k = 3 THEN 'model' ELSE 'deployment' END AS in_ns,
+  CASE WHEN k + 1 <= 2 THEN 'table' WHEN k + 1 = 3 THEN 'model' ELSE 'deployment' END AS out_ns,
   event_type <> 'START' AND k > 0 AS has_input, event_type = 'COMPLETE' AS has_output,
   cast(event_id % 5 AS varchar) AS out_version, cast(event_id * 3 AS varchar) AS out_rows,
   CASE WHEN event_type = 'START' THEN 'n_estimators' WHEN event_type = 'COMPLETE' THEN 'score' ELSE 'errorMessage' END

@@ -242,3 +242,26 @@ def snapshot_sample(spark: SparkSession, sf: str) -> DataFrame:
         cat.write(_cust(spark, sf, v, seed, noise), CHURN)
     frames = {sid: cat.read(CHURN, snapshot_id=sid).select(*_SAMPLE_COLS) for sid in cat.snapshot_ids(CHURN)}
     return S.sample_rows(S.tagged_union(frames), ["snapshot_id"], ["CustomerId"], 3)
+
+
+# ------------------------------------------------------------- L7/S12 ---
+def _profile_sql() -> str:
+    cols = G.CREDIT_COLUMNS["3"]
+    numeric = {"Amount", "HourOfDay", "DayOfWeek", "Month", "DistanceFromHome", "DistanceFromLastTransaction",
+               "RatioToMedianPurchasePrice", "FraudSignals"}
+    parts = []
+    for c in cols:
+        lo = f"round(cast(min({c}) AS double), 6)" if c in numeric else "NULL::double"
+        hi = f"round(cast(max({c}) AS double), 6)" if c in numeric else "NULL::double"
+        parts.append(f"SELECT 'demo.credit_fraud' AS table_identifier, 1::bigint AS snapshot_id, count(*) AS row_count,"
+                     f" '{c}' AS column_name, count(*) - count({c}) AS null_count, {lo} AS min_value,"
+                     f" {hi} AS max_value FROM ({O.credit_sql(O.ORDER_IDS, '3.0.0')})")
+    return " UNION ALL ".join(parts)
+
+
+@register("dataset_profile", _profile_sql())
+def dataset_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Row count, null count and numeric range of every column, from the commit's footer statistics."""
+    cat = _catalog(spark)
+    cat.write(G.credit_dataset(TB.order_ids(spark, sf), "3.0.0"), FRAUD)
+    return round_doubles(S.profile(cat.committed().where(F.col("table_identifier") == FRAUD)))

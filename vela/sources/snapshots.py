@@ -49,7 +49,10 @@ LOG_SCHEMA = T.StructType([
     T.StructField("null_counts", T.MapType(T.StringType(), T.LongType()), True),
     T.StructField("properties", T.MapType(T.StringType(), T.StringType()), True),
     T.StructField("error", T.StringType(), True),
+    T.StructField("min_values", T.MapType(T.StringType(), T.DoubleType()), True),
+    T.StructField("max_values", T.MapType(T.StringType(), T.DoubleType()), True),
 ])
+_MINMAX_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 
 
 class SnapshotNotFoundError(ValueError):
@@ -101,19 +104,41 @@ class SnapshotCatalog:
         fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
         return bool(fs.exists(p))
 
-    def _footer_stats(self, path: str, schema: T.StructType) -> tuple[int, dict[str, int]]:
-        """Row count and per-column null counts from Parquet footers."""
-        key = "spark.sql.parquet.aggregatePushdown"
-        old = self.spark.conf.get(key, "false")
-        self.spark.conf.set(key, "true")
+    def _footer_stats(self, path: str, schema: T.StructType, partition_cols: list[str]):
+        """Rows, per-column nulls and numeric min/max answered from Parquet footers.
+
+        Aggregate pushdown is a feature of the V2 Parquet source, so the read
+        switches Parquet to V2 for this one metadata query and restores the
+        session settings afterwards.
+        """
+        confs = {"spark.sql.parquet.aggregatePushdown": "true",
+                 "spark.sql.sources.useV1SourceList": ",".join(
+                     x for x in self.spark.conf.get("spark.sql.sources.useV1SourceList", "").split(",")
+                     if x.strip().lower() != "parquet")}
+        old = {k: self.spark.conf.get(k, None) for k in confs}
+        data_cols = [f for f in schema.fields if f.name not in partition_cols]
+        num = [f.name for f in data_cols if isinstance(f.dataType, _MINMAX_TYPES)]
+        for k, v in confs.items():
+            self.spark.conf.set(k, v)
         try:
-            cols = schema.fieldNames()
-            row = (self.spark.read.schema(schema).parquet(path)
-                   .agg(F.count(F.lit(1)).alias("__rows"), *[F.count(F.col(c)).alias(c) for c in cols]).first())
+            df = self.spark.read.schema(schema).parquet(path)
+            aggs = [F.count(F.lit(1)).alias("__rows")]
+            aggs += [F.count(F.col(f.name)).alias(f"n::{f.name}") for f in data_cols]
+            aggs += [F.min(F.col(c)).alias(f"lo::{c}") for c in num] + [F.max(F.col(c)).alias(f"hi::{c}") for c in num]
+            row = df.agg(*aggs).first()
+            n = int(row["__rows"])
+            nulls = {f.name: n - int(row[f"n::{f.name}"]) for f in data_cols}
+            for c in partition_cols:  # prunes to the NULL partition's files, if any
+                nulls[c] = df.where(F.col(c).isNull()).count()
         finally:
-            self.spark.conf.set(key, old)
-        n = int(row["__rows"])
-        return n, {c: n - int(row[c]) for c in cols}
+            for k, v in old.items():
+                if v is None:
+                    self.spark.conf.unset(k)
+                else:
+                    self.spark.conf.set(k, v)
+        lo = {c: None if row[f"lo::{c}"] is None else float(row[f"lo::{c}"]) for c in num}
+        hi = {c: None if row[f"hi::{c}"] is None else float(row[f"hi::{c}"]) for c in num}
+        return n, nulls, lo, hi
 
     def _summary(self, path: str) -> tuple[int | None, int | None]:
         jvm = getattr(self.spark, "_jvm", None)
@@ -208,7 +233,7 @@ class SnapshotCatalog:
             if run is not None:
                 self.lineage.fail(run, exc)
             raise
-        added, nulls = self._footer_stats(path, df.schema)
+        added, nulls, lo, hi = self._footer_stats(path, df.schema, partition_by)
         files, size = self._summary(path)
         dirs = [path]
         total = added
@@ -217,8 +242,15 @@ class SnapshotCatalog:
             total = (prev["row_count"] or 0) + added
             old_nulls = prev["null_counts"] or {}
             nulls = {c: nulls.get(c, 0) + int(old_nulls.get(c, 0)) for c in set(nulls) | set(old_nulls)}
+        if mode == "append" and prev is not None:
+            plo, phi = prev["min_values"] or {}, prev["max_values"] or {}
+            lo = {c: min(x for x in (v, plo.get(c)) if x is not None) if (v is not None or plo.get(c) is not None)
+                  else None for c, v in lo.items()}
+            hi = {c: max(x for x in (v, phi.get(c)) if x is not None) if (v is not None or phi.get(c) is not None)
+                  else None for c, v in hi.items()}
         row = {**base, "status": "committed", "data_dirs": dirs, "row_count": total,
-               "added_rows": added, "added_files": files, "added_bytes": size, "null_counts": nulls}
+               "added_rows": added, "added_files": files, "added_bytes": size, "null_counts": nulls,
+               "min_values": lo, "max_values": hi}
         self._append_log(row)
         if run is not None:
             self.lineage.complete(run, outputs=[f"snapshot://{ident}"],
@@ -242,6 +274,7 @@ class SnapshotCatalog:
             "data_dirs": list(target["data_dirs"]), "schema_json": target["schema_json"],
             "partition_cols": list(target["partition_cols"] or []), "row_count": target["row_count"],
             "added_rows": 0, "added_files": 0, "added_bytes": 0, "null_counts": target["null_counts"],
+            "min_values": target["min_values"], "max_values": target["max_values"],
             "properties": {**(target["properties"] or {}), "rollback_to": str(snapshot_id)}})
         return {"table_identifier": ident, "snapshot_id": sid, "rollback_to": snapshot_id}
 
@@ -281,6 +314,16 @@ def tagged_union(frames: dict[int, DataFrame], tag: str = "snapshot_id") -> Data
     return out
 
 
+def profile(log_row_df: DataFrame) -> DataFrame:
+    """One row per column: nulls, min and max (numeric), from the commit record."""
+    return log_row_df.select(
+        "table_identifier", "snapshot_id", "row_count",
+        F.explode("null_counts").alias("column_name", "null_count"), "min_values", "max_values").select(
+        "table_identifier", "snapshot_id", "row_count", "column_name", "null_count",
+        F.col("min_values").getItem(F.col("column_name")).alias("min_value"),
+        F.col("max_values").getItem(F.col("column_name")).alias("max_value"))
+
+
 def sample_rows(df: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
     """First ``n`` rows per group in key order (a per-group top-k, limited map-side)."""
     w = Window.partitionBy(*by).orderBy(*order)

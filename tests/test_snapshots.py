@@ -114,3 +114,14 @@ def test_read_as_of_timestamp(cat, spark):
     cat.write(_df(spark, 20), "c")
     assert cat.read("c", as_of=mid).count() == 10
     assert cat.read("c").count() == 20
+
+
+def test_append_with_evolved_schema(cat, spark):
+    cat.write(_df(spark, 10, "1.0.0"), "c")
+    cat.write(_df(spark, 5, "2.0.0"), "c", mode="append")
+    got = cat.read("c")
+    assert got.columns[:7] == G.CUSTOMER_COLUMNS["1"] and "HasPhoneService" in got.columns
+    assert got.where("HasPhoneService IS NULL").count() == 10 and got.count() == 15
+    bad = _df(spark, 5).withColumn("Age", F.col("Age").cast("string"))
+    with pytest.raises(ValueError, match="changes type"):
+        cat.write(bad, "c", mode="append")

@@ -37,6 +37,8 @@ DEFAULT_HYPERPARAMETERS = {
 }
 TRAINING_SPLIT = 0.8
 RANDOM_STATE = 42
+# Convergence tolerance of the reference's logistic-regression and MLP library defaults.
+REFERENCE_TOL = 1e-4
 
 
 class UnknownModelTypeError(ValueError):
@@ -97,11 +99,13 @@ def classifier(model_type: str, hp: Mapping, n_train: int, n_features: int, seed
                              maxDepth=int(hp["max_depth"]), seed=seed, **common)
     if model_type == "logistic_regression":
         return LogisticRegression(regParam=1.0 / (float(hp["C"]) * max(n_train, 1)), elasticNetParam=0.0,
-                                  standardization=False, maxIter=int(hp["max_iter"]), **common)
+                                  standardization=False, maxIter=int(hp["max_iter"]),
+                                  tol=float(hp.get("tol", REFERENCE_TOL)), **common)
     if model_type == "neural_network":
         layers = [n_features, *[int(x) for x in hp["hidden_layer_sizes"]], 2]
         return MultilayerPerceptronClassifier(layers=layers, blockSize=int(hp["batch_size"]),
-                                              maxIter=int(hp["max_iter"]), seed=seed, **common)
+                                              maxIter=int(hp["max_iter"]), tol=float(hp.get("tol", REFERENCE_TOL)),
+                                              seed=seed, **common)
     raise UnknownModelTypeError(f"Unknown model type: {model_type}")
 
 

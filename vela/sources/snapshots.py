@@ -66,6 +66,17 @@ def _split_identifier(identifier: str, default_ns: str) -> tuple[str, str]:
     return default_ns, identifier
 
 
+def _merge_schemas(old: T.StructType, new: T.StructType) -> T.StructType:
+    """Append keeps every column: previous order first, new columns after; types must agree."""
+    have = {f.name: f for f in old.fields}
+    for f in new.fields:
+        if f.name in have and have[f.name].dataType != f.dataType:
+            raise ValueError(f"column {f.name!r} changes type on append: "
+                             f"{have[f.name].dataType.simpleString()} -> {f.dataType.simpleString()}")
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in old.fields] +
+                        [T.StructField(f.name, f.dataType, True) for f in new.fields if f.name not in have])
+
+
 class SnapshotCatalog:
     """A warehouse of snapshot tables sharing one log."""
 
@@ -222,6 +233,8 @@ class SnapshotCatalog:
                 "operation": mode, "committed_at": _dt.datetime.now(),
                 "schema_json": df.schema.json(), "partition_cols": partition_by,
                 "properties": {k: str(v) for k, v in (properties or {}).items()}}
+        if mode == "append" and prev is not None:
+            _merge_schemas(T.StructType.fromJson(json.loads(prev["schema_json"])), df.schema)  # raises on conflict
         try:
             writer = df.write.mode("errorifexists")
             if partition_by:
@@ -238,6 +251,8 @@ class SnapshotCatalog:
         dirs = [path]
         total = added
         if mode == "append" and prev is not None:
+            row_schema = _merge_schemas(T.StructType.fromJson(json.loads(prev["schema_json"])), df.schema)
+            base["schema_json"] = row_schema.json()
             dirs = list(prev["data_dirs"]) + [path]
             total = (prev["row_count"] or 0) + added
             old_nulls = prev["null_counts"] or {}

@@ -52,7 +52,8 @@ def rsql(sql: str, double_cols: list[str], places: int = 6) -> str:
     return f"SELECT * REPLACE ({reps}) FROM ({sql})" if double_cols else sql
 
 
-def _doubles(columns: list[str], kind: str) -> list[str]:
+def _doubles(columns: list[str]) -> list[str]:
+    """The generator columns of type DOUBLE (rounded in both engines)."""
     dbl = {"MonthlyCharges", "TotalCharges", "CustomerValue", "RiskScore", "Amount", "DistanceFromHome",
            "DistanceFromLastTransaction", "RatioToMedianPurchasePrice", "FraudSignals"}
     return [c for c in columns if c in dbl]
@@ -75,9 +76,9 @@ def _gen_credit(version: str):
 for _v in ("1.0.0", "2.0.0", "3.0.0"):
     _m = G.major(_v)
     register(f"gen_customer_v{_m}", rsql(O.customer_sql(O.CUSTOMER_IDS, _v),
-                                         _doubles(G.CUSTOMER_COLUMNS[_m], "c")))(_gen_customer(_v))
+                                         _doubles(G.CUSTOMER_COLUMNS[_m])))(_gen_customer(_v))
     register(f"gen_credit_v{_m}", rsql(O.credit_sql(O.ORDER_IDS, _v),
-                                       _doubles(G.CREDIT_COLUMNS[_m], "f")))(_gen_credit(_v))
+                                       _doubles(G.CREDIT_COLUMNS[_m])))(_gen_credit(_v))
 
 
 # Query modules register themselves on import.

@@ -36,7 +36,7 @@ def _credit3(spark: SparkSession, sf: str) -> DataFrame:
     return round_doubles(G.credit_dataset(TB.order_ids(spark, sf), "3.0.0"))
 
 
-_CREDIT3_SQL = rsql(O.credit_sql(O.ORDER_IDS, "3.0.0"), _doubles(G.CREDIT_COLUMNS["3"], "f"))
+_CREDIT3_SQL = rsql(O.credit_sql(O.ORDER_IDS, "3.0.0"), _doubles(G.CREDIT_COLUMNS["3"]))
 
 
 def _logit_sql(m: dict) -> str:
@@ -129,7 +129,7 @@ def model_agreement(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ----------------------------------------------------------- P12/P13/V8 ----
-_CUST2_SQL = rsql(O.customer_sql(O.CUSTOMER_IDS, "2.0.0"), _doubles(G.CUSTOMER_COLUMNS["2"], "c"))
+_CUST2_SQL = rsql(O.customer_sql(O.CUSTOMER_IDS, "2.0.0"), _doubles(G.CUSTOMER_COLUMNS["2"]))
 
 
 @register("churn_decisions",
@@ -145,7 +145,7 @@ def churn_decisions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- V7 ----
-_CUST1_SQL = rsql(O.customer_sql(O.CUSTOMER_IDS, "1.0.0"), _doubles(G.CUSTOMER_COLUMNS["1"], "c"))
+_CUST1_SQL = rsql(O.customer_sql(O.CUSTOMER_IDS, "1.0.0"), _doubles(G.CUSTOMER_COLUMNS["1"]))
 
 
 @register("ab_assignment",
@@ -280,7 +280,7 @@ def standard_scale(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------- T3/T5 ----
 _CAT3 = ["ContractType", "InternetService", "PaymentMethod"]
-_CUST3_SQL = rsql(O.customer_sql(O.CUSTOMER_IDS, "3.0.0"), _doubles(G.CUSTOMER_COLUMNS["3"], "c"))
+_CUST3_SQL = rsql(O.customer_sql(O.CUSTOMER_IDS, "3.0.0"), _doubles(G.CUSTOMER_COLUMNS["3"]))
 _TRAIN3 = f"SELECT * FROM ({_CUST3_SQL}) WHERE {O.u('CustomerId', 'split|42')} < 0.8::double"
 
 

@@ -34,7 +34,7 @@ def _csql(version="1.0.0", seed=42, noise=0.5, ids=O.CUSTOMER_IDS) -> str:
 
 
 def _r(sql: str, version: str = "1.0.0") -> str:
-    return rsql(sql, _doubles(G.CUSTOMER_COLUMNS[G.major(version)], "c"))
+    return rsql(sql, _doubles(G.CUSTOMER_COLUMNS[G.major(version)]))
 
 
 def _props(kind, version, seed, noise, df) -> dict:
@@ -196,7 +196,7 @@ def snapshot_rollback(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ S18 ---
 _PART_SQL = rsql(f"SELECT * FROM ({O.credit_sql(O.ORDER_IDS, '2.0.0')}) WHERE MerchantCategory = 'online'",
-                 _doubles(G.CREDIT_COLUMNS["2"], "f"))
+                 _doubles(G.CREDIT_COLUMNS["2"]))
 
 
 @register("snapshot_partitioned", _PART_SQL)

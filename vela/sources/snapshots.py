@@ -25,7 +25,6 @@ from __future__ import annotations
 import datetime as _dt
 import json
 import traceback
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Column
 from pyspark.sql import functions as F

@@ -47,14 +47,16 @@ def with_order_bucket(df: DataFrame, order: str, buckets: int | None = None, nam
         buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     num = df.withColumn("_ord_num", _numeric(df, order))
     if buckets <= 1:
-        return num.withColumn(name, F.lit(0.0)).drop("_ord_num")
+        return num.withColumn(name, F.lit(0)).drop("_ord_num")
     cuts = sorted(set(num.approxQuantile("_ord_num", [i / buckets for i in range(1, buckets)],
                                          1.0 / (4 * buckets))))
     splits = [float("-inf"), *cuts, float("inf")]
     if len(splits) < 3:
-        return num.withColumn(name, F.lit(0.0)).drop("_ord_num")
-    bz = Bucketizer(splits=splits, inputCol="_ord_num", outputCol=name, handleInvalid="keep")
-    return bz.transform(num).drop("_ord_num")
+        return num.withColumn(name, F.lit(0)).drop("_ord_num")
+    bz = Bucketizer(splits=splits, inputCol="_ord_num", outputCol=f"{name}_d", handleInvalid="keep")
+    # NULL order values sort first in ascending windows, so they get the lowest bucket
+    bucket = F.when(F.col("_ord_num").isNull(), F.lit(-1)).otherwise(F.col(f"{name}_d").cast("int"))
+    return bz.transform(num).withColumn(name, bucket).drop("_ord_num", f"{name}_d")
 
 
 def sequence_within(df: DataFrame, key: Sequence[str], order: str, tiebreak: Sequence[str] = (),

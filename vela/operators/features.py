@@ -87,6 +87,25 @@ def _cat_str(c: str, dtype) -> Column:
     return col.cast("string")
 
 
+def vocabulary_table(df: DataFrame, columns: list[str]) -> DataFrame:
+    """A7 as a table: (column_name, sorted distinct values), one aggregate job.
+
+    Only for categorical columns of bounded cardinality (see ``fit_vocabulary``).
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    one = df.agg(*[F.array_sort(F.collect_set(_cat_str(c, types[c]))).alias(c) for c in columns])
+    return one.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("categories")) for c in columns])).alias("v")).select("v.*")
+
+
+def scaler_table(df: DataFrame, columns: list[str]) -> DataFrame:
+    """A6 as a table: (column_name, mean, std_pop)."""
+    one = scaler_stats(df, columns)
+    return one.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std_pop"))
+        for c in columns])).alias("v")).select("v.*")
+
+
 def fit_vocabulary(df: DataFrame, columns: list[str], max_categories: int = 10_000) -> dict[str, list[str]]:
     """Sorted distinct values per categorical column, one aggregate.
 

@@ -388,3 +388,28 @@ _PARSE_SQL = (
 @register("parse_records", _PARSE_SQL)
 def parse_records(spark: SparkSession, sf: str) -> DataFrame:
     return FE.parse_records(_payloads(TB.table(spark, sf, "events")), "payload", _PAYLOAD_SCHEMA, "request_id")
+
+
+# ---------------------------------------------------------------- A6/A7 ----
+_NUM3 = ["Age", "Tenure", "MonthlyCharges", "TotalCharges", "CustomerValue", "RiskScore"]
+
+
+@register("scaler_stats", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, round(avg(cast({c} AS double)), 6) AS mean,"
+    f" round(stddev_pop(cast({c} AS double)), 6) AS std_pop FROM ({_TRAIN3})" for c in _NUM3))
+def scaler_stats(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean and population standard deviation of the numeric features on the training rows."""
+    df = round_doubles(G.customer_dataset(TB.customer_ids(spark, sf), "3.0.0"))
+    train, _ = FE.split_hash(df, "CustomerId", 0.8, 42)
+    return round_doubles(FE.scaler_table(train, _NUM3))
+
+
+@register("category_vocabulary", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, string_agg(DISTINCT {c}, '|' ORDER BY {c}) AS categories FROM ({_TRAIN3})"
+    for c in _CAT3))
+def category_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    """Sorted categories per categorical feature on the training rows."""
+    df = G.customer_dataset(TB.customer_ids(spark, sf), "3.0.0")
+    train, _ = FE.split_hash(df, "CustomerId", 0.8, 42)
+    v = FE.vocabulary_table(train, _CAT3)
+    return v.select("column_name", F.array_join("categories", "|").alias("categories"))

@@ -265,3 +265,44 @@ def dataset_profile(spark: SparkSession, sf: str) -> DataFrame:
     cat = _catalog(spark)
     cat.write(G.credit_dataset(TB.order_ids(spark, sf), "3.0.0"), FRAUD)
     return round_doubles(S.profile(cat.committed().where(F.col("table_identifier") == FRAUD)))
+
+
+# ------------------------------------------------------------------ S13 ---
+_SPARK_TYPE = ("CASE typeof({c}) WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'"
+               " WHEN 'DOUBLE' THEN 'double' WHEN 'INTEGER' THEN 'integer' WHEN 'BOOLEAN' THEN 'boolean'"
+               " WHEN 'BIGINT' THEN 'long' ELSE lower(typeof({c})) END")
+
+
+def _schema_sql() -> str:
+    src = O.credit_sql(O.ORDER_IDS, "3.0.0")
+    return " UNION ALL ".join(
+        f"SELECT DISTINCT 1::bigint AS snapshot_id, {i}::integer AS position, '{c}' AS column_name,"
+        f" {_SPARK_TYPE.format(c=c)} AS data_type FROM ({src})"
+        for i, c in enumerate(G.CREDIT_COLUMNS["3"]))
+
+
+@register("snapshot_schema", _schema_sql())
+def snapshot_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Schema recorded with each commit, as (position, column, type) rows."""
+    cat = _catalog(spark)
+    cat.write(G.credit_dataset(TB.order_ids(spark, sf), "3.0.0"), FRAUD)
+    return S.schema_table(cat.committed().where(F.col("table_identifier") == FRAUD))
+
+
+# ------------------------------------------------------------------- G9 ---
+def _descriptor_sql() -> str:
+    d = G.descriptor("customer", "1.0.0", 42, 0.5, G.CUSTOMER_COLUMNS["1"])
+    rows = [f"SELECT '{k}' AS key, '{v}' AS value" for k, v in sorted(d.items())]
+    rows.append("SELECT 'rows', cast(count(*) AS varchar) FROM customer")
+    return " UNION ALL ".join(rows)
+
+
+@register("dataset_descriptor", _descriptor_sql())
+def dataset_descriptor(spark: SparkSession, sf: str) -> DataFrame:
+    """Descriptor stored with the commit (name, version, features, target, params) plus its row count."""
+    cat = _catalog(spark)
+    df = _cust(spark, sf)
+    cat.write(df, CHURN, properties=_props("customer", "1.0.0", 42, 0.5, df))
+    log = cat.committed().where(F.col("table_identifier") == CHURN)
+    props = log.select(F.explode("properties").alias("key", "value"))
+    return props.unionByName(log.select(F.lit("rows").alias("key"), F.col("row_count").cast("string").alias("value")))

@@ -338,6 +338,13 @@ def profile(log_row_df: DataFrame) -> DataFrame:
         F.col("max_values").getItem(F.col("column_name")).alias("max_value"))
 
 
+def schema_table(log_rows: DataFrame) -> DataFrame:
+    """The schema recorded with each commit as (snapshot_id, position, column_name, data_type)."""
+    fields = F.from_json("schema_json", "struct<fields: array<struct<name: string, type: string>>>")
+    return log_rows.select("snapshot_id", F.posexplode(fields.getField("fields")).alias("position", "f")).select(
+        "snapshot_id", "position", F.col("f.name").alias("column_name"), F.col("f.type").alias("data_type"))
+
+
 def sample_rows(df: DataFrame, by: list[str], order: list[str], n: int) -> DataFrame:
     """First ``n`` rows per group in key order (a per-group top-k, limited map-side)."""
     w = Window.partitionBy(*by).orderBy(*order)

@@ -67,6 +67,10 @@ def spread(df, min_partitions: int | None = None):
     no shuffle is added at scale.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    # A plan that already shuffles is as wide as the shuffle; asking its RDD for
+    # a partition count would run that shuffle eagerly under AQE, so skip it.
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)

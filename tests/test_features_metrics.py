@@ -72,11 +72,11 @@ def test_align_fill_and_strict(spark):
 
 def test_parse_records(spark):
     schema = T.StructType([T.StructField("k", T.IntegerType())])
-    df = spark.createDataFrame([(1, '{"k": 1}'), (2, '[{"k": 2}, {"k": 3}]'), (3, '{"k": '), (4, None)],
+    df = spark.createDataFrame([(1, '{"k": 1}'), (2, '[{"k": 2}, {"k": 3}]'), (3, '{"k": '), (4, None), (5, "7")],
                                "rid int, p string")
     got = sorted((r.rid, r.item_index, r.k, r.error) for r in FE.parse_records(df, "p", schema, "rid").collect())
     assert got == [(1, 0, 1, None), (2, 0, 2, None), (2, 1, 3, None), (3, 0, None, "malformed JSON"),
-                   (4, 0, None, "malformed JSON")]
+                   (4, 0, None, "malformed JSON"), (5, 0, None, "unsupported payload")]
 
 
 def _auc_brute(rows):

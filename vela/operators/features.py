@@ -237,16 +237,18 @@ def align_features(df: DataFrame, expected: T.StructType, strict: bool = False)
 def parse_records(df: DataFrame, payload: str, schema: T.StructType, request_id: str) -> DataFrame:
     """JSON object or array-of-objects payloads -> one row per record.
 
-    Malformed payloads give one row with ``error`` set and NULL fields; they
-    never fail the job (V6).
+    Malformed payloads (and valid JSON of another shape) give one row with
+    ``error`` set and NULL fields; they never fail the job (V6).
     """
     v = F.try_parse_json(F.col(payload))  # parse once; NULL when malformed
     arr = F.try_variant_get(v, "$", T.ArrayType(schema).simpleString())
     obj = F.try_variant_get(v, "$", schema.simpleString())
     valid = v.isNotNull()
     records = F.when(arr.isNotNull(), arr).when(obj.isNotNull(), F.array(obj))
-    exploded = df.select(F.col(request_id), valid.alias("_valid"),
+    error = F.when(~valid, F.lit("malformed JSON")).when(records.isNull(), F.lit("unsupported payload"))
+    exploded = df.select(F.col(request_id), error.alias("error"),
                          F.posexplode_outer(records).alias("item_index", "_rec"))
     fields = [F.col("_rec").getField(f.name).alias(f.name) for f in schema.fields]
-    return exploded.select(F.col(request_id), F.coalesce(F.col("item_index"), F.lit(0)).alias("item_index"), *fields,
-                           F.when(~F.col("_valid"), F.lit("malformed JSON")).alias("error"))
+    return exploded.select(F.col(request_id),
+                           F.coalesce(F.col("item_index"), F.lit(0)).cast("bigint").alias("item_index"), *fields,
+                           "error")

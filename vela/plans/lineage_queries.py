@@ -134,7 +134,7 @@ def lineage_runs(spark: SparkSession, sf: str) -> DataFrame:
     f", fl AS (SELECT job_namespace, job_name, event_type, event_time, CASE WHEN event_type = 'START' THEN run_id"
     f" ELSE run_id || '-t' END AS run_id FROM ev), nx AS (SELECT *, lead(event_type) OVER w AS next_type"
     f" FROM fl WINDOW w AS (PARTITION BY job_namespace, job_name ORDER BY event_time, run_id))"
-    f" SELECT job_name, count(*) AS repaired_runs, count_if(next_type = 'FAIL') AS failed_runs FROM nx"
+    f" SELECT job_name, count(*) AS repaired_runs, cast(count_if(next_type = 'FAIL') AS bigint) AS failed_runs FROM nx"
     f" WHERE event_type = 'START' AND next_type IN {TERM} GROUP BY job_name"))
 def lineage_run_repair(spark: SparkSession, sf: str) -> DataFrame:
     ev = _events(spark, sf)
@@ -173,7 +173,7 @@ def lineage_dataset_facets(spark: SparkSession, sf: str) -> DataFrame:
 
 # ----------------------------------------------------------------- L9 ---
 @register("lineage_run_kinds", _q(
-    ", s AS (SELECT run_id, count_if(has_input) AS n_in, count_if(has_output) AS n_out,"
+    ", s AS (SELECT run_id, cast(count_if(has_input) AS bigint) AS n_in, cast(count_if(has_output) AS bigint) AS n_out,"
     " sum(CASE WHEN has_output THEN cast(out_rows AS bigint) END) AS rows FROM ev GROUP BY run_id)"
     " SELECT CASE WHEN n_in = 0 AND n_out > 0 THEN 'generation' WHEN n_in > 0 AND n_out > 0 THEN 'transformation'"
     " WHEN n_in > 0 THEN 'sink' ELSE 'no_io' END AS kind, count(*) AS runs,"
@@ -220,7 +220,7 @@ def lineage_deployment_status(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- L12 ---
 @register("lineage_inference_runs", _q(
     f", r AS (SELECT run_id, arg_max(event_type, (event_time, event_type)) AS status FROM ev GROUP BY run_id)"
-    " SELECT name AS model, count(*) AS runs, count_if(status = 'FAIL') AS failed_runs FROM io JOIN r USING (run_id)"
+    " SELECT name AS model, count(*) AS runs, cast(count_if(status = 'FAIL') AS bigint) AS failed_runs FROM io JOIN r USING (run_id)"
     " WHERE side = 'input' AND namespace = 'model' AND NOT name LIKE 'inference_result_%' GROUP BY name"))
 def lineage_inference_runs(spark: SparkSession, sf: str) -> DataFrame:
     ev = _events(spark, sf)
@@ -234,7 +234,7 @@ def lineage_inference_runs(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- L13 ---
 @register("lineage_table_usage", _q(
     ", w AS (SELECT run_id, out_name, arg_max(cast(out_rows AS bigint), event_time) AS rows FROM ev WHERE has_output"
-    " GROUP BY ALL) SELECT name, count_if(side = 'input') AS reads, count_if(side = 'output') AS writes,"
+    " GROUP BY ALL) SELECT name, cast(count_if(side = 'input') AS bigint) AS reads, cast(count_if(side = 'output') AS bigint) AS writes,"
     " coalesce(sum(w.rows), 0)::bigint AS rows_written FROM io LEFT JOIN w ON io.run_id = w.run_id AND io.side = 'output'"
     " AND io.name = w.out_name GROUP BY name"))
 def lineage_table_usage(spark: SparkSession, sf: str) -> DataFrame:

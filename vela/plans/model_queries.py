@@ -71,8 +71,8 @@ def linear_score(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- A3 ----
-_CONF = ("count_if(NOT IsFraud AND NOT pred) AS tn, count_if(NOT IsFraud AND pred) AS fp,"
-         " count_if(IsFraud AND NOT pred) AS fn, count_if(IsFraud AND pred) AS tp")
+_CONF = ("cast(count_if(NOT IsFraud AND NOT pred) AS bigint) AS tn, cast(count_if(NOT IsFraud AND pred) AS bigint) AS fp,"
+         " cast(count_if(IsFraud AND NOT pred) AS bigint) AS fn, cast(count_if(IsFraud AND pred) AS bigint) AS tp")
 
 
 @register("confusion_matrix", f"SELECT {_CONF} FROM ({_SCORED_SQL})")
@@ -110,8 +110,8 @@ def roc_auc(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- V5 ----
 _AGREE_SQL = (
     f"SELECT count(*) AS rows, round(avg(cast(a = b AS integer)), 6) AS agreement_rate,"
-    f" count_if(NOT a AND NOT b) AS both_negative, count_if(NOT a AND b) AS only_b_positive,"
-    f" count_if(a AND NOT b) AS only_a_positive, count_if(a AND b) AS both_positive,"
+    f" cast(count_if(NOT a AND NOT b) AS bigint) AS both_negative, cast(count_if(NOT a AND b) AS bigint) AS only_b_positive,"
+    f" cast(count_if(a AND NOT b) AS bigint) AS only_a_positive, cast(count_if(a AND b) AS bigint) AS both_positive,"
     f" round(avg(abs(pa - pb)), 6) AS mean_abs_prob_gap FROM (SELECT"
     f" {_logit_sql(FRAUD_V1)} >= {O.num(SC.logit_threshold(THRESHOLD))} AS a,"
     f" {_logit_sql(FRAUD_V2)} >= {O.num(SC.logit_threshold(THRESHOLD))} AS b,"

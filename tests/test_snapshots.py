@@ -125,3 +125,13 @@ def test_append_with_evolved_schema(cat, spark):
     bad = _df(spark, 5).withColumn("Age", F.col("Age").cast("string"))
     with pytest.raises(ValueError, match="changes type"):
         cat.write(bad, "c", mode="append")
+
+
+def test_append_to_partitioned_table(cat, spark):
+    cat.write(G.credit_dataset(spark.range(1, 101), "2.0.0"), "p", partition_by=["MerchantCategory"])
+    cat.write(G.credit_dataset(spark.range(101, 201), "2.0.0"), "p", mode="append", partition_by=["MerchantCategory"])
+    df = cat.read("p", where=F.col("MerchantCategory") == "online")
+    full = G.credit_dataset(spark.range(1, 201), "2.0.0").where("MerchantCategory = 'online'")
+    assert sorted(df.collect()) == sorted(full.collect())
+    assert cat.read("p").count() == 200
+    assert "PartitionFilters" in df._jdf.queryExecution().executedPlan().toString()

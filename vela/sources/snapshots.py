@@ -300,11 +300,16 @@ class SnapshotCatalog:
         row = self._latest_row(ident, snapshot_id, as_of)
         schema = T.StructType.fromJson(json.loads(row["schema_json"]))
         dirs = list(row["data_dirs"])
-        reader = self.spark.read.schema(schema)
         parts = list(row["partition_cols"] or [])
-        if parts and len(dirs) == 1:
-            reader = reader.option("basePath", dirs[0])
-        df = reader.parquet(*dirs).select(*schema.fieldNames())
+        if parts:
+            # Partitioned folders are separate roots: one scan each (partition
+            # pruning applies per scan), then a union.
+            df = None
+            for d in dirs:
+                one = self.spark.read.schema(schema).option("basePath", d).parquet(d).select(*schema.fieldNames())
+                df = one if df is None else df.unionByName(one)
+        else:
+            df = self.spark.read.schema(schema).parquet(*dirs).select(*schema.fieldNames())
         if where is not None:
             df = df.where(where)
         if columns is not None:

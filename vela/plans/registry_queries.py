@@ -112,3 +112,28 @@ _DEP_SQL = (
 @register("registry_deployments", _DEP_SQL)
 def registry_deployments(spark: SparkSession, sf: str) -> DataFrame:
     return V.deployments(_log(spark, sf))
+
+
+# ----------------------------------------------------------------- V8 ----
+@register("scores_with_registry", (
+    f"WITH r AS ({REG_SQL}), latest AS (SELECT model_name, arg_max(model_version, {VKEY}) AS model_version,"
+    " min(ts) AS first_registered FROM r WHERE kind = 'register' GROUP BY model_name)"
+    " SELECT e.event_id, round(e.value / 100.0::double, 6) AS score, latest.model_name, latest.model_version,"
+    " latest.first_registered FROM (SELECT *, 'model_' || cast(user_id % 7 AS varchar) AS model_name FROM events) e"
+    " JOIN latest ON e.model_name = latest.model_name"))
+def scores_with_registry(spark: SparkSession, sf: str) -> DataFrame:
+    """Every scored event carries the version of its model (one per user group), looked up in the log.
+
+    The looked-up side has one row per model (a bounded table), so it is
+    broadcast in an equi-join on the model name; the event side is never
+    shuffled.
+    """
+    log = _log(spark, sf).where(F.col("kind") == "register")
+    latest = log.groupBy("model_name").agg(
+        F.max_by("model_version", V.version_key("model_version")).alias("model_version"),
+        F.min("ts").alias("first_registered"))
+    ev = TB.table(spark, sf, "events").select(
+        "event_id", F.round(F.col("value") / F.lit(100.0), 6).alias("score"),
+        F.concat(F.lit("model_"), (F.col("user_id") % 7).cast("string")).alias("model_name"))
+    return ev.join(F.broadcast(latest), "model_name").select(
+        "event_id", "score", "model_name", "model_version", "first_registered")

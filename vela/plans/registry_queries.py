@@ -51,6 +51,7 @@ REG_SQL = (
     " value / 100.0::double AS m_accuracy, cast(event_id % 100 AS double) / 100.0::double AS m_f1,"
     " CASE WHEN event_type IN ('purchase', 'error') THEN 'dep_' || cast(user_id % 11 AS varchar) END AS deployment_id,"
     " CASE WHEN event_type = 'error' THEN 'failed' END AS status FROM events")
+BROADCAST_MAX_MODELS = 100_000
 VKEY = "list_transform(string_split(model_version, '.'), lambda x: cast(x AS integer))"
 
 
@@ -135,5 +136,7 @@ def scores_with_registry(spark: SparkSession, sf: str) -> DataFrame:
     ev = TB.table(spark, sf, "events").select(
         "event_id", F.round(F.col("value") / F.lit(100.0), 6).alias("score"),
         F.concat(F.lit("model_"), (F.col("user_id") % 7).cast("string")).alias("model_name"))
-    return ev.join(F.broadcast(latest), "model_name").select(
+    # one row per model: broadcast while that is provably small, else a shuffle join
+    lookup = F.broadcast(latest) if latest.count() <= BROADCAST_MAX_MODELS else latest
+    return ev.join(lookup, "model_name").select(
         "event_id", "score", "model_name", "model_version", "first_registered")

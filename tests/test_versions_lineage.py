@@ -119,3 +119,18 @@ def test_sequence_and_next_within_match_plain_windows_on_hot_key(spark):
     got_rn = {r.id: r.rn for r in seq.collect()}
     got_nx = {r.id: r.next_id for r in nxt.collect()}
     assert {(i, got_rn[i], got_nx[i]) for i in got_rn} == want
+
+
+def test_sequence_within_on_array_keys(spark):
+    from pyspark.sql.window import Window
+
+    from vela.operators.sequence import sequence_within
+
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("m"), (F.col("id") % 11).cast("string")))
+        .alias("m"),
+        F.array((F.col("id") % 13).cast("int"), (F.col("id") % 7).cast("int"), F.col("id").cast("int")).alias("v"))
+    w = Window.partitionBy("m").orderBy("v")
+    want = {(r.m, tuple(r.v), r.rn) for r in df.select("m", "v", (F.row_number().over(w) - 1).alias("rn")).collect()}
+    got = {(r.m, tuple(r.v), r.seq) for r in sequence_within(df, ["m"], "v", buckets=8).collect()}
+    assert got == want

@@ -40,14 +40,46 @@ def _numeric(df: DataFrame, order: str) -> Column:
     return F.col(order).cast("double")
 
 
+_NUMERIC_ORDER = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+                  T.DecimalType, T.TimestampType, T.TimestampNTZType, T.DateType)
+
+
+def _sampled_cuts(df: DataFrame, order: str, buckets: int, per_bucket: int = 32) -> list:
+    """Cut points of any orderable column (arrays, strings) from a bounded sample.
+
+    Like a range partitioner: about ``buckets * per_bucket`` rows are sampled,
+    sorted on the driver, and every ``per_bucket``-th value becomes a cut.
+    """
+    n = df.count()
+    want = buckets * per_bucket
+    frac = min(1.0, want / max(n, 1))
+    vals = [r[0] for r in df.select(order).where(F.col(order).isNotNull()).sample(fraction=frac, seed=17)
+            .orderBy(order).limit(2 * want).collect()]
+    step = max(1, len(vals) // buckets)
+    cuts = []
+    for v in vals[step::step]:
+        if not cuts or v != cuts[-1]:
+            cuts.append(v)
+    return cuts[:buckets - 1]
+
+
 def with_order_bucket(df: DataFrame, order: str, buckets: int | None = None, name: str = "_bkt") -> DataFrame:
-    """Add a monotone bucket of ``order`` from approximate quantiles (one pass)."""
+    """Add a monotone integer bucket of ``order`` (NULLs first, bucket -1).
+
+    Numeric and time columns use approximate quantiles (one pass) and a binary
+    search; other orderable columns (arrays, strings) use sampled cut points.
+    """
     spark = df.sparkSession
     if buckets is None:
         buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    num = df.withColumn("_ord_num", _numeric(df, order))
     if buckets <= 1:
-        return num.withColumn(name, F.lit(0)).drop("_ord_num")
+        return df.withColumn(name, F.lit(0))
+    if not isinstance(df.schema[order].dataType, _NUMERIC_ORDER):
+        b = F.lit(0)
+        for c in _sampled_cuts(df, order, buckets):
+            b = b + F.when(F.col(order) > F.lit(c), 1).otherwise(0)
+        return df.withColumn(name, F.when(F.col(order).isNull(), F.lit(-1)).otherwise(b))
+    num = df.withColumn("_ord_num", _numeric(df, order))
     cuts = sorted(set(num.approxQuantile("_ord_num", [i / buckets for i in range(1, buckets)],
                                          1.0 / (4 * buckets))))
     splits = [float("-inf"), *cuts, float("inf")]

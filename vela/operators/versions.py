@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .sequence import sequence_within
+
 REGISTRY_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType(), False),
     T.StructField("ts", T.TimestampNTZType(), False),
@@ -90,12 +92,18 @@ def stages(log: DataFrame) -> DataFrame:
 
 
 def model_versions(log: DataFrame) -> DataFrame:
-    """Distinct versions per model with semantic rank (1 = oldest)."""
-    reg = log.where(F.col("kind") == "register").groupBy("model_name", "model_version").agg(
-        F.min("ts").alias("registered_at"))
-    from pyspark.sql.window import Window
-    w = Window.partitionBy("model_name").orderBy(version_key("model_version"))
-    return reg.withColumn("version_rank", F.dense_rank().over(w))
+    """Distinct versions per model with dense semantic rank (1 = oldest).
+
+    The rank is a skew-safe per-model position over distinct version keys, so
+    a model with a very long history is split across tasks.
+    """
+    reg = (log.where(F.col("kind") == "register").groupBy("model_name", "model_version")
+           .agg(F.min("ts").alias("registered_at"))
+           .withColumn("_vkey", version_key("model_version")))
+    keys = reg.select("model_name", "_vkey").distinct()
+    ranked = sequence_within(keys, ["model_name"], "_vkey", out="_pos")
+    return (reg.join(ranked, ["model_name", "_vkey"])
+            .select("model_name", "model_version", "registered_at", (F.col("_pos") + 1).alias("version_rank")))
 
 
 def list_models(log: DataFrame) -> DataFrame:

@@ -29,3 +29,8 @@ def test_single_partition_windows_only_on_bounded_tables(spark, sf):
     plan = _plan(E.queries()["roc_auc"](spark, sf))
     windows = re.findall(r"Window \[.*?\], \[(.*?)\], \[", plan)
     assert sum(1 for w in windows if w.strip() == "") <= 1
+
+
+def test_top_n_per_group_is_limited_before_the_shuffle(spark, sf):
+    plan = _plan(E.queries()["snapshot_sample"](spark, sf))
+    assert "WindowGroupLimit" in plan and "Partial" in plan

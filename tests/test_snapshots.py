@@ -135,3 +135,11 @@ def test_append_to_partitioned_table(cat, spark):
     assert sorted(df.collect()) == sorted(full.collect())
     assert cat.read("p").count() == 200
     assert "PartitionFilters" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_orphan_folder_id_is_not_reused(cat, spark):
+    cat.write(_df(spark, 10), "c")
+    # simulate a crash after the data write of snapshot 2, before its log row
+    _df(spark, 5).write.parquet(f"{cat.warehouse}/t/c/snapshot-00000002")
+    info = cat.write(_df(spark, 7), "c")
+    assert info["snapshot_id"] == 3 and cat.read("c").count() == 7

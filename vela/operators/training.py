@@ -22,7 +22,7 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import spread
+from ..session import ensure_checkpoint_dir, spread
 from . import features as FE
 from . import metrics as M
 
@@ -123,6 +123,7 @@ def fit(train: DataFrame, target: str, features: Sequence[str], model_type: str,
         hyperparameters: Mapping | None = None, seed: int = RANDOM_STATE) -> tuple[PipelineModel, dict]:
     """Fit preprocessing once on the training rows, then the classifier."""
     hp = effective_hyperparameters(model_type, hyperparameters)
+    ensure_checkpoint_dir(train.sparkSession)  # boosting / node-id caches checkpoint reliably
     stages, used = preprocessing_stages(train, features, target)
     train = with_label(train, target)
     prep = Pipeline(stages=stages).fit(train)

@@ -212,7 +212,24 @@ class SnapshotCatalog:
         row = log.agg(F.max("snapshot_id").alias("m"),
                       F.max_by(F.struct(*log.columns),
                                F.when(F.col("status") == "committed", F.col("snapshot_id"))).alias("cur")).first()
-        return (row["m"] or 0) + 1, row["cur"]
+        # A crash between the data write and the log commit leaves a folder with
+        # no log row; never reuse its id.
+        return max(row["m"] or 0, self._max_folder_id(ident)) + 1, row["cur"]
+
+    def _max_folder_id(self, ident: str) -> int:
+        jvm = getattr(self.spark, "_jvm", None)
+        if jvm is None:
+            return 0
+        p = jvm.org.apache.hadoop.fs.Path(self._table_dir(ident))
+        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return 0
+        ids = [0]
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("snapshot-") and name[9:].isdigit():
+                ids.append(int(name[9:]))
+        return max(ids)
 
     # ---------------------------------------------------------- write ---
     def write(self, df: DataFrame, table: str, mode: str = "overwrite",

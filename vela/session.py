@@ -47,7 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not conf:
         # Only reached when nobody configured a shared folder (local tests).
         conf = tempfile.mkdtemp(prefix="vela-ckpt-")
-        spark.conf.set(_CKPT_KEY, conf)
+        try:  # informational only; some deployments reject runtime core-conf changes
+            spark.conf.set(_CKPT_KEY, conf)
+        except Exception:  # noqa: BLE001
+            pass
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 

@@ -188,6 +188,9 @@ _MOMENTS = [  # (name, builder over a uniform factory u(salt))
     ("beta_1_30", lambda u: u("m|c"), "beta_one"),
     ("exp_30", lambda u: u("m|e"), "exp"),
     ("uniform", lambda u: u("m|u"), "uniform"),
+    ("beta_1_5_8", lambda u: ([u("m|h0"), u("m|h1")], u("m|h2"), [u(f"m|h{i + 3}") for i in range(8)]), "beta_half"),
+    ("randint_0_24", lambda u: u("m|r"), "randint"),
+    ("lognormal_clip", lambda u: (u("m|l0"), u("m|l1")), "lognormal"),
 ]
 
 
@@ -202,6 +205,17 @@ def _moment_expr(kind: str, args, lib):
         return lib.beta_one(args, 30.0)
     if kind == "exp":
         return lib.exponential(args, 30.0)
+    if kind == "beta_half":
+        zs, uh, ub = args
+        if lib is R:
+            return R.beta_half_int(R.normal(*zs), uh, ub)
+        return O.beta_half(O.normal(*zs), uh, ub)
+    if kind == "randint":
+        return lib.randint(args, 0, 24)
+    if kind == "lognormal":
+        if lib is R:
+            return R.clip(F.exp(R.normal(args[0], args[1], 4.0, 1.5)), 1.0, 5000.0)
+        return O.clip(f"exp({O.normal(args[0], args[1], 4.0, 1.5)})", O.num(1.0), O.num(5000.0))
     return args
 
 

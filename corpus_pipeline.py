@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vela.llm import mixing, packing, quality_rules, secrets
+from vela.llm import mixing, near_dedup, packing, quality_rules, secrets
 from vela.session import ensure_checkpoint_dir, scratch_path
 
 
@@ -18,6 +18,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.filter_docs(docs)
 
 
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
+    ensure_checkpoint_dir(spark)
+    return near_dedup.filter_docs(docs)
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their secrets replaced."""
     return secrets.redact(docs)
@@ -34,7 +40,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("quality rules", quality), ("secret scans", secret_scan), ("mixing", mix), ("packing", pack)]
+STAGES = [("quality rules", quality), ("near dedup", dedup), ("secret scans", secret_scan), ("mixing", mix), ("packing", pack)]
 
 #: SQL expresses neither the near-duplicate forest nor tokenising; tests compare with brute force.
 ORACLE_SQL = None

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_checkpoint_dir
 from ..sources import tables as TB
 from . import oracle
-from . import mixing, packing, quality_rules, secrets, url_reputation
+from . import mixing, near_dedup, packing, quality_rules, secrets, url_reputation
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,13 +35,18 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(_table(spark, sf_dir, "documents"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return near_dedup.groups(_table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, those in nested encodings included."""
     return secrets.report(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_packing, op6_url_filters, op7_mixing, op8_quality_rules, op10_secret_scans)}
+    return {f.__name__: f for f in (op4_packing, op6_url_filters, op7_mixing, op8_quality_rules, op9_near_dedup, op10_secret_scans)}
 
 
 def oracle_sql() -> dict[str, str]:

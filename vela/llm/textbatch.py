@@ -42,12 +42,12 @@ class Chunk:
         return len(self.starts) - 1
 
 
-def chunks(texts: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
-    """Chunks of a string array; a null counts as an empty text."""
+def chunks(texts: pa.Array, limit: int = CHUNK_BYTES, rows: int = 1 << 20) -> Iterator[Chunk]:
+    """Chunks of a string array, of at most ``rows`` texts; a null counts as an empty text."""
     held, size, first = [], 0, 0
     for i, text in enumerate(texts):
         raw = text.as_buffer() if text.is_valid else b""
-        if held and size + len(raw) > limit:
+        if held and (size + len(raw) > limit or len(held) >= rows):
             yield _chunk(first, held)
             held, size, first = [], 0, i
         held.append(raw)

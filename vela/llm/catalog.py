@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_checkpoint_dir
 from ..sources import tables as TB
 from . import oracle
-from . import mixing, near_dedup, packing, quality_rules, secrets, url_reputation
+from . import language_id, mixing, near_dedup, packing, quality_classifier, quality_rules, secrets, toxicity, url_reputation, vp_search
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,11 +15,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return TB.table(spark, sf_dir, name)
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_classifier.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return language_id.report(_table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens in sequences of at most 1024, cut by dynamic programming."""
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op5_vp_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest vectors of every hundredth vector."""
+    return vp_search.report(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and reputation verdict of every page url."""
     return url_reputation.judge(_table(spark, sf_dir, "pages"))
@@ -46,7 +66,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_packing, op6_url_filters, op7_mixing, op8_quality_rules, op9_near_dedup, op10_secret_scans)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_language_id, op3_toxicity, op4_packing, op5_vp_search, op6_url_filters, op7_mixing, op8_quality_rules, op9_near_dedup, op10_secret_scans)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -11,9 +11,14 @@ def fold(key: Column, modulus: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % modulus
 
 
-def class_sample(rows: DataFrame, label: str, key: str, per_class: int) -> DataFrame:
-    """About ``per_class`` rows of every label value, picked by a hash of the key; adds column class_rows, the value's row count."""
-    counts = rows.groupBy(F.col(label).alias("_value")).agg(F.count(F.lit(1)).alias("class_rows"))
-    share = F.lit(float(per_class)) / F.col("class_rows")
-    picked = F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1 << 30)) < share * (1 << 30)
-    return rows.join(counts, F.col(label) == F.col("_value")).drop("_value").filter(picked)
+def class_counts(rows: DataFrame, label: str) -> dict:
+    """Rows per label value; one row per value (two classes, a few languages) reaches the driver."""
+    return {r[0]: r[1] for r in rows.groupBy(label).count().collect() if r[0] is not None}
+
+
+def class_sample(rows: DataFrame, label: str, key: str, per_class: int, counts: dict) -> DataFrame:
+    """About ``per_class`` rows of every label value of ``counts``, picked by a hash of the key; a map-only filter."""
+    if not counts:
+        return rows.filter(F.lit(False))
+    share = F.element_at(F.create_map(*[F.lit(x) for v, n in counts.items() for x in (v, per_class / n)]), F.col(label))
+    return rows.filter(F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1 << 30)) < share * (1 << 30))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .folds import class_sample, fold
+from .folds import class_counts, class_sample, fold
 from .textbatch import Chunk, chunks, code_points, gram_hashes
 
 GRAMS = (1, 2, 3, 4)
@@ -173,6 +173,6 @@ def with_language(docs: DataFrame, filters: Filters) -> DataFrame:
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row; learned from the rows outside the held-out fold."""
     known = docs.filter("lang IS NOT NULL AND text IS NOT NULL").filter(fold(F.col("doc_id"), 4) != 2).select("doc_id", "text", "lang")
-    filters = fit(class_sample(known, "lang", "doc_id", PER_LANGUAGE))
+    filters = fit(class_sample(known, "lang", "doc_id", PER_LANGUAGE, class_counts(known.select("lang"), "lang")))
     return with_language(docs.select("doc_id", "text"), filters).select(
         "doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "_l.lang_pred", "_l.score")

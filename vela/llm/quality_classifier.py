@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .folds import class_sample, fold
+from .folds import class_counts, class_sample, fold
 from .textbatch import Chunk, chunks, code_points, combine, gram_hashes, run_hashes, runs, window_owner
 
 BUCKETS = 1 << 17
@@ -147,9 +147,10 @@ def with_score(docs: DataFrame, model: np.ndarray, column: str = "score", which:
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every row; learned from the labelled rows outside the held-out fold."""
     known = labels.filter("quality IS NOT NULL").filter(fold(F.col("doc_id"), 3) != 1).select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
-    picked = class_sample(known, "label", "id", PER_CLASS)
+    known = known.filter("label IN (0, 1)")
+    counts = class_counts(known, "label")
+    picked = F.broadcast(class_sample(known, "label", "id", PER_CLASS, counts))  # about 2 * PER_CLASS rows of two numbers
     sample = docs.select("doc_id", "text").join(picked, F.col("doc_id") == F.col("id"))
-    counts = {r[0]: r[1] for r in known.groupBy("label").count().filter("label IN (0, 1)").collect()}  # two rows
     return with_score(docs.select("doc_id", "text"), fit(sample, counts)).select(
         "doc_id", F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))

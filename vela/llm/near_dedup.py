@@ -3,16 +3,17 @@
 1. Every text's distinct word shingles are hashed to 48 bits; HASHES minimum hashes are its
    signature.  Texts with equal sets (a 128-bit digest) form a class; one document stands for it.
 2. The signature is cut into TREES paths of DEPTH values.  Each tree is one sorted order of the
-   paths; a document's candidates are the documents next to it, up to NEIGHBOURS on either
-   side, that share LEAST_PREFIX values at least.  Where few documents share a prefix that reaches all of them;
+   paths; a document's candidates are the documents next to it, up to NEAR and then NEIGHBOURS on
+   either side, that share LEAST_PREFIX values at least.  Where few documents share a prefix that reaches all of them;
    in a crowded region the nearest in the order are those with the longest common prefix, so the
    depth that counts adapts to the region.  Orders are range-partitioned by (tree, path, document), so even
    equal paths spread over tasks.  Documents whose prefix nobody shares are left out before the sort.
 3. Candidates are compared on an 8-bit sketch of the signature; pairs clearly below the threshold go.
-4. Links are confirmed on full sets, in two rounds: first the FIRST best candidates of every document; then,
-   of the remaining candidates, all whose ends are in different components so far.  No candidate is left out
-   that could join two components.  Sets are computed again from the texts of candidate documents
-   only; a fixed-size bitmap of their ids tells which, so texts are not shuffled.
+4. Links are confirmed on full sets, in two rounds: first the FIRST best candidates of every document among the
+   NEAR next ones; then all candidates among the NEIGHBOURS next ones whose ends are in different components so
+   far.  A large group of near copies thus costs a few checks a document, not all its pairs.  Sets are
+   computed again from the texts of candidate documents only; a fixed-size bitmap of their ids tells
+   which, so texts are not shuffled.
 5. Components by alternating star steps; a class takes the component of its document.
 
 Edge cases: null and empty texts and texts without words have no set, are linked with nothing and kept; texts
@@ -32,19 +33,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .components import components
+from .idbitmap import bitmap, held, position
 from .textbatch import LOWER, SPACE, chunks, combine, mix, run_hashes, runs
 
 SHINGLE = 5
 TREES, DEPTH = 16, 8
 HASHES = TREES * DEPTH
-NEIGHBOURS = 32
+NEAR, NEIGHBOURS = 4, 32
 LEAST_PREFIX = 2
 FIRST = 3
 #: Links: 100 * intersection >= SIMILAR * union.
 SIMILAR = 75
 #: Sketch values that must agree, of HASHES; a pair at the threshold has 96 on average, with a deviation of 5.
-LEAST_AGREE = 74
-BITMAP_BITS = 1 << 26
+LEAST_AGREE = 78
 _BITS = np.uint64(48)
 _MASK = np.uint64((1 << 48) - 1)
 
@@ -114,38 +115,39 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(x.as_buffer() for x in column), dtype=np.uint8).reshape(-1, width)
 
 
-def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of a run of rows (tree, path, doc, sketch) in sorted order."""
-    held = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        doc = batch.column(2).to_numpy()
-        region = np.concatenate((batch.column(0).to_numpy()[:, None].astype(np.uint8), _matrix(batch.column(1), 4 * DEPTH)[:, :4 * LEAST_PREFIX]), axis=1)
-        sketch = _matrix(batch.column(3), HASHES)
-        old = 0
-        if held is not None:
-            old = len(held[0])
-            doc, region, sketch = (np.concatenate(x) for x in zip(held, (doc, region, sketch)))
-        out = []
-        for shift in range(1, min(NEIGHBOURS, len(doc) - 1) + 1):
-            low = max(0, old - shift)  # pairs within the rows held were given before
-            same = np.flatnonzero((region[low:len(doc) - shift] == region[low + shift:]).all(axis=1)) + low
-            if not len(same):
-                break
-            for part in np.array_split(same, len(same) // 50_000 + 1):
-                agree = (sketch[part] == sketch[part + shift]).sum(axis=1)
-                part = part[agree >= LEAST_AGREE]
-                out.append((doc[part], doc[part + shift], agree[agree >= LEAST_AGREE]))
-        if out:
-            a, b, agree = (np.concatenate(x) for x in zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(agree.astype(np.int32))], names=["a", "b", "agree"])
-        keep = min(NEIGHBOURS, len(doc))
-        held = doc[-keep:], region[-keep:], sketch[-keep:]
-
-
-def candidates(reps: DataFrame) -> DataFrame:
-    """Pairs (a, b, agree) with a < b of a table with doc and signature."""
+def _neighbours(width: int):
+    """Candidate pairs of a run of rows (tree, path, doc, sketch, root) in sorted order: up to ``width`` on, roots differ."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            region = np.concatenate((batch.column(0).to_numpy()[:, None].astype(np.uint8), _matrix(batch.column(1), 4 * DEPTH)[:, :4 * LEAST_PREFIX]), axis=1)
+            now = batch.column(2).to_numpy(), batch.column(4).to_numpy(), region, _matrix(batch.column(3), HASHES)
+            old = 0 if held is None else len(held[0])
+            doc, root, region, sketch = now if held is None else (np.concatenate(x) for x in zip(held, now))
+            out = []
+            for shift in range(1, min(width, len(doc) - 1) + 1):
+                low = max(0, old - shift)  # pairs within the rows held were given before
+                same = np.flatnonzero((region[low:len(doc) - shift] == region[low + shift:]).all(axis=1)) + low
+                if not len(same):
+                    break
+                same = same[root[same] != root[same + shift]]
+                for part in np.array_split(same, len(same) // 50_000 + 1):
+                    agree = (sketch[part] == sketch[part + shift]).sum(axis=1)
+                    part = part[agree >= LEAST_AGREE]
+                    out.append((doc[part], doc[part + shift], agree[agree >= LEAST_AGREE]))
+            if out:
+                a, b, agree = (np.concatenate(x) for x in zip(*out))
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(agree.astype(np.int32))], names=["a", "b", "agree"])
+            keep = min(width, len(doc))
+            held = doc[-keep:], root[-keep:], region[-keep:], sketch[-keep:]
+
+    return run
+
+
+def forest(reps: DataFrame) -> DataFrame:
+    """Rows (tree, path, doc, sketch) of the documents (doc, signature) that share a prefix in the tree."""
     trees = F.sequence(F.lit(0), F.lit(TREES - 1))
 
     def path(t, n):
@@ -156,41 +158,36 @@ def candidates(reps: DataFrame) -> DataFrame:
     shared = keys.groupBy(F.col("key").alias("shared")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     used = keys.join(shared, F.col("key") == F.col("shared"), "left_semi").groupBy(F.col("doc").alias("used")).agg(F.collect_set("tree").alias("trees"))
     low_bytes = F.concat(*[F.substring(F.col("signature"), 4 * k + 4, 1) for k in range(HASHES)])
-    rows = (reps.join(used, F.col("doc") == F.col("used")).withColumn("sketch", low_bytes)
+    return (reps.join(used, F.col("doc") == F.col("used")).withColumn("sketch", low_bytes)
             .select(F.explode("trees").alias("tree"), "signature", "doc", "sketch")
             .select("tree", path(F.col("tree"), DEPTH).alias("path"), "doc", "sketch"))
-    order = ["tree", "path", "doc"]
-    return (rows.checkpoint().repartitionByRange(*order).sortWithinPartitions(*order)
-            .mapInArrow(_neighbours, "a bigint, b bigint, agree int").dropDuplicates(["a", "b"]))
 
 
-def _bitmap(ids: DataFrame) -> np.ndarray:
-    """Bits at the hashes of ids (column x); at most BITMAP_BITS / 64 words reach the driver."""
-    at = F.pmod(F.xxhash64("x"), F.lit(BITMAP_BITS))
-    words = (ids.select(at.alias("at")).groupBy(F.floor(F.col("at") / 64).cast("int").alias("word"))
-             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("at") % 64).cast("int"))).alias("bits")).toPandas())
-    out = np.zeros(BITMAP_BITS // 64, dtype=np.int64)
-    out[words["word"].to_numpy()] = words["bits"].to_numpy()
-    return out
+def candidates(rows: DataFrame, width: int, roots: DataFrame | None = None) -> DataFrame:
+    """Pairs (a, b, agree) with a < b of forest rows; with ``roots`` (node, root) only pairs of different components."""
+    if roots is None:
+        rows = rows.withColumn("root", F.col("doc"))
+    else:
+        rows = rows.join(roots, F.col("doc") == F.col("node"), "left").withColumn("root", F.coalesce("root", "doc"))
+    order = ["tree", "path", "doc"]
+    return (rows.select(*order, "sketch", "root").repartitionByRange(*order).sortWithinPartitions(*order)
+            .mapInArrow(_neighbours(width), "a bigint, b bigint, agree int").dropDuplicates(["a", "b"]))
 
 
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(doc, shingles) of the documents whose id is in ids (column x), and a few more where hashes meet."""
     spark = docs.sparkSession
-    bits = spark.sparkContext.broadcast(_bitmap(ids))
+    bits = spark.sparkContext.broadcast(bitmap(ids))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = bits.value
         for batch in batches:
-            at = batch.column(2).to_numpy()
-            hit = (words[at >> 6] >> (at & 63)) & 1
-            rows = pa.array(np.flatnonzero(hit))
-            batch = batch.take(rows)
+            batch = batch.filter(pa.array(held(words, batch.column(2).to_numpy())))
             for first, shingles, offsets in shingle_sets(batch.column(1)):
                 sets = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(shingles.astype(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(offsets) - 1), sets], names=["doc", "shingles"])
 
-    hashed = docs.filter("doc_id IS NOT NULL").select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS)).alias("at"))
+    hashed = docs.filter("doc_id IS NOT NULL").select("doc_id", "text", position(F.col("doc_id")).alias("at"))
     return hashed.mapInArrow(run, "doc bigint, shingles array<bigint>")
 
 
@@ -207,23 +204,19 @@ def _links(edges: DataFrame) -> DataFrame:
     return edges.filter("linked").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def linked_components(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, root) of the documents that candidate pairs link, confirmed on full sets."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("x")).distinct()
-    sets = full_sets(docs, ends).join(ends, F.col("doc") == F.col("x"), "left_semi").dropDuplicates(["doc"]).checkpoint()
+def linked_components(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(node, root) of the documents that links join; rows is a materialised forest."""
+    pairs = candidates(rows, NEAR).checkpoint()
+    in_rows = rows.select(F.col("doc").alias("x")).distinct()
+    sets = full_sets(docs, in_rows).join(in_rows, F.col("doc") == F.col("x"), "left_semi").dropDuplicates(["doc"]).checkpoint()
     sided = pairs.select("a", "b", "agree", F.explode(F.array("a", "b")).alias("x"))
     best = W.partitionBy("x").orderBy(F.col("agree").desc(), "a", "b")
     first = sided.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= FIRST).select("a", "b").distinct()
     tried = _confirmed(first, sets)
     found = components(_links(tried))
-
-    def root(end: str) -> DataFrame:
-        return found.select(F.col("node").alias(f"{end}_node"), F.col("root").alias(f"{end}_root"))
-
-    rest = (pairs.select("a", "b").join(tried.select(F.col("a").alias("ta"), F.col("b").alias("tb")), (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left_anti")
-            .join(root("a"), F.col("a") == F.col("a_node"), "left").join(root("b"), F.col("b") == F.col("b_node"), "left")
-            .filter(F.coalesce("a_root", "a") != F.coalesce("b_root", "b")).select("a", "b"))
-    more = _links(_confirmed(rest, sets))
+    rest = candidates(rows, NEIGHBOURS, found).join(
+        tried.select(F.col("a").alias("ta"), F.col("b").alias("tb")), (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left_anti")
+    more = _links(_confirmed(rest.select("a", "b"), sets))
     return components(found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
 
 
@@ -233,8 +226,7 @@ def groups(docs: DataFrame) -> DataFrame:
     classes = (every.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2")
                .agg(F.min(F.struct("doc_id", "signature")).alias("r"))
                .select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.col("r.doc_id").alias("doc"), F.col("r.signature").alias("signature")).checkpoint())
-    pairs = candidates(classes.select("doc", "signature")).checkpoint()
-    roots = linked_components(docs, pairs)
+    roots = linked_components(docs, forest(classes.select("doc", "signature")).checkpoint())
     known = (classes.select("c1", "c2", "doc").join(roots, F.col("doc") == F.col("node"), "left")
              .select("c1", "c2", F.coalesce("root", "doc").alias("root")))
     return (every.select("doc_id", "n_shingles", "k1", "k2")

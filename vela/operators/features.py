@@ -144,8 +144,8 @@ def one_hot(df: DataFrame, vocab: dict[str, list[str]], drop_first: bool = False
 # --------------------------------------------------------------- split ---
 
 def split_hash(df: DataFrame, key: str, train_fraction: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """T1 default: sticky per-key split, map-only, independent of partitioning."""
-    u = uniform(F.col(key), f"split|{seed}")
+    """T1 default: sticky per-key split, map-only, independent of partitioning; rows without a key are tested on."""
+    u = F.coalesce(uniform(F.col(key), f"split|{seed}"), F.lit(1.0))
     return df.where(u < F.lit(train_fraction)), df.where(u >= F.lit(train_fraction))
 
 
@@ -196,21 +196,21 @@ def split_prefix(df: DataFrame, key: str, train_fraction: float = 0.8) -> tuple[
     """T1 reference mode: first ``int(fraction * n)`` rows in key order train.
 
     Implemented as a cut value found by distributed selection, then two
-    map-only filters; ``key`` must be unique.
+    map-only filters; ``key`` must be unique.  Rows without a key come after
+    all others, so they are tested on.
     """
-    n = df.count()
-    k = int(n * train_fraction)
+    n, keyed = df.agg(F.count(F.lit(1)), F.count(key)).first()
+    k = min(int(n * train_fraction), keyed)
     if k <= 0:
-        return df.limit(0), df
-    if k >= n:
-        return df, df.limit(0)
+        return df.where(F.lit(False)), df
     cut = kth_smallest(df, key, k)
-    return df.where(F.col(key) <= F.lit(cut)), df.where(F.col(key) > F.lit(cut))
+    train = F.coalesce(F.col(key) <= F.lit(cut), F.lit(False))
+    return df.where(train), df.where(~train)
 
 
 # --------------------------------------------------------------- align ---
 
-def _zero(dtype: T.DataType) -> Column:
+def typed_zero(dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return F.lit("0")
     if isinstance(dtype, T.BooleanType):
@@ -228,7 +228,7 @@ def align_features(df: DataFrame, expected: T.StructType, strict: bool = False)
     missing = [f.name for f in expected.fields if f.name not in have]
     if strict and missing:
         raise ValueError(f"Missing feature columns: {missing}")
-    feats = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in have else _zero(f.dataType).alias(f.name)
+    feats = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in have else typed_zero(f.dataType).alias(f.name)
              for f in expected.fields]
     extra = [F.col(c) for c in df.columns if c not in {f.name for f in expected.fields}]
     return df.select(*extra, *feats)
@@ -245,7 +245,8 @@ def parse_records(df: DataFrame, payload: str, schema: T.StructType, request_id:
     obj = F.try_variant_get(v, "$", schema.simpleString())
     valid = v.isNotNull()
     records = F.when(arr.isNotNull(), arr).when(obj.isNotNull(), F.array(obj))
-    error = F.when(~valid, F.lit("malformed JSON")).when(records.isNull(), F.lit("unsupported payload"))
+    error = (F.when(~valid, F.lit("malformed JSON")).when(records.isNull(), F.lit("unsupported payload"))
+             .when(F.size(records) == 0, F.lit("no records")))
     exploded = df.select(F.col(request_id), error.alias("error"),
                          F.posexplode_outer(records).alias("item_index", "_rec"))
     fields = [F.col("_rec").getField(f.name).alias(f.name) for f in schema.fields]

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .sequence import next_within
+from .versions import version_key
 
 FACETS = T.MapType(T.StringType(), T.StringType())
 DATASET = T.StructType([
@@ -50,7 +51,10 @@ TERMINAL = ("COMPLETE", "FAIL", "ABORT")
 
 def typed_events(raw: DataFrame) -> DataFrame:
     """L1: raw DM9 rows -> flat typed table; bad lines keep ``error`` set."""
-    t = F.to_timestamp_ntz(F.regexp_replace(F.col("eventTime"), "Z$", ""))
+    # an instant as UTC wall clock; without an offset the time is UTC already; malformed times are NULL
+    zoned = F.col("eventTime").rlike(r"(Z|[+-]\d{2}:?\d{2})$")
+    instant = F.try_to_timestamp(F.when(zoned, F.col("eventTime")).otherwise(F.concat(F.col("eventTime"), F.lit("Z"))))
+    t = F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
     bad = F.col("_corrupt_record").isNotNull() | F.col("run.runId").isNull() | F.col("eventType").isNull() | t.isNull()
     return raw.select(
         F.col("run.runId").alias("run_id"), F.col("eventType").alias("event_type"), t.alias("event_time"),
@@ -69,16 +73,31 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return dedupe(typed_events(raw))
 
 
+def _raw_stream(spark: SparkSession, path: str) -> DataFrame:
+    return (spark.readStream.schema(RAW_EVENT).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
+
+
+def read_bad_events_stream(spark: SparkSession, path: str) -> DataFrame:
+    """The lines that ``read_events_stream`` leaves out, each with its ``error``."""
+    return typed_events(_raw_stream(spark, path)).where(F.col("error").isNotNull())
+
+
+def phase() -> F.Column:
+    """Order of events of equal time: START first, terminal events last."""
+    return (F.when(F.col("event_type") == "START", 0).when(F.col("event_type").isin(*TERMINAL), 2).otherwise(1))
+
+
 def read_events_stream(spark: SparkSession, path: str, watermark: str = "1 hour") -> DataFrame:
     """L1 streaming twin: same schema and parsing over a growing folder.
 
-    The watermark bounds the de-duplication state to recent event times.
+    The watermark bounds the de-duplication state to recent event times.  Bad
+    lines have no event time; ``read_bad_events_stream`` gives them.
     """
-    raw = (spark.readStream.schema(RAW_EVENT).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
     from ..streaming.scoring import ntz_to_instant
 
-    ev = typed_events(raw).where(F.col("error").isNull()).withColumn("_wm", ntz_to_instant(F.col("event_time")))
+    ev = (typed_events(_raw_stream(spark, path)).where(F.col("error").isNull())
+          .withColumn("_wm", ntz_to_instant(F.col("event_time"))))
     return (ev.withWatermark("_wm", watermark)
             .dropDuplicatesWithinWatermark(["run_id", "event_type", "event_time"]).drop("_wm"))
 
@@ -93,7 +112,7 @@ def dedupe(ev: DataFrame) -> DataFrame:
 def runs(ev: DataFrame) -> DataFrame:
     """L2: one row per run: job, start, end, final status, duration, error."""
     good = ev.where(F.col("error").isNull())
-    o = F.struct("event_time", "event_type")
+    o = F.struct("event_time", phase().alias("phase"), "event_type")
     is_term = F.col("event_type").isin(*TERMINAL)
     return good.groupBy("run_id").agg(
         F.max("job_namespace").alias("job_namespace"), F.max("job_name").alias("job_name"),
@@ -130,12 +149,13 @@ def repair_split_runs(ev: DataFrame) -> DataFrame:
 def run_io(ev: DataFrame) -> DataFrame:
     """L4: distinct (run, side, namespace, name, latest facets) over all events."""
     good = ev.where(F.col("error").isNull())
-    side = good.select("run_id", "event_time", F.explode(F.array(
+    side = good.select("run_id", "event_time", phase().alias("phase"), F.explode(F.array(
         F.struct(F.lit("input").alias("side"), F.col("inputs").alias("ds")),
         F.struct(F.lit("output").alias("side"), F.col("outputs").alias("ds")))).alias("s"))
-    flat = side.select("run_id", "event_time", F.col("s.side").alias("side"), F.explode("s.ds").alias("d"))
+    flat = side.select("run_id", "event_time", "phase", F.col("s.side").alias("side"), F.explode("s.ds").alias("d"))
+    order = F.struct("event_time", "phase", F.to_json("d.facets"))  # repeatable for equal times
     return flat.groupBy("run_id", "side", F.col("d.namespace").alias("namespace"), F.col("d.name").alias("name")).agg(
-        F.max_by(F.col("d.facets"), F.col("event_time")).alias("facets"))
+        F.max_by(F.col("d.facets"), order).alias("facets"))
 
 
 def job_facets(ev: DataFrame) -> DataFrame:
@@ -143,7 +163,7 @@ def job_facets(ev: DataFrame) -> DataFrame:
     good = ev.where(F.col("error").isNull())
     kv = good.select("run_id", "event_time", "event_type", F.explode("job_facets").alias("facet", "value"))
     return kv.groupBy("run_id", "facet").agg(
-        F.max_by("value", F.struct("event_time", "event_type")).alias("value"))
+        F.max_by("value", F.struct("event_time", phase().alias("phase"), "event_type", "value")).alias("value"))
 
 
 def dataset_kind(name_col) -> F.Column:
@@ -158,7 +178,8 @@ def dataset_versions(io: DataFrame) -> DataFrame:
         "name", "run_id", F.col("facets").getItem("version").alias("version"),
         F.col("facets").getItem("format").alias("format"))
     return out.groupBy("name").agg(F.count_distinct("version").alias("versions"),
-                                   F.max("version").alias("max_version"), F.max("format").alias("format"))
+                                   F.max_by("version", F.struct(version_key("version"), "version")).alias("max_version"),
+                                   F.max("format").alias("format"))
 
 
 def model_facets(ev: DataFrame, io: DataFrame) -> DataFrame:
@@ -180,7 +201,7 @@ def run_kinds(io: DataFrame, all_runs: DataFrame) -> DataFrame:
     """Generation (outputs only) / transformation (both) / sink / other."""
     sides = io.groupBy("run_id").agg(
         F.count_if(F.col("side") == "input").alias("n_in"), F.count_if(F.col("side") == "output").alias("n_out"),
-        F.sum(F.when(F.col("side") == "output", F.col("facets").getItem("rows").cast("bigint"))).alias("rows"))
+        F.sum(F.when(F.col("side") == "output", F.col("facets").getItem("rows").try_cast("bigint"))).alias("rows"))
     r = all_runs.select("run_id").join(sides, "run_id", "left")
     kind = (F.when((F.coalesce("n_in", F.lit(0)) == 0) & (F.col("n_out") > 0), "generation")
             .when((F.col("n_in") > 0) & (F.col("n_out") > 0), "transformation")
@@ -192,10 +213,11 @@ def run_kinds(io: DataFrame, all_runs: DataFrame) -> DataFrame:
 def facets_by_phase(ev: DataFrame, run_ids: DataFrame) -> DataFrame:
     """L10/L11 pattern: START facets and terminal facets side by side per run."""
     good = ev.where(F.col("error").isNull()).join(run_ids, "run_id", "left_semi")
+    o = F.struct("event_time", phase().alias("phase"), "event_type", F.to_json("job_facets"))
     return good.groupBy("run_id").agg(
-        F.max_by("job_facets", F.when(F.col("event_type") == "START", F.col("event_time"))).alias("start_facets"),
-        F.max_by("job_facets", F.when(F.col("event_type").isin(*TERMINAL), F.col("event_time"))).alias("end_facets"),
-        F.max_by("event_type", F.col("event_time")).alias("status"))
+        F.max_by("job_facets", F.when(F.col("event_type") == "START", o)).alias("start_facets"),
+        F.max_by("job_facets", F.when(F.col("event_type").isin(*TERMINAL), o)).alias("end_facets"),
+        F.max_by("event_type", o).alias("status"))
 
 
 # --------------------------------------------------------------- graph ---
@@ -209,28 +231,29 @@ def bipartite_edges(io: DataFrame) -> DataFrame:
     return ins.unionByName(outs)
 
 
-def closure(io: DataFrame, direction: str = "downstream", max_depth: int = 64,
-            seeds: DataFrame | None = None) -> DataFrame:
+def closure(io: DataFrame, direction: str = "downstream", seeds: DataFrame | None = None) -> DataFrame:
     """(origin, node, depth) for every dataset reachable from each seed.
 
-    Breadth-first over the bipartite graph: one hop = dataset -> run ->
-    dataset (two equi-joins), then ``distinct`` and a left-anti join against
-    pairs already reached, so each pair is produced once at its minimum
-    depth, cycles terminate, and paths never multiply.  Each round's
-    frontier is checkpointed (reliable, shared folder) to cut lineage.
+    Runs are collapsed once to distinct dataset -> dataset edges; then a
+    breadth-first loop joins the frontier to that small graph, with
+    ``distinct`` and a left-anti join against pairs already reached, so each
+    pair is produced once at its minimum depth, cycles terminate, and a hub
+    dataset costs its distinct neighbours, not its runs.  The loop ends when a
+    round reaches nothing new.  Each round's frontier is checkpointed
+    (reliable, shared folder) to cut lineage.
     """
-    # Edge lists are re-joined every round: materialise them once (reliable checkpoint).
-    ins = io.where(F.col("side") == "input").select(F.col("name").alias("ds"), "run_id").distinct().checkpoint()
-    outs = io.where(F.col("side") == "output").select(F.col("name").alias("ds"), "run_id").distinct().checkpoint()
-    first, second = (ins, outs) if direction == "downstream" else (outs, ins)
+    ins = io.where(F.col("side") == "input").select(F.col("name").alias("a"), "run_id").distinct()
+    outs = io.where(F.col("side") == "output").select(F.col("name").alias("b"), "run_id").distinct()
+    src, dst = ("a", "b") if direction == "downstream" else ("b", "a")
+    edges = (ins.join(outs, "run_id").select(F.col(src).alias("node"), F.col(dst).alias("next")).distinct().checkpoint())
     if seeds is None:
-        seeds = first.select(F.col("ds").alias("origin")).distinct()
+        seeds = (ins if direction == "downstream" else outs).select(F.col(src).alias("origin")).distinct()
     frontier = seeds.select("origin", F.col("origin").alias("node"))
     steps: list[DataFrame] = []
-    for depth in range(1, max_depth + 1):
-        step = (frontier.join(first.withColumnRenamed("ds", "node"), "node")
-                .select("origin", "run_id")
-                .join(second, "run_id").select("origin", F.col("ds").alias("node")).distinct())
+    depth = 0
+    while True:
+        depth += 1
+        step = frontier.join(edges, "node").select("origin", F.col("next").alias("node")).distinct()
         if steps:  # earlier rounds are already materialised; their union is a cheap scan
             seen = steps[0].select("origin", "node")
             for prev in steps[1:]:

@@ -42,9 +42,9 @@ class VersionNotFoundError(ValueError):
 
 
 def version_key(v: str | Column) -> Column:
-    """Dotted version -> ARRAY<INT> (arrays compare element-wise)."""
+    """Dotted version -> ARRAY<INT> (arrays compare element-wise; a part that is no number sorts first)."""
     col = F.col(v) if isinstance(v, str) else v
-    return F.transform(F.split(col, r"\."), lambda x: x.cast("int"))
+    return F.transform(F.split(col, r"\."), lambda x: x.try_cast("int"))
 
 
 def current_state(log: DataFrame, keys: Sequence[str], values: Sequence[str],

@@ -89,7 +89,8 @@ g AS (SELECT *,
   CASE WHEN event_type = 'START' THEN cast(cast(json_extract_string(props, '$.k') AS integer) AS varchar)
        WHEN event_type = 'COMPLETE' THEN cast(event_id % 97 AS varchar)
        ELSE 'error event ' || cast(event_id AS varchar) END AS facet_value FROM f),
-ev AS (SELECT *, in_ns || '://d' || cast(k AS varchar) || '_' || cast(i AS varchar) AS in_name,
+ev AS (SELECT *, CASE WHEN event_type = 'START' THEN 0 WHEN event_type IN ('COMPLETE', 'FAIL', 'ABORT') THEN 2 ELSE 1 END AS phase,
+  in_ns || '://d' || cast(k AS varchar) || '_' || cast(i AS varchar) AS in_name,
   out_ns || '://d' || cast(k + 1 AS varchar) || '_' || cast(j AS varchar) AS out_name FROM g),
 io AS (SELECT DISTINCT run_id, 'input' AS side, in_ns AS namespace, in_name AS name FROM ev WHERE has_input
   UNION ALL SELECT run_id, 'output', out_ns, out_name FROM ev WHERE has_output)
@@ -120,9 +121,9 @@ def lineage_ingest(spark: SparkSession, sf: str) -> DataFrame:
     f"SELECT run_id, max(job_namespace) AS job_namespace, max(job_name) AS job_name,"
     f" min(CASE WHEN event_type = 'START' THEN event_time END) AS started_at,"
     f" max(CASE WHEN event_type IN {TERM} THEN event_time END) AS ended_at,"
-    f" arg_max(event_type, (event_time, event_type)) AS status,"
+    f" arg_max(event_type, (event_time, phase, event_type)) AS status,"
     f" arg_max(CASE WHEN event_type = 'FAIL' THEN facet_value END,"
-    f" CASE WHEN event_type = 'FAIL' THEN (event_time, event_type) END) AS error_message, count(*) AS events,"
+    f" CASE WHEN event_type = 'FAIL' THEN (event_time, phase, event_type) END) AS error_message, count(*) AS events,"
     f" round(date_diff('microsecond', min(CASE WHEN event_type = 'START' THEN event_time END),"
     f" max(CASE WHEN event_type IN {TERM} THEN event_time END)) / 1e6::double, 6) AS duration_s FROM ev GROUP BY run_id"))
 def lineage_runs(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,7 +158,7 @@ def lineage_io(spark: SparkSession, sf: str) -> DataFrame:
 
 # ----------------------------------------------------------------- L5 ---
 @register("lineage_facets", _q(
-    "SELECT run_id, facet_key AS facet, arg_max(facet_value, (event_time, event_type)) AS value FROM ev"
+    "SELECT run_id, facet_key AS facet, arg_max(facet_value, (event_time, phase, event_type)) AS value FROM ev"
     " GROUP BY run_id, facet_key"))
 def lineage_facets(spark: SparkSession, sf: str) -> DataFrame:
     return L.job_facets(_events(spark, sf))
@@ -165,7 +166,7 @@ def lineage_facets(spark: SparkSession, sf: str) -> DataFrame:
 
 # ----------------------------------------------------------------- L6 ---
 @register("lineage_dataset_facets", _q(
-    "SELECT out_name AS name, count(DISTINCT out_version) AS versions, max(out_version) AS max_version,"
+    "SELECT out_name AS name, count(DISTINCT out_version) AS versions, arg_max(out_version, cast(out_version AS integer)) AS max_version,"
     " 'parquet' AS format FROM ev WHERE has_output GROUP BY out_name"))
 def lineage_dataset_facets(spark: SparkSession, sf: str) -> DataFrame:
     return L.dataset_versions(L.run_io(_events(spark, sf)))
@@ -204,7 +205,7 @@ def lineage_training_runs(spark: SparkSession, sf: str) -> DataFrame:
 @register("lineage_deployment_status", _q(
     ", d AS (SELECT DISTINCT job_name FROM ev WHERE has_output AND out_ns = 'deployment'),"
     f" r AS (SELECT run_id, max(job_name) AS job_name, max(CASE WHEN event_type IN {TERM} THEN event_time END) AS ended_at,"
-    " arg_max(event_type, (event_time, event_type)) AS status FROM ev GROUP BY run_id)"
+    " arg_max(event_type, (event_time, phase, event_type)) AS status FROM ev GROUP BY run_id)"
     " SELECT job_name, arg_max(status, (ended_at, run_id)) AS latest_status, count(*) AS runs FROM r"
     " WHERE job_name IN (SELECT job_name FROM d) AND ended_at IS NOT NULL GROUP BY job_name"))
 def lineage_deployment_status(spark: SparkSession, sf: str) -> DataFrame:
@@ -219,7 +220,7 @@ def lineage_deployment_status(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- L12 ---
 @register("lineage_inference_runs", _q(
-    f", r AS (SELECT run_id, arg_max(event_type, (event_time, event_type)) AS status FROM ev GROUP BY run_id)"
+    f", r AS (SELECT run_id, arg_max(event_type, (event_time, phase, event_type)) AS status FROM ev GROUP BY run_id)"
     " SELECT name AS model, count(*) AS runs, cast(count_if(status = 'FAIL') AS bigint) AS failed_runs FROM io JOIN r USING (run_id)"
     " WHERE side = 'input' AND namespace = 'model' AND NOT name LIKE 'inference_result_%' GROUP BY name"))
 def lineage_inference_runs(spark: SparkSession, sf: str) -> DataFrame:
@@ -260,7 +261,7 @@ def _closure_sql(reverse: bool) -> str:
         f", e AS (SELECT DISTINCT {src} AS src, {dst} AS dst FROM io i JOIN io o ON i.run_id = o.run_id"
         " AND i.side = 'input' AND o.side = 'output'),"
         " r AS (SELECT * FROM (WITH RECURSIVE r(origin, node, depth) AS (SELECT src, dst, 1 FROM e UNION"
-        " SELECT r.origin, e.dst, r.depth + 1 FROM r JOIN e ON r.node = e.src WHERE r.depth < 16) SELECT * FROM r))"
+        " SELECT r.origin, e.dst, r.depth + 1 FROM r JOIN e ON r.node = e.src) SELECT * FROM r))"
         " SELECT origin, node, min(depth) AS depth FROM r GROUP BY origin, node")
 
 
@@ -319,7 +320,9 @@ def namespace_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------- L1 streaming ---
-@register("lineage_stream")
+@register("lineage_stream", _q(
+    "SELECT run_id, event_type, event_time, job_name, cast(has_input AS integer) AS n_inputs,"
+    " cast(has_output AS integer) AS n_outputs FROM ev"))
 def lineage_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Event files ingested by a stream (watermarked de-duplication) into a typed table."""
     src, sink, ck = (scratch_path(spark, n) for n in ("lineage-src", "lineage-typed", "lineage-ckpt"))

@@ -107,15 +107,44 @@ def stream_score(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
-@register("stream_event_counters",
-          "SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, count(*) AS requests,"
-          " round(avg(value), 6) AS mean_value FROM events GROUP BY ALL")
+_COUNTERS_SQL = ("SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, count(*) AS requests,"
+                 " round(avg(value), 6) AS mean_value FROM events GROUP BY ALL")
+
+
+@register("stream_event_counters", _COUNTERS_SQL)
 def stream_event_counters(spark: SparkSession, sf: str) -> DataFrame:
     """Event-time windowed counters over the events table as a stream."""
     src, sink, ck = (scratch_path(spark, n) for n in ("events-src", "counters", "counters-ckpt"))
     ev = TB.table(spark, sf, "events")
     ev.write.parquet(src)
-    q = ST.event_counters_stream(spark, src, ev.schema, sink, ck)
+    ST.event_counters_stream(spark, src, ev.schema, sink, ck).awaitTermination()
+    return round_doubles(ST.fold_counters(spark.read.parquet(sink), ["window_start", "event_type"]))
+
+
+@register("stream_late_counters", _COUNTERS_SQL)
+def stream_late_counters(spark: SparkSession, sf: str) -> DataFrame:
+    """The same counters in two start-stop rounds, the later half of the month first."""
+    src, sink, ck = (scratch_path(spark, n) for n in ("late-src", "late-counters", "late-ckpt"))
+    ev = TB.table(spark, sf, "events")
+    late = F.col("ts") >= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    for part in (ev.where(late), ev.where(~F.coalesce(late, F.lit(False)))):
+        part.write.mode("append").parquet(src)
+        ST.event_counters_stream(spark, src, ev.schema, sink, ck).awaitTermination()
+    return round_doubles(ST.fold_counters(spark.read.parquet(sink), ["window_start", "event_type"]))
+
+
+@register("stream_bad_records",
+          "SELECT event_id % 5 = 0 AS bad, count(*) AS records, coalesce(sum(CASE WHEN event_id % 5 <> 0 THEN"
+          " cast(json_extract_string(props, '$.k') AS bigint) END), 0)::bigint AS total FROM events GROUP BY 1")
+def stream_bad_records(spark: SparkSession, sf: str) -> DataFrame:
+    """V6/V9: a stream of records, every fifth line malformed; each line gives one row, bad ones with an error."""
+    src, sink, ck = (scratch_path(spark, n) for n in ("bad-src", "bad-records", "bad-ckpt"))
+    ev = TB.table(spark, sf, "events")
+    line = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit("broken "), F.col("props"))).otherwise(F.col("props"))
+    ev.select(line.alias("value")).write.text(src)
+    records = ST.read_records_stream(spark, src, T.StructType([T.StructField("k", T.LongType())]))
+    q = (records.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ck)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
-    out = ST.fold_updates(spark.read.parquet(sink), ["window_start", "event_type"], ["requests", "mean_value"])
-    return round_doubles(out)
+    return spark.read.parquet(sink).groupBy(F.col("error").isNotNull().alias("bad")).agg(
+        F.count(F.lit(1)).alias("records"), F.coalesce(F.sum("k"), F.lit(0)).alias("total"))

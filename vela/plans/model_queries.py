@@ -272,6 +272,17 @@ def split_prefix(spark: SparkSession, sf: str) -> DataFrame:
         te.select("o_orderkey", F.lit("test").alias("split")))
 
 
+@register("split_null_keys", "SELECT c_custkey % 5 = 0 AS keyless, count(*) AS rows_split,"
+                             " count(*) FILTER (c_custkey % 5 = 0) AS keyless_tested FROM customer GROUP BY 1")
+def split_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """T1 with every fifth key missing: no row is lost, rows without a key are tested on."""
+    key = F.when(F.col("c_custkey") % 5 != 0, F.col("c_custkey")).alias("key")
+    tr, te = FE.split_hash(TB.table(spark, sf, "customer").select(key), "key", 0.8, 42)
+    both = tr.withColumn("tested", F.lit(False)).unionByName(te.withColumn("tested", F.lit(True)))
+    return both.groupBy(F.col("key").isNull().alias("keyless")).agg(
+        F.count(F.lit(1)).alias("rows_split"), F.count_if(F.col("key").isNull() & F.col("tested")).alias("keyless_tested"))
+
+
 # ---------------------------------------------------------------- T2 ----
 _NUM1 = ["Age", "Tenure", "MonthlyCharges", "TotalCharges"]
 _TRAIN1 = f"SELECT * FROM ({_CUST1_SQL}) WHERE {O.u('CustomerId', 'split|42')} < 0.8::double"

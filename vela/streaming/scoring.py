@@ -5,10 +5,9 @@
   Parquet sink.  The checkpoint lives in the shared checkpoint folder, so a
   restarted driver or lost executor resumes exactly where it stopped.
   ``observe`` publishes per-batch request counts and the mean probability.
-* ``event_counters_stream`` — per event-time window counts with a watermark
-  (state stays bounded), emitted in update mode through ``foreachBatch`` to
-  an append-only Parquet table; ``fold_updates`` keeps the latest value per
-  window, which is the final answer once the stream has caught up.
+* ``event_counters_stream`` — per event-time window partial sums of every
+  batch, written through ``foreachBatch`` to a folder per batch;
+  ``fold_counters`` adds them up, late events included.
 """
 
 from __future__ import annotations
@@ -20,25 +19,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.features import align_features
+from ..operators.features import align_features, typed_zero
+
+
+def read_records_stream(spark: SparkSession, source_dir: str, record_schema: T.StructType,
+                        max_files_per_trigger: int | None = None) -> DataFrame:
+    """JSON records of a growing folder; a malformed line has NULL fields and its text in ``error``."""
+    schema = T.StructType(record_schema.fields + [T.StructField("error", T.StringType())])
+    reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "error")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.json(source_dir)
 
 
 def score_stream(spark: SparkSession, source_dir: str, record_schema: T.StructType, model: PipelineModel,
                  feature_schema: T.StructType, sink_dir: str, checkpoint_dir: str, keep: list[str],
                  available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """V9: score every JSON record arriving in ``source_dir``."""
-    schema = T.StructType(record_schema.fields + [T.StructField("_corrupt_record", T.StringType())])
-    reader = (spark.readStream.schema(schema).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", "_corrupt_record"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.json(source_dir)
-    good = raw.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    aligned = align_features(good, feature_schema)
-    scored = model.transform(aligned).select(
-        *keep, (F.col("prediction") == 1.0).alias("prediction"),
-        vector_to_array(F.col("probability"))[1].alias("probability"))
-    observed = scored.observe("scoring", F.count(F.lit(1)).alias("requests"),
+    """V9: score every JSON record arriving in ``source_dir``.
+
+    A malformed line gives a row as well: no prediction, the line in ``error``.
+    """
+    raw = read_records_stream(spark, source_dir, record_schema, max_files_per_trigger)
+    good = F.col("error").isNull()
+    features = {f.name: f.dataType for f in feature_schema.fields}
+    aligned = align_features(raw, feature_schema)
+    # the model sees zeros in place of a malformed line's fields; its output for them is dropped
+    filled = aligned.select(*[F.when(good, F.col(c)).otherwise(typed_zero(features[c])).alias(c) if c in features else F.col(c)
+                              for c in aligned.columns])
+    scored = model.transform(filled).select(
+        *keep, F.when(good, F.col("prediction") == 1.0).alias("prediction"),
+        F.when(good, vector_to_array(F.col("probability"))[1]).alias("probability"), "error")
+    observed = scored.observe("scoring", F.count(F.lit(1)).alias("requests"), F.count("error").alias("errors"),
                               F.avg("probability").alias("mean_probability"))
     w = (observed.writeStream.format("parquet").option("path", sink_dir)
          .option("checkpointLocation", checkpoint_dir).outputMode("append"))
@@ -62,27 +73,30 @@ def instant_to_ntz(c):
 
 def event_counters_stream(spark: SparkSession, source_dir: str, schema: T.StructType, sink_dir: str,
                           checkpoint_dir: str, ts: str = "ts", key: str = "event_type", value: str = "value",
-                          window: str = "1 hour", watermark: str = "10 minutes") -> StreamingQuery:
-    """Windowed request counts and mean value per key, bounded state."""
+                          window: str = "1 hour") -> StreamingQuery:
+    """Windowed request counts and value sums per key, one partial result per batch.
+
+    No state is kept between batches and no event is too late: every batch
+    writes its own sums, ``fold_counters`` adds them up.  A repeated batch
+    replaces its folder.
+    """
     ev = spark.readStream.schema(schema).parquet(source_dir)
-    if isinstance(schema[ts].dataType, T.TimestampNTZType):
+    ntz = isinstance(schema[ts].dataType, T.TimestampNTZType)
+    if ntz:
         ev = ev.withColumn(ts, ntz_to_instant(F.col(ts)))
-    agg = (ev.withWatermark(ts, watermark)
-           .groupBy(F.window(ts, window).alias("w"), F.col(key))
-           .agg(F.count(F.lit(1)).alias("requests"), F.avg(value).alias("mean_value")))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        start = F.col("w.start")
-        if isinstance(schema[ts].dataType, T.TimestampNTZType):
-            start = instant_to_ntz(start)
-        (batch.select(start.alias("window_start"), key, "requests", "mean_value",
-                      F.lit(batch_id).cast("bigint").alias("batch_id"))
-         .write.mode("append").parquet(sink_dir))
-
-    return (agg.writeStream.outputMode("update").foreachBatch(sink)
+        start = instant_to_ntz(F.col("w.start")) if ntz else F.col("w.start")
+        (batch.groupBy(F.window(ts, window).alias("w"), F.col(key))
+         .agg(F.count(F.lit(1)).alias("requests"), F.sum(value).alias("total"), F.count(value).alias("valued"))
+         .select(start.alias("window_start"), key, "requests", "total", "valued")
+         .write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}"))
+
+    return (ev.writeStream.foreachBatch(sink)
             .option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start())
 
 
-def fold_updates(updates: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """Latest emitted value per key across update-mode batches."""
-    return updates.groupBy(*keys).agg(*[F.max_by(v, "batch_id").alias(v) for v in values])
+def fold_counters(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Requests and mean value per key over the batches' partial sums."""
+    total, valued = F.sum("total"), F.sum("valued")
+    return parts.groupBy(*keys).agg(F.sum("requests").alias("requests"), F.when(valued > 0, total / valued).alias("mean_value"))

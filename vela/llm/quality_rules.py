@@ -94,7 +94,7 @@ def text_stats(text: Column) -> Column:
     def stats(texts: pa.Array) -> pa.Array:
         return _stats(texts)
 
-    return stats(text)
+    return stats.asNondeterministic()(text)  # evaluated once, never repeated by a filter that moves below it
 
 
 def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
@@ -103,7 +103,7 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
 
 
 def _rates(stats: DataFrame) -> list[tuple[str, Column]]:
-    return [(name, F.col(f"_s.{count}") / F.col("_s.n_words")) for name, count, _ in RATES]
+    return [(name, F.try_divide(F.col(f"_s.{count}"), F.col("_s.n_words"))) for name, count, _ in RATES]
 
 
 def _bucket(rate: Column) -> Column:

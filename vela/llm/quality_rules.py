@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .textbatch import SPACE, chunks, combine, run_hashes, runs, window_owner
 
 MIN_WORDS = 50
@@ -167,9 +168,16 @@ def with_stats(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_s", text_stats(F.col("text")))
 
 
+def _written(cuts: DataFrame) -> DataFrame:
+    """The cutoffs as a table of known size, so that the planner broadcasts them only below its own threshold."""
+    path = scratch_path(cuts.sparkSession, "cutoffs")
+    cuts.write.parquet(path)
+    return cuts.sparkSession.read.schema(cuts.schema).parquet(path)
+
+
 def filter_docs(docs: DataFrame) -> DataFrame:
     """The rows of docs that pass, unchanged.  Reads docs twice: once for the sketches, once to judge."""
-    cuts = thresholds(sketches(with_stats(docs.select("lang", "source", "text"))))
+    cuts = _written(thresholds(sketches(with_stats(docs.select("lang", "source", "text")))))
     return judge(with_stats(docs), cuts).filter("_kept").select(*docs.columns)
 
 

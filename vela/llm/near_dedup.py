@@ -8,7 +8,8 @@
    in a crowded region the nearest in the order are those with the longest common prefix, so the
    depth that counts adapts to the region.  Orders are range-partitioned by (tree, path, document), so even
    equal paths spread over tasks.  Documents whose prefix nobody shares are left out before the sort.
-3. Candidates are compared on an 8-bit sketch of the signature; pairs clearly below the threshold go.
+3. Candidates are compared on an 8-bit sketch of the signature; pairs clearly below the threshold go, and so do pairs
+   whose set sizes alone rule a link out.
 4. Links are confirmed on full sets, in two rounds: first the FIRST best candidates of every document among the
    NEAR next ones; then all candidates among the NEIGHBOURS next ones whose ends are in different components so
    far.  A large group of near copies thus costs a few checks a document, not all its pairs.  Sets are
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -116,23 +117,24 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _neighbours(width: int):
-    """Candidate pairs of a run of rows (tree, path, doc, sketch, root) in sorted order: up to ``width`` on, roots differ."""
+    """Candidate pairs of a run of rows (tree, path, doc, sketch, root, n) in sorted order: up to ``width`` on, roots differ."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             region = np.concatenate((batch.column(0).to_numpy()[:, None].astype(np.uint8), _matrix(batch.column(1), 4 * DEPTH)[:, :4 * LEAST_PREFIX]), axis=1)
-            now = batch.column(2).to_numpy(), batch.column(4).to_numpy(), region, _matrix(batch.column(3), HASHES)
+            now = batch.column(2).to_numpy(), batch.column(4).to_numpy(), region, _matrix(batch.column(3), HASHES), batch.column(5).to_numpy()
             old = 0 if held is None else len(held[0])
-            doc, root, region, sketch = now if held is None else (np.concatenate(x) for x in zip(held, now))
+            doc, root, region, sketch, size = now if held is None else (np.concatenate(x) for x in zip(held, now))
             out = []
             for shift in range(1, min(width, len(doc) - 1) + 1):
                 low = max(0, old - shift)  # pairs within the rows held were given before
                 same = np.flatnonzero((region[low:len(doc) - shift] == region[low + shift:]).all(axis=1)) + low
                 if not len(same):
                     break
-                same = same[root[same] != root[same + shift]]
+                x, y = size[same], size[same + shift]
+                same = same[(root[same] != root[same + shift]) & (100 * np.minimum(x, y) >= SIMILAR * np.maximum(x, y))]
                 for part in np.array_split(same, len(same) // 50_000 + 1):
                     agree = (sketch[part] == sketch[part + shift]).sum(axis=1)
                     part = part[agree >= LEAST_AGREE]
@@ -141,13 +143,13 @@ def _neighbours(width: int):
                 a, b, agree = (np.concatenate(x) for x in zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(agree.astype(np.int32))], names=["a", "b", "agree"])
             keep = min(width, len(doc))
-            held = doc[-keep:], root[-keep:], region[-keep:], sketch[-keep:]
+            held = doc[-keep:], root[-keep:], region[-keep:], sketch[-keep:], size[-keep:]
 
     return run
 
 
 def forest(reps: DataFrame) -> DataFrame:
-    """Rows (tree, path, doc, sketch) of the documents (doc, signature) that share a prefix in the tree."""
+    """Rows (tree, path, doc, sketch, n) of the documents (doc, signature, n) that share a prefix in the tree."""
     trees = F.sequence(F.lit(0), F.lit(TREES - 1))
 
     def path(t, n):
@@ -155,12 +157,12 @@ def forest(reps: DataFrame) -> DataFrame:
 
     keys = reps.select("doc", F.explode(F.transform(trees, lambda t: F.struct(t.alias("tree"), F.xxhash64(t, path(t, LEAST_PREFIX)).alias("key")))).alias("k"))
     keys = keys.select("doc", "k.tree", "k.key")
-    shared = keys.groupBy(F.col("key").alias("shared")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    shared = keys.groupBy(F.col("key").alias("shared")).agg(F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
     used = keys.join(shared, F.col("key") == F.col("shared"), "left_semi").groupBy(F.col("doc").alias("used")).agg(F.collect_set("tree").alias("trees"))
     low_bytes = F.concat(*[F.substring(F.col("signature"), 4 * k + 4, 1) for k in range(HASHES)])
     return (reps.join(used, F.col("doc") == F.col("used")).withColumn("sketch", low_bytes)
-            .select(F.explode("trees").alias("tree"), "signature", "doc", "sketch")
-            .select("tree", path(F.col("tree"), DEPTH).alias("path"), "doc", "sketch"))
+            .select(F.explode("trees").alias("tree"), "signature", "doc", "sketch", "n")
+            .select("tree", path(F.col("tree"), DEPTH).alias("path"), "doc", "sketch", "n"))
 
 
 def candidates(rows: DataFrame, width: int, roots: DataFrame | None = None) -> DataFrame:
@@ -170,12 +172,14 @@ def candidates(rows: DataFrame, width: int, roots: DataFrame | None = None) -> D
     else:
         rows = rows.join(roots, F.col("doc") == F.col("node"), "left").withColumn("root", F.coalesce("root", "doc"))
     order = ["tree", "path", "doc"]
-    return (rows.select(*order, "sketch", "root").repartitionByRange(*order).sortWithinPartitions(*order)
+    return (rows.select(*order, "sketch", "root", "n").repartitionByRange(*order).sortWithinPartitions(*order)
             .mapInArrow(_neighbours(width), "a bigint, b bigint, agree int").dropDuplicates(["a", "b"]))
 
 
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc, shingles) of the documents whose id is in ids (column x), and a few more where hashes meet."""
+    """(doc, high, low) of the documents whose id is in ids (column x), and a few more where hashes meet.
+
+    The 48-bit shingles are kept as 16 and 32 bits: 6 bytes each where sets are shuffled, not 8."""
     spark = docs.sparkSession
     bits = spark.sparkContext.broadcast(bitmap(ids))
 
@@ -184,20 +188,26 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
         for batch in batches:
             batch = batch.filter(pa.array(held(words, batch.column(2).to_numpy())))
             for first, shingles, offsets in shingle_sets(batch.column(1)):
-                sets = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(shingles.astype(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(offsets) - 1), sets], names=["doc", "shingles"])
+                at = pa.array(offsets, pa.int32())
+                high = pa.ListArray.from_arrays(at, pa.array((shingles >> np.uint64(32)).astype(np.uint16).view(np.int16)))
+                low = pa.ListArray.from_arrays(at, pa.array(shingles.astype(np.uint32).view(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(offsets) - 1), high, low], names=["doc", "high", "low"])
 
     hashed = docs.filter("doc_id IS NOT NULL").select("doc_id", "text", position(F.col("doc_id")).alias("at"))
-    return hashed.mapInArrow(run, "doc bigint, shingles array<bigint>")
+    return hashed.mapInArrow(run, "doc bigint, high array<smallint>, low array<int>")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (a, b) with whether they are linked by their full sets."""
-    left = sets.select(F.col("doc").alias("a_"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("doc").alias("b_"), F.col("shingles").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    linked = 100 * both >= SIMILAR * (F.size("x") + F.size("y") - both)
-    return pairs.join(left, F.col("a") == F.col("a_")).join(right, F.col("b") == F.col("b_")).select("a", "b", linked.alias("linked")).checkpoint()
+    left = sets.select(F.col("doc").alias("a_"), F.col("high").alias("xh"), F.col("low").alias("xl"))
+    right = sets.select(F.col("doc").alias("b_"), F.col("high").alias("yh"), F.col("low").alias("yl"))
+
+    def whole(high: str, low: str) -> Column:
+        return F.zip_with(high, low, lambda h, l: h.cast("bigint") * F.lit(1 << 32) + l.cast("bigint"))
+
+    counted = (pairs.join(left, F.col("a") == F.col("a_")).join(right, F.col("b") == F.col("b_"))
+               .select("a", "b", (F.size("xl") + F.size("yl")).alias("sizes"), F.size(F.array_intersect(whole("xh", "xl"), whole("yh", "yl"))).alias("both")))
+    return counted.select("a", "b", (100 * F.col("both") >= SIMILAR * (F.col("sizes") - F.col("both"))).alias("linked")).checkpoint()
 
 
 def _links(edges: DataFrame) -> DataFrame:
@@ -224,9 +234,9 @@ def groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     every = signed(docs).checkpoint()
     classes = (every.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2")
-               .agg(F.min(F.struct("doc_id", "signature")).alias("r"))
-               .select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.col("r.doc_id").alias("doc"), F.col("r.signature").alias("signature")).checkpoint())
-    roots = linked_components(docs, forest(classes.select("doc", "signature")).checkpoint())
+               .agg(F.min(F.struct("doc_id", "signature", "n_shingles")).alias("r"))
+               .select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.col("r.doc_id").alias("doc"), F.col("r.signature").alias("signature"), F.col("r.n_shingles").alias("n")).checkpoint())
+    roots = linked_components(docs, forest(classes.select("doc", "signature", "n")).checkpoint())
     known = (classes.select("c1", "c2", "doc").join(roots, F.col("doc") == F.col("node"), "left")
              .select("c1", "c2", F.coalesce("root", "doc").alias("root")))
     return (every.select("doc_id", "n_shingles", "k1", "k2")

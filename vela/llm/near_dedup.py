@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .components import components
 from .idbitmap import bitmap, held, position
 from .textbatch import LOWER, SPACE, chunks, combine, mix, run_hashes, runs
@@ -247,5 +248,8 @@ def groups(docs: DataFrame) -> DataFrame:
 
 def filter_docs(docs: DataFrame) -> DataFrame:
     """The rows of docs but for those whose group has a smaller doc_id."""
-    gone = groups(docs).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "near-dedup")
+    # a table of known size: the planner broadcasts it below its own threshold and merge-joins it beyond
+    groups(docs).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct().write.parquet(path)
+    gone = spark.read.schema("_gone bigint").parquet(path)
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")

@@ -2,8 +2,8 @@
 
 Library code never invents machine-local folders on a cluster: every
 intermediate table or checkpoint lives under ``spark.checkpoint.dir``.
-A private folder is only chosen when the session has none configured
-(local tests), mirroring what a test fixture would do.
+A private folder is only chosen when a local session has none configured
+(tests); on a cluster the missing setting is an error.
 """
 
 from __future__ import annotations
@@ -45,7 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get(_CKPT_KEY, None) or sc.getConf().get(_CKPT_KEY, None)
     if not conf:
-        # Only reached when nobody configured a shared folder (local tests).
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {_CKPT_KEY} to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="vela-ckpt-")
         try:  # informational only; some deployments reject runtime core-conf changes
             spark.conf.set(_CKPT_KEY, conf)

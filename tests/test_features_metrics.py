@@ -105,3 +105,12 @@ def test_metrics_zero_division(spark):
     r = M.classification_metrics(df, "y", "p").first()
     assert (r.tn, r.fp, r.fn, r.tp) == (1, 0, 1, 0)
     assert (r.accuracy, r.precision, r.recall, r.f1) == (0.5, 0.0, 0.0, 0.0)
+
+
+def test_rows_without_label_or_score_are_counted(spark):
+    df = spark.createDataFrame([(True, True, 0.9), (False, False, 0.1), (None, True, 0.5), (True, None, None)],
+                               "y boolean, p boolean, s double")
+    r = M.classification_metrics(df, "y", "p").first()
+    assert (r.tn, r.tp, r.unjudged, r.accuracy) == (1, 1, 2, 1.0)
+    r = M.roc_auc(df, "y", "s").first()
+    assert (r.roc_auc, r.positives, r.negatives, r.unjudged) == (1.0, 1, 1, 2)

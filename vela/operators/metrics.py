@@ -23,11 +23,12 @@ def _b(c: str | Column) -> Column:
 
 
 def confusion_counts(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """A3: one row tn, fp, fn, tp (BIGINT) and ``matrix`` [[tn, fp], [fn, tp]]."""
+    """A3: one row tn, fp, fn, tp (BIGINT), ``matrix`` [[tn, fp], [fn, tp]] and ``unjudged``, rows without label or prediction."""
     y, p = _b(label), _b(pred)
     agg = df.agg(
         F.count_if(~y & ~p).alias("tn"), F.count_if(~y & p).alias("fp"),
-        F.count_if(y & ~p).alias("fn"), F.count_if(y & p).alias("tp"))
+        F.count_if(y & ~p).alias("fn"), F.count_if(y & p).alias("tp"),
+        F.count_if(y.isNull() | p.isNull()).alias("unjudged"))
     return agg.withColumn("matrix", F.array(F.array("tn", "fp"), F.array("fn", "tp")))
 
 
@@ -37,27 +38,27 @@ def _ratio(num: Column, den: Column) -> Column:
 
 
 def classification_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """A4: accuracy, precision, recall, f1 with positive = True."""
+    """A4: accuracy, precision, recall, f1 with positive = True, over the rows that have label and prediction; ``unjudged`` counts the others."""
     c = confusion_counts(df, label, pred)
     tn, fp, fn, tp = (F.col(x) for x in ("tn", "fp", "fn", "tp"))
     precision = _ratio(tp, tp + fp)
     recall = _ratio(tp, tp + fn)
     return c.select(
-        "tn", "fp", "fn", "tp",
+        "tn", "fp", "fn", "tp", "unjudged",
         _ratio(tp + tn, tn + fp + fn + tp).alias("accuracy"),
         precision.alias("precision"), recall.alias("recall"),
         _ratio(F.lit(2.0) * tp, F.lit(2) * tp + fp + fn).alias("f1"))
 
 
 def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -> DataFrame:
-    """A5: exact ROC AUC; NULL when only one class is present."""
+    """A5: exact ROC AUC; NULL when only one class is present (D5).  ``unjudged`` counts rows without label or score."""
     spark = df.sparkSession
     if buckets is None:
         buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    y = _b(label).cast("long")
-    per = (df.where(F.col(score).isNotNull())
-           .groupBy(F.col(score).cast("double").alias("s"))
-           .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
+    y, scored = _b(label), F.col(score).isNotNull()
+    per = (df.groupBy(F.col(score).cast("double").alias("s"))
+           .agg(F.count_if(y & scored).alias("pos"), F.count_if(~y & scored).alias("neg"),
+                F.count_if(y.isNull() | ~scored).alias("lost")))
     # The distinct-score table feeds three passes (quantiles, bucket totals,
     # running counts): materialise it once in the shared checkpoint folder.
     ensure_checkpoint_dir(spark)
@@ -73,11 +74,12 @@ def roc_auc(df: DataFrame, label: str, score: str, buckets: int | None = None) -
             Window.partitionBy("bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     j = local.join(F.broadcast(offsets), "bucket")
     agg = j.agg(F.sum(F.col("pos") * (F.col("offset") + F.col("below") + F.lit(0.5) * F.col("neg"))).alias("num"),
-                F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+                F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.sum("lost").alias("lost"))
     return agg.select(
         F.when((F.col("P") > 0) & (F.col("N") > 0),
                F.col("num") / (F.col("P").cast("double") * F.col("N").cast("double"))).alias("roc_auc"),
-        F.coalesce(F.col("P"), F.lit(0)).alias("positives"), F.coalesce(F.col("N"), F.lit(0)).alias("negatives"))
+        F.coalesce(F.col("P"), F.lit(0)).alias("positives"), F.coalesce(F.col("N"), F.lit(0)).alias("negatives"),
+        F.coalesce(F.col("lost"), F.lit(0)).alias("unjudged"))
 
 
 def target_rate(df: DataFrame, target: str, by: list[str] | None = None) -> DataFrame:

@@ -72,7 +72,8 @@ def linear_score(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- A3 ----
 _CONF = ("cast(count_if(NOT IsFraud AND NOT pred) AS bigint) AS tn, cast(count_if(NOT IsFraud AND pred) AS bigint) AS fp,"
-         " cast(count_if(IsFraud AND NOT pred) AS bigint) AS fn, cast(count_if(IsFraud AND pred) AS bigint) AS tp")
+         " cast(count_if(IsFraud AND NOT pred) AS bigint) AS fn, cast(count_if(IsFraud AND pred) AS bigint) AS tp,"
+         " cast(count_if(IsFraud IS NULL OR pred IS NULL) AS bigint) AS unjudged")
 
 
 @register("confusion_matrix", f"SELECT {_CONF} FROM ({_SCORED_SQL})")
@@ -85,7 +86,7 @@ def _zdiv(n: str, d: str) -> str:
 
 
 @register("classification_metrics",
-          f"SELECT tn, fp, fn, tp, round({_zdiv('tp + tn', 'tn + fp + fn + tp')}, 6) AS accuracy,"
+          f"SELECT tn, fp, fn, tp, unjudged, round({_zdiv('tp + tn', 'tn + fp + fn + tp')}, 6) AS accuracy,"
           f" round({_zdiv('tp', 'tp + fp')}, 6) AS precision, round({_zdiv('tp', 'tp + fn')}, 6) AS recall,"
           f" round({_zdiv('2.0::double * tp', '2 * tp + fp + fn')}, 6) AS f1 FROM (SELECT {_CONF} FROM ({_SCORED_SQL}))")
 def classification_metrics(spark: SparkSession, sf: str) -> DataFrame:
@@ -94,12 +95,13 @@ def classification_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- A5 ----
 _AUC_SQL = (
-    f"WITH per AS (SELECT logit AS s, sum(cast(IsFraud AS bigint)) AS pos, sum(1 - cast(IsFraud AS bigint)) AS neg"
-    f" FROM ({_SCORED_SQL}) GROUP BY logit),"
+    f"WITH per AS (SELECT logit AS s, sum(cast(IsFraud AS bigint)) AS pos, sum(1 - cast(IsFraud AS bigint)) AS neg,"
+    f" count_if(IsFraud IS NULL OR logit IS NULL) AS lost FROM ({_SCORED_SQL}) GROUP BY logit),"
     " c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below"
     " FROM per) SELECT round(CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN"
     " sum(pos * (below + 0.5::double * neg)) / (cast(sum(pos) AS double) * cast(sum(neg) AS double)) END, 6) AS roc_auc,"
-    " cast(sum(pos) AS bigint) AS positives, cast(sum(neg) AS bigint) AS negatives FROM c")
+    " cast(sum(pos) AS bigint) AS positives, cast(sum(neg) AS bigint) AS negatives,"
+    " cast(sum(lost) AS bigint) AS unjudged FROM c")
 
 
 @register("roc_auc", _AUC_SQL)

@@ -72,3 +72,16 @@ def test_lifecycle_end_to_end(spark):
     assert {r.status for r in runs} == {"COMPLETE"} and len(runs) == 2
     reg = V.VersionLog(spark, res.registry_path).read()
     assert V.latest_versions(reg).first()["latest_version"] == "1.0.0"
+
+
+def test_overrides_that_a_fit_cannot_follow_are_errors():
+    assert TR.effective_hyperparameters("random_forest", {"max_depth": 15})["max_depth"] == 15
+    for model, bad in (("random_forest", {"depth": 3}), ("random_forest", {"min_samples_split": 10}), ("gradient_boosting", {"tol": 0.1})):
+        with pytest.raises(ValueError):
+            TR.effective_hyperparameters(model, bad)
+
+
+def test_split_key_is_no_feature(spark):
+    df = spark.range(200).selectExpr("id AS k", "id % 7 AS x", "id % 7 > 3 AS y")
+    _, rec = TR.train(df, "y", "logistic_regression", key="k")
+    assert rec["feature_columns"] == ["x"] and 0 < rec["test_samples"] < 200

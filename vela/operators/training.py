@@ -49,11 +49,18 @@ class UnknownModelTypeError(ValueError):
 
 
 def effective_hyperparameters(model_type: str, overrides: Mapping | None = None) -> dict:
-    """Defaults updated by the caller's overrides (the effective set is recorded)."""
+    """Defaults updated by the caller's overrides (the effective set is recorded); what a fit cannot follow is an error."""
     if model_type not in DEFAULT_HYPERPARAMETERS:
         raise UnknownModelTypeError(f"Unknown model type: {model_type}")
     hp = dict(DEFAULT_HYPERPARAMETERS[model_type])
+    known = {*hp, *(("tol",) if "max_iter" in hp else ())}
+    unknown = sorted(set(overrides or {}) - known)
+    if unknown:
+        raise ValueError(f"{model_type} has no hyperparameters {unknown}; known are {sorted(known)}")
     hp.update(overrides or {})
+    if hp.get("min_samples_split", 2) > 2 * hp.get("min_samples_leaf", 1):
+        # a split into leaves of min_samples_leaf rows needs twice as many; trees here have no further limit
+        raise ValueError("min_samples_split above twice min_samples_leaf cannot be kept; raise min_samples_leaf instead")
     return hp
 
 
@@ -188,6 +195,7 @@ def train(df: DataFrame, target: str, model_type: str = "random_forest",
     split_key = key or id_column
     if split_key is None:
         raise ValueError("a unique key column is needed to split (key=... or id_column=...)")
+    feats = [c for c in feats if c != split_key]  # a key tells rows apart, it is no feature
     if split == "hash":
         tr, te = FE.split_hash(df, split_key, TRAINING_SPLIT, seed)
     elif split == "prefix":
@@ -202,7 +210,7 @@ def train(df: DataFrame, target: str, model_type: str = "random_forest",
         "model_name": model_name, "model_type": model_type, "model_version": model_version,
         "feature_columns": info["feature_columns"], "target_column": target,
         "hyperparameters": info["hyperparameters"], "training_samples": info["training_samples"],
-        "test_samples": metrics["tn"] + metrics["fp"] + metrics["fn"] + metrics["tp"],
+        "test_samples": metrics["tn"] + metrics["fp"] + metrics["fn"] + metrics["tp"] + metrics["unjudged"],
         "training_duration_s": duration,
         **{k: metrics[k] for k in ("accuracy", "precision", "recall", "f1", "roc_auc", "confusion_matrix")},
     }

@@ -75,6 +75,46 @@ def test_near_dedup_large_group_of_near_copies(frame):
     assert got == want
 
 
+@pytest.mark.parametrize("block", [40, 1000])
+def test_near_dedup_crowded_prefixes(frame, monkeypatch, block):
+    """Windows of one neighbour see next to nothing: the exact join finds the links of crowded prefixes."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rng = np.random.default_rng(2)
+    vocabulary = np.array([f"w{k}" for k in range(4000)])
+    shared = [list(rng.choice(vocabulary, 60)) for _ in range(3)]
+    rows = []
+    for k in range(300):  # half of each text is a passage of a hundred texts; every third text has a near copy
+        text = [*shared[k % 3], *rng.choice(vocabulary, 50)]
+        rows.append((k, " ".join(text)))
+        if k % 9 < 3:
+            rows.append((1000 + k, " ".join([*text, *rng.choice(vocabulary, 8)])))
+    docs = frame(rows, "doc_id bigint, text string")
+    sets = near_dedup.full_sets(docs, docs.selectExpr("doc_id AS x")).dropDuplicates(["doc"])
+    crowd = near_dedup.signed(docs).selectExpr("doc_id AS doc", "doc_id AS root", "n_shingles AS n", "signature")
+    low = near_dedup.F.concat(*[near_dedup.F.substring("signature", 4 * k + 4, 1) for k in range(near_dedup.HASHES)])
+    pairs = near_dedup.crowd_pairs(crowd.select("doc", "root", "n", low.alias("sketch")).checkpoint(), sets.checkpoint())
+    linked = {(r.a, r.b) for r in near_dedup._links(near_dedup._confirmed(pairs, sets)).selectExpr("u AS a", "v AS b").collect()}
+    exact = {i: shingles(t) for i, t in rows}
+    assert linked == {(a, b) for a in exact for b in exact if a < b and 100 * len(exact[a] & exact[b]) >= 75 * len(exact[a] | exact[b])}
+    assert len(linked) >= 100
+
+
+def test_near_dedup_windows_too_narrow(frame, monkeypatch):
+    monkeypatch.setattr(near_dedup, "NEAR", 1)
+    monkeypatch.setattr(near_dedup, "NEIGHBOURS", 1)
+    rng = np.random.default_rng(3)
+    vocabulary = np.array([f"w{k}" for k in range(4000)])
+    rows = []
+    for g in range(40):  # groups of texts that agree by about 0.75, in a template that all share
+        template = list(rng.choice(vocabulary, 40)) if g % 10 == 0 else template
+        own = list(rng.choice(vocabulary, 60))
+        for k in range(6):
+            rows.append((g * 10 + k, " ".join([*template, *own, *rng.choice(vocabulary, 13)])))
+    want = brute_components(dict(rows))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.groups(frame(rows, "doc_id bigint, text string")).collect()}
+    assert got == want
+
+
 def test_components_of_long_paths_and_hubs(frame):
     edges = [(k, k + 1) for k in range(200)] + [(1000, k) for k in range(1001, 1300)] + [(5000, 4000), (4000, 5000), (7, 7)]
     got = {r.node: r.root for r in components.components(frame(edges, "u bigint, v bigint")).collect()}

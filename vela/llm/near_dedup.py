@@ -15,7 +15,12 @@
    far.  A large group of near copies thus costs a few checks a document, not all its pairs.  Sets are
    computed again from the texts of candidate documents only; a fixed-size bitmap of their ids tells
    which, so texts are not shuffled.
-5. Components by alternating star steps; a class takes the component of its document.
+5. The windows of 4 cannot see all of a prefix that more than NEIGHBOURS + 1 documents share.  The documents of such
+   prefixes that lie in different components go through an exact join (``crowded``): shingles are ordered by how few of
+   these documents hold them, those held in one component only first; linked documents share one of the first
+   n - ceil(0.75 n) + 1, whatever the order.  Documents whose rare shingles suffice leave at once; holders of the same
+   shingle are compared in blocks of BLOCK, each pair of blocks in a task of its own.
+6. Components by alternating star steps; a class takes the component of its document.
 
 Edge cases: null and empty texts and texts without words have no set, are linked with nothing and kept; texts
 with fewer than SHINGLE words have one shingle, the whole sequence; a null doc_id is linked with nothing,
@@ -48,6 +53,10 @@ FIRST = 3
 SIMILAR = 75
 #: Sketch values that must agree, of HASHES; a pair at the threshold has 96 on average, with a deviation of 5.
 LEAST_AGREE = 78
+#: The same for the exact join: five deviations and more below a pair at the threshold.
+CROWD_AGREE = 70
+#: Holders of one shingle that are compared at a time.
+BLOCK = 1000
 _BITS = np.uint64(48)
 _MASK = np.uint64((1 << 48) - 1)
 
@@ -117,40 +126,43 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(x.as_buffer() for x in column), dtype=np.uint8).reshape(-1, width)
 
 
-def _neighbours(width: int):
-    """Candidate pairs of a run of rows (tree, path, doc, sketch, root, n) in sorted order: up to ``width`` on, roots differ."""
+def _neighbours(width: int, least: int):
+    """Candidate pairs of rows (region, doc, side, root, n, sketch) in sorted order: up to ``width`` on in the region, sides and roots differ."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            region = np.concatenate((batch.column(0).to_numpy()[:, None].astype(np.uint8), _matrix(batch.column(1), 4 * DEPTH)[:, :4 * LEAST_PREFIX]), axis=1)
-            now = batch.column(2).to_numpy(), batch.column(4).to_numpy(), region, _matrix(batch.column(3), HASHES), batch.column(5).to_numpy()
+            now = *(batch.column(k).to_numpy() for k in range(5)), _matrix(batch.column(5), HASHES)
             old = 0 if held is None else len(held[0])
-            doc, root, region, sketch, size = now if held is None else (np.concatenate(x) for x in zip(held, now))
+            region, doc, side, root, size, sketch = now if held is None else (np.concatenate(x) for x in zip(held, now))
             out = []
             for shift in range(1, min(width, len(doc) - 1) + 1):
                 low = max(0, old - shift)  # pairs within the rows held were given before
-                same = np.flatnonzero((region[low:len(doc) - shift] == region[low + shift:]).all(axis=1)) + low
+                same = np.flatnonzero(region[low:len(doc) - shift] == region[low + shift:]) + low
                 if not len(same):
                     break
                 x, y = size[same], size[same + shift]
-                same = same[(root[same] != root[same + shift]) & (100 * np.minimum(x, y) >= SIMILAR * np.maximum(x, y))]
+                same = same[(root[same] != root[same + shift]) & (side[same] != side[same + shift]) & (100 * np.minimum(x, y) >= SIMILAR * np.maximum(x, y))]
                 for part in np.array_split(same, len(same) // 50_000 + 1):
                     agree = (sketch[part] == sketch[part + shift]).sum(axis=1)
-                    part = part[agree >= LEAST_AGREE]
-                    out.append((doc[part], doc[part + shift], agree[agree >= LEAST_AGREE]))
+                    part = part[agree >= least]
+                    out.append((doc[part], doc[part + shift], agree[agree >= least]))
             if out:
                 a, b, agree = (np.concatenate(x) for x in zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(agree.astype(np.int32))], names=["a", "b", "agree"])
             keep = min(width, len(doc))
-            held = doc[-keep:], root[-keep:], region[-keep:], sketch[-keep:], size[-keep:]
+            held = tuple(x[-keep:] for x in (region, doc, side, root, size, sketch))
 
     return run
 
 
+def _region(tree: str, path: str) -> Column:
+    return F.xxhash64(F.col(tree), F.substring(path, 1, 4 * LEAST_PREFIX))
+
+
 def forest(reps: DataFrame) -> DataFrame:
-    """Rows (tree, path, doc, sketch, n) of the documents (doc, signature, n) that share a prefix in the tree."""
+    """Rows (tree, crowd, path, doc, sketch, n) of the documents (doc, signature, n) that share a prefix in the tree; crowd: with more than a window holds."""
     trees = F.sequence(F.lit(0), F.lit(TREES - 1))
 
     def path(t, n):
@@ -158,23 +170,70 @@ def forest(reps: DataFrame) -> DataFrame:
 
     keys = reps.select("doc", F.explode(F.transform(trees, lambda t: F.struct(t.alias("tree"), F.xxhash64(t, path(t, LEAST_PREFIX)).alias("key")))).alias("k"))
     keys = keys.select("doc", "k.tree", "k.key")
-    shared = keys.groupBy(F.col("key").alias("shared")).agg(F.count(F.lit(1)).alias("times")).filter("times > 1").drop("times")
-    used = keys.join(shared, F.col("key") == F.col("shared"), "left_semi").groupBy(F.col("doc").alias("used")).agg(F.collect_set("tree").alias("trees"))
+    shared = keys.groupBy(F.col("key").alias("shared")).agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    used = (keys.join(shared, F.col("key") == F.col("shared")).groupBy(F.col("doc").alias("used"))
+            .agg(F.collect_list(F.struct("tree", (F.col("times") > NEIGHBOURS + 1).alias("crowd"))).alias("trees")))
     low_bytes = F.concat(*[F.substring(F.col("signature"), 4 * k + 4, 1) for k in range(HASHES)])
     return (reps.join(used, F.col("doc") == F.col("used")).withColumn("sketch", low_bytes)
-            .select(F.explode("trees").alias("tree"), "signature", "doc", "sketch", "n")
-            .select("tree", path(F.col("tree"), DEPTH).alias("path"), "doc", "sketch", "n"))
+            .select(F.explode("trees").alias("at"), "signature", "doc", "sketch", "n").select("at.tree", "at.crowd", "signature", "doc", "sketch", "n")
+            .select("tree", "crowd", path(F.col("tree"), DEPTH).alias("path"), "doc", "sketch", "n"))
 
 
 def candidates(rows: DataFrame, width: int, roots: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b, agree) with a < b of forest rows; with ``roots`` (node, root) only pairs of different components."""
-    if roots is None:
-        rows = rows.withColumn("root", F.col("doc"))
-    else:
-        rows = rows.join(roots, F.col("doc") == F.col("node"), "left").withColumn("root", F.coalesce("root", "doc"))
+    rows = rows.withColumn("root", F.col("doc")) if roots is None else _rooted(rows, roots)
     order = ["tree", "path", "doc"]
     return (rows.select(*order, "sketch", "root", "n").repartitionByRange(*order).sortWithinPartitions(*order)
-            .mapInArrow(_neighbours(width), "a bigint, b bigint, agree int").dropDuplicates(["a", "b"]))
+            .select(_region("tree", "path"), "doc", F.col("doc").alias("side"), "root", "n", "sketch")
+            .mapInArrow(_neighbours(width, LEAST_AGREE), PAIRS).dropDuplicates(["a", "b"]))
+
+
+PAIRS = "a bigint, b bigint, agree int"
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return rows.join(roots, F.col("doc") == F.col("node"), "left").withColumn("root", F.coalesce("root", "doc"))
+
+
+def _sized(df: DataFrame, name: str) -> DataFrame:
+    """df as a table of known size: the planner broadcasts it below its own threshold and merge-joins it beyond."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def crowded(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """(doc, root, n, sketch) of the documents that share a prefix with more others than a window holds, not all of one component."""
+    crowd = _rooted(rows.filter("crowd").select(_region("tree", "path").alias("region"), "doc", "n", "sketch"), roots).select("region", "doc", "root", "n", "sketch").checkpoint()
+    mixed = _sized(crowd.groupBy(F.col("region").alias("mixed")).agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("mixed"), "crowd")
+    return crowd.join(mixed, F.col("region") == F.col("mixed"), "left_semi").select("doc", "root", "n", "sketch").dropDuplicates(["doc"]).checkpoint()
+
+
+def crowd_pairs(crowd: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of crowded documents of different components; no link between them is missing."""
+    held = sets.join(crowd.select(F.col("doc").alias("d"), "root", "n"), F.col("doc") == F.col("d"))
+    held = held.select("doc", "root", "n", F.explode(_whole("high", "low")).alias("shingle"))
+
+    def between(t: DataFrame) -> DataFrame:
+        """How many documents hold a shingle, for those held in two components or more."""
+        seen = t.groupBy(F.col("shingle").alias("common")).agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("times"))
+        return _sized(seen.filter("lo < hi").select("common", "times"), "shingles")
+
+    first = F.expr(f"int(n * {100 - SIMILAR} div 100)") + 1  # n - ceil(0.75 n) + 1
+    own = (held.join(between(held), F.col("shingle") == F.col("common")).groupBy("doc", "root", "n")
+           .agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("shared")))
+    left = first - (F.col("n").cast("int") - F.size("shared"))
+    rare = (own.filter(left > 0).select("doc", "root", "n", F.explode(F.slice("shared", F.lit(1), left)).alias("s"))
+            .select("doc", "root", "n", "s.shingle").checkpoint())
+    blocks = F.ceil(F.col("times") / BLOCK).cast("int")
+    dealt = (rare.join(between(rare), F.col("shingle") == F.col("common")).withColumn("blocks", blocks)
+             .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select(F.xxhash64("shingle", F.least("block", "other"), F.greatest("block", "other")).alias("region"), "doc",
+                     F.when(F.col("block") == F.col("other"), F.col("doc")).otherwise(F.col("block")).alias("side"), "root", "n"))
+    dealt = dealt.join(crowd.select(F.col("doc").alias("d"), "sketch"), F.col("doc") == F.col("d")).drop("d")
+    return (dealt.repartition("region").sortWithinPartitions("region", "doc")
+            .mapInArrow(_neighbours(1 << 30, CROWD_AGREE), PAIRS).select("a", "b").distinct())
 
 
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -198,16 +257,17 @@ def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return hashed.mapInArrow(run, "doc bigint, high array<smallint>, low array<int>")
 
 
+def _whole(high: str, low: str) -> Column:
+    return F.zip_with(high, low, lambda h, l: h.cast("bigint") * F.lit(1 << 32) + l.cast("bigint"))
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (a, b) with whether they are linked by their full sets."""
     left = sets.select(F.col("doc").alias("a_"), F.col("high").alias("xh"), F.col("low").alias("xl"))
     right = sets.select(F.col("doc").alias("b_"), F.col("high").alias("yh"), F.col("low").alias("yl"))
 
-    def whole(high: str, low: str) -> Column:
-        return F.zip_with(high, low, lambda h, l: h.cast("bigint") * F.lit(1 << 32) + l.cast("bigint"))
-
     counted = (pairs.join(left, F.col("a") == F.col("a_")).join(right, F.col("b") == F.col("b_"))
-               .select("a", "b", (F.size("xl") + F.size("yl")).alias("sizes"), F.size(F.array_intersect(whole("xh", "xl"), whole("yh", "yl"))).alias("both")))
+               .select("a", "b", (F.size("xl") + F.size("yl")).alias("sizes"), F.size(F.array_intersect(_whole("xh", "xl"), _whole("yh", "yl"))).alias("both")))
     return counted.select("a", "b", (100 * F.col("both") >= SIMILAR * (F.col("sizes") - F.col("both"))).alias("linked")).checkpoint()
 
 
@@ -225,10 +285,22 @@ def linked_components(docs: DataFrame, rows: DataFrame) -> DataFrame:
     first = sided.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= FIRST).select("a", "b").distinct()
     tried = _confirmed(first, sets)
     found = components(_links(tried))
-    rest = candidates(rows, NEIGHBOURS, found).join(
-        tried.select(F.col("a").alias("ta"), F.col("b").alias("tb")), (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left_anti")
-    more = _links(_confirmed(rest.select("a", "b"), sets))
-    return components(found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
+    more = _confirmed(_untried(candidates(rows, NEIGHBOURS, found), tried), sets)
+    found = components(_joined(found, more))
+    crowd = crowded(rows, found)
+    if crowd.isEmpty():
+        return found
+    last = _confirmed(_untried(crowd_pairs(crowd, sets), tried.unionByName(more)), sets)
+    return components(_joined(found, last))
+
+
+def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
+    tried = tried.select(F.col("a").alias("ta"), F.col("b").alias("tb"))
+    return pairs.join(tried, (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")), "left_anti").select("a", "b")
+
+
+def _joined(found: DataFrame, more: DataFrame) -> DataFrame:
+    return found.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(_links(more))
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -248,8 +320,5 @@ def groups(docs: DataFrame) -> DataFrame:
 
 def filter_docs(docs: DataFrame) -> DataFrame:
     """The rows of docs but for those whose group has a smaller doc_id."""
-    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "near-dedup")
-    # a table of known size: the planner broadcasts it below its own threshold and merge-joins it beyond
-    groups(docs).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct().write.parquet(path)
-    gone = spark.read.schema("_gone bigint").parquet(path)
+    gone = _sized(groups(docs).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-dedup")
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")

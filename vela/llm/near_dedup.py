@@ -18,7 +18,7 @@
 5. The windows of 4 cannot see all of a prefix that more than NEIGHBOURS + 1 documents share.  The documents of such
    prefixes that lie in different components go through an exact join (``crowded``): shingles are ordered by how few of
    these documents hold them, those held in one component only first; linked documents share one of the first
-   n - ceil(0.75 n) + 1, whatever the order.  Documents whose rare shingles suffice leave at once; holders of the same
+   n - ceil(0.75 n) + 1, whatever the order, and at the first that they share enough of both sets is still to come.  Documents whose rare shingles suffice leave at once; holders of the same
    shingle are compared in blocks of BLOCK, each pair of blocks in a task of its own.
 6. Components by alternating star steps; a class takes the component of its document.
 
@@ -127,23 +127,26 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _neighbours(width: int, least: int):
-    """Candidate pairs of rows (region, doc, side, root, n, sketch) in sorted order: up to ``width`` on in the region, sides and roots differ."""
+    """Candidate pairs of rows (region, doc, side, root, n, room, sketch) in sorted order: up to ``width`` on in the region.
+
+    Sides and roots differ, and what the two can have in common at most, the smaller ``room``, allows a link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = *(batch.column(k).to_numpy() for k in range(5)), _matrix(batch.column(5), HASHES)
+            now = *(batch.column(k).to_numpy() for k in range(6)), _matrix(batch.column(6), HASHES)
             old = 0 if held is None else len(held[0])
-            region, doc, side, root, size, sketch = now if held is None else (np.concatenate(x) for x in zip(held, now))
+            region, doc, side, root, size, room, sketch = now if held is None else (np.concatenate(x) for x in zip(held, now))
             out = []
             for shift in range(1, min(width, len(doc) - 1) + 1):
                 low = max(0, old - shift)  # pairs within the rows held were given before
                 same = np.flatnonzero(region[low:len(doc) - shift] == region[low + shift:]) + low
                 if not len(same):
                     break
-                x, y = size[same], size[same + shift]
-                same = same[(root[same] != root[same + shift]) & (side[same] != side[same + shift]) & (100 * np.minimum(x, y) >= SIMILAR * np.maximum(x, y))]
+                most = np.minimum(room[same], room[same + shift])
+                fits = (100 + SIMILAR) * most >= SIMILAR * (size[same] + size[same + shift])
+                same = same[fits & (root[same] != root[same + shift]) & (side[same] != side[same + shift])]
                 for part in np.array_split(same, len(same) // 50_000 + 1):
                     agree = (sketch[part] == sketch[part + shift]).sum(axis=1)
                     part = part[agree >= least]
@@ -152,7 +155,7 @@ def _neighbours(width: int, least: int):
                 a, b, agree = (np.concatenate(x) for x in zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(agree.astype(np.int32))], names=["a", "b", "agree"])
             keep = min(width, len(doc))
-            held = tuple(x[-keep:] for x in (region, doc, side, root, size, sketch))
+            held = tuple(x[-keep:] for x in (region, doc, side, root, size, room, sketch))
 
     return run
 
@@ -184,7 +187,7 @@ def candidates(rows: DataFrame, width: int, roots: DataFrame | None = None) -> D
     rows = rows.withColumn("root", F.col("doc")) if roots is None else _rooted(rows, roots)
     order = ["tree", "path", "doc"]
     return (rows.select(*order, "sketch", "root", "n").repartitionByRange(*order).sortWithinPartitions(*order)
-            .select(_region("tree", "path"), "doc", F.col("doc").alias("side"), "root", "n", "sketch")
+            .select(_region("tree", "path"), "doc", F.col("doc").alias("side"), "root", "n", F.col("n").alias("room"), "sketch")
             .mapInArrow(_neighbours(width, LEAST_AGREE), PAIRS).dropDuplicates(["a", "b"]))
 
 
@@ -223,17 +226,17 @@ def crowd_pairs(crowd: DataFrame, sets: DataFrame) -> DataFrame:
     own = (held.join(between(held), F.col("shingle") == F.col("common")).groupBy("doc", "root", "n")
            .agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("shared")))
     left = first - (F.col("n").cast("int") - F.size("shared"))
-    rare = (own.filter(left > 0).select("doc", "root", "n", F.explode(F.slice("shared", F.lit(1), left)).alias("s"))
-            .select("doc", "root", "n", "s.shingle").checkpoint())
+    rare = (own.filter(left > 0).select("doc", "root", "n", F.size("shared").alias("m"), F.posexplode(F.slice("shared", F.lit(1), left)).alias("at", "s"))
+            .select("doc", "root", "n", (F.col("m") - F.col("at")).cast("bigint").alias("room"), "s.shingle").checkpoint())
     blocks = F.ceil(F.col("times") / BLOCK).cast("int")
     dealt = (rare.join(between(rare), F.col("shingle") == F.col("common")).withColumn("blocks", blocks)
              .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select(F.xxhash64("shingle", F.least("block", "other"), F.greatest("block", "other")).alias("region"), "doc",
-                     F.when(F.col("block") == F.col("other"), F.col("doc")).otherwise(F.col("block")).alias("side"), "root", "n"))
+                     F.when(F.col("block") == F.col("other"), F.col("doc")).otherwise(F.col("block")).alias("side"), "root", "n", "room"))
     dealt = dealt.join(crowd.select(F.col("doc").alias("d"), "sketch"), F.col("doc") == F.col("d")).drop("d")
     return (dealt.repartition("region").sortWithinPartitions("region", "doc")
-            .mapInArrow(_neighbours(1 << 30, CROWD_AGREE), PAIRS).select("a", "b").distinct())
+            .select("region", "doc", "side", "root", "n", "room", "sketch").mapInArrow(_neighbours(1 << 30, CROWD_AGREE), PAIRS).select("a", "b").distinct())
 
 
 def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:

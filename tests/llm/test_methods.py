@@ -236,6 +236,21 @@ def test_nested_secrets_are_found(inner, outer):
     assert secrets.spans(secrets.redacted(text))[1] == []
 
 
+@pytest.mark.parametrize("inner", CODERS)
+@pytest.mark.parametrize("outer", [None, *CODERS])
+def test_secret_encoded_twice_is_found_twice(inner, outer):
+    coded = CODERS[inner]("hé " + SECRET + " x")
+    coded = CODERS[outer](coded) if outer else coded
+    text = "a " + coded + " b " + coded + " c"
+    first, second = 2, 5 + len(coded)
+    found = secrets.spans(text)[1]
+    assert len(found) == 2
+    for at, (start, kind, end) in zip((first, second), found):
+        assert kind == 0 and at <= start < end <= at + len(coded)
+    assert secrets.redacted(text).count(secrets.REDACTED) == 2
+    assert secrets.spans(secrets.redacted(text))[1] == []
+
+
 def test_base_spans_equal_plain_search(spark):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     texts = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]

@@ -8,7 +8,8 @@ decoding it yields:
   inflates to printable UTF-8: each a layer of its own.
 
 The worklist goes on until no layer yields a new one; a layer whose content was met
-before in the same text is not entered again, so cycles end.  Every layer keeps, for each
+before in the same text with the same origin of every character is not entered again, so cycles
+end and a secret encoded twice is found at both places.  Every layer keeps, for each
 of its characters, the span of the original text it came from; a secret found in a layer
 is reported with the original span that covers it, equal spans once.  Inflating stops at
 ``MAX_LAYER`` bytes per layer, a guard against decompression bombs; such a layer is scanned as far as it
@@ -68,6 +69,14 @@ class Layer:
             return start, end
         return int(self.low[start:end].min()), int(self.high[start:end].max())
 
+    def key(self) -> bytes:
+        """Digest of the content and of where each character came from."""
+        h = hashlib.blake2b(self.text.encode("utf-8", "surrogatepass"), digest_size=16)
+        if self.low is not None:
+            h.update(np.ascontiguousarray(self.low))
+            h.update(np.ascontiguousarray(self.high))
+        return h.digest()
+
 
 def find(text: str) -> list[tuple[int, int, int]]:
     """Base matches as (start, kind, end) in code points, sorted."""
@@ -222,7 +231,7 @@ def spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, i
     """Base spans, all spans (both sorted by start, kind, end) and whether a layer was cut."""
     base = find(text)
     found, cut = set(base), False
-    seen, work = {text}, [Layer(text)]
+    seen, work = set(), [Layer(text)]
     while work:
         layer = work.pop()
         if layer.low is not None:
@@ -235,8 +244,8 @@ def spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, i
         decoded, was_cut = _from_base64(layer)
         cut = cut or was_cut
         for x in [*new, *decoded]:
-            if x is not None and x.text not in seen:
-                seen.add(x.text)
+            if x is not None and (key := x.key()) not in seen:
+                seen.add(key)
                 work.append(x)
     return base, sorted(found), cut
 

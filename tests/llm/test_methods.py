@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from vela.llm import (catalog, components, language_id, mixing, near_dedup, packing, quality_rules, secrets, vp_search)
+from vela.llm import (catalog, components, language_id, mixing, near_dedup, packing, quality_rules, secrets, toxicity, vp_search)
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SMALL = "/root/testdata/sf0.01"
@@ -302,6 +302,18 @@ def test_language_masks_hold_every_gram():
     assert (filters.false_rate < 1e-4).all()
 
 
+def test_toxic_word_of_one_context_counts(frame):
+    rows = [("the vile glarbfish swims here", 1), ("a bad glarbfish", 0)] + [(f"w{chr(97 + k)} mild text again", 0) for k in range(20)]
+    rows += [("you zorkwump", 1)] * 3  # one context only, however often repeated
+    counts = toxicity.continuation_counts(frame(rows, "text string, label int"))
+    model = toxicity.build(counts)
+    _, word, stem = toxicity.words(next(toxicity.chunks(pa.array(["zorkwump"]))))
+    assert counts[0][1][word[0]] == 1 and counts[0][0][word[0]] == 0
+    assert 0 < model.kept[1][word[0]] < 1
+    [unseen] = np.flatnonzero(counts[0].sum(axis=0) == 0)[:1]
+    assert model.ratios(word, stem)[0] > model.ratios(np.array([unseen]), stem)[0]
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.1"
     labels = {r.doc_id: r for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}

@@ -251,6 +251,59 @@ def test_secret_encoded_twice_is_found_twice(inner, outer):
     assert secrets.spans(secrets.redacted(text))[1] == []
 
 
+def b64(raw):
+    return base64.b64encode(raw).decode()
+
+
+def wrapped(coded, end="\n"):
+    return end.join(coded[k:k + 76] for k in range(0, len(coded), 76))
+
+
+_PLAIN = ("some words. " * 20 + SECRET + " more").encode()
+_NOISE = np.random.default_rng(5).integers(0, 256, 400, dtype=np.uint8).tobytes()
+PLANTED = {
+    "second member": b64(gzip.compress(b"first") + gzip.compress(_PLAIN)),
+    "behind the member": b64(gzip.compress(b"first") + b" " + _PLAIN),
+    "cut stream": b64(gzip.compress(_PLAIN + _NOISE)[:-200]),
+    "wrong checksum": b64(gzip.compress(_PLAIN)[:-8] + b"12345678"),
+    "invalid byte": b64(b"caf\xe9 " + _PLAIN),
+    "invalid byte inflated": b64(gzip.compress(b"caf\xe9 " + _PLAIN)),
+    "control characters": b64(b"\x1b[31m" + _PLAIN + b"\0next"),
+    "control characters inflated": b64(zlib.compress(b"\x1b[31m\0" + _PLAIN)),
+    "invalid byte in percent run": "%FF" + CODERS["percent"](SECRET),
+    "lone surrogate in escape run": "\\ud800" + CODERS["unicode"](SECRET),
+    "lines": wrapped(b64(b"x" * 50 + b" " + SECRET.encode() + b" more")),
+    "lines of packed data": wrapped(b64(gzip.compress(_NOISE.hex("-").encode() + _PLAIN)), "\r\n  "),
+    "lines, members in them": wrapped(b64(gzip.compress(_NOISE) + gzip.compress(_PLAIN))),
+}
+
+
+@pytest.mark.parametrize("name", PLANTED)
+def test_secrets_of_damaged_and_wrapped_layers(name):
+    for text in ("a " + PLANTED[name] + " b", "averyveryverylongword\n" + PLANTED[name] + "\nThe end", CODERS["gzip"]("x, " + PLANTED[name] + " y")):
+        base, found, cut = secrets.spans(text)
+        assert base == [] and not cut and {kind for _, kind, _ in found} == {0}
+        assert secrets.spans(secrets.redacted(text))[1] == []
+        longest = max(e - s for s, _, e in found)
+        assert longest >= len(SECRET)
+
+
+def test_inflating_has_no_limit_but_for_what_no_window_holds(monkeypatch):
+    monkeypatch.setattr(secrets, "MAX_LAYER", 1 << 12)
+    monkeypatch.setattr(secrets, "BLOCK", 1 << 10, raising=False)
+    prose = "many wörds, of text " * 2000
+    for k in range(30):  # wherever the blocks end
+        assert [x[1] for x in secrets.spans("a " + CODERS["gzip"](prose + "é" * k + " " + SECRET + " " + prose) + " b")[1]] == [0]
+    nested = CODERS["gzip"](prose + CODERS["gzip"](prose + SECRET))
+    assert [x[1] for x in secrets.spans(nested)[1]] == [0]
+    coded = CODERS["gzip"]("A" * 40000 + "password=abcdef123456")
+    text = "a " + coded + " b"
+    base, found, cut = secrets.spans(text)
+    assert cut and (2, secrets.UNREAD, 2 + len(coded)) in found
+    assert secrets.redacted(text) == "a " + secrets.REDACTED + " b"
+    assert "unread:2:" in secrets._written(found)
+
+
 def test_base_spans_equal_plain_search(spark):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     texts = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]

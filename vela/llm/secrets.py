@@ -4,32 +4,35 @@ Three kinds are looked for in the text itself (the base spans) and in every laye
 decoding it yields:
 
 * ``%XX`` escapes and ``\\uXXXX`` / ``\\xXX`` escapes: the whole layer, decoded in place;
-* base64 runs (both alphabets) whose bytes are printable UTF-8, or gzip / zlib data that
-  inflates to printable UTF-8: each a layer of its own.
+* base64 runs (both alphabets), each line and lines that follow each other joined: their bytes as text, and what gzip
+  (every member) or zlib data among them inflates to: each a layer of its own.
+
+Bytes that are not UTF-8 and lone surrogates become U+FFFD; what stands around them is read all the same.
 
 The worklist goes on until no layer yields a new one; a layer whose content was met
 before in the same text with the same origin of every character is not entered again, so cycles
 end and a secret encoded twice is found at both places.  Every layer keeps, for each
 of its characters, the span of the original text it came from; a secret found in a layer
-is reported with the original span that covers it, equal spans once.  Inflating stops at
-``MAX_LAYER`` bytes per layer, a guard against decompression bombs; such a layer is scanned as far as it
-was inflated and its text is flagged ``cut``.
+is reported with the original span that covers it, equal spans once.  Data is inflated in blocks
+of ``BLOCK`` bytes, to its end or to where it is damaged, and scanned in windows that end where no match can
+lie across.  Only a window of more than ``MAX_LAYER`` characters without such an end is not
+read: the span it came from is then reported as ``unread`` and redacted as a whole, and the text is flagged ``cut``.
 
 One Arrow pass without shuffle; texts are handled one by one, so memory follows the longest text
-and its layers.
+and one window per level of nesting.
 
-Edge cases: null and empty texts have no spans and the SHA-256 of the empty string; escapes that
-are not valid UTF-8 stay as they are; repeated rows give equal results; an empty table gives an empty result; extra
+Edge cases: null and empty texts have no spans and the SHA-256 of the empty string; repeated rows give equal results; an empty table gives an empty result; extra
 columns pass through ``redact`` and are ignored by ``report``.
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
+import codecs
 import hashlib
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,11 +47,16 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # leftmost runs of 24 or more are the runs of [0-9a-f]+ that pass
 ASSIGN_VALUE, ACCESS_LENGTH = 6, 20
 
+UNREAD = len(KINDS)  # kind of a span whose content was not read to its end
 MAX_LAYER = 1 << 26
+BLOCK = 1 << 20
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-_CONTROL = re.compile(r"[\x00-\x08\x0e-\x1f\x7f-\x9f]")
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+)*={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+_STRANGE = re.compile("[\ud800-\udfff]")
+#: The last place that no match of any pattern lies across: after a character of none, or a space between words.
+_LAST_END = re.compile(r"""(?s:.*)(?:[^A-Za-z0-9+/_=.%\\"' :\r\n\t-]|(?<=[A-Za-z0-9])\x20(?=[A-Za-z0-9]))""")
 _URLSAFE = str.maketrans("-_", "+/")
 REDACTED = "[REDACTED]"
 
@@ -58,13 +66,16 @@ _HEX_BYTE[list(b"0123456789abcdef")] = True
 
 @dataclass
 class Layer:
-    """A text and, per character, the original span it came from (None: the original itself)."""
+    """A text and, per character or for all of it, the original span it came from (neither: the original itself)."""
 
     text: str
     low: np.ndarray | None = None
     high: np.ndarray | None = None
+    span: tuple[int, int] | None = None
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
+        if self.span:
+            return self.span
         if self.low is None:
             return start, end
         return int(self.low[start:end].min()), int(self.high[start:end].max())
@@ -72,6 +83,7 @@ class Layer:
     def key(self) -> bytes:
         """Digest of the content and of where each character came from."""
         h = hashlib.blake2b(self.text.encode("utf-8", "surrogatepass"), digest_size=16)
+        h.update(repr(self.span).encode())
         if self.low is not None:
             h.update(np.ascontiguousarray(self.low))
             h.update(np.ascontiguousarray(self.high))
@@ -109,16 +121,16 @@ _B64_BYTE[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+
 
 
 def _spliced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
-    """The layer with every match that decodes put in place."""
+    """The layer with every match decoded in place."""
     parts, low, high, at = [], [], [], 0
+    if layer.span:
+        text = pattern.sub(lambda m: decode(m[0])[0], layer.text)
+        return Layer(text, span=layer.span) if text != layer.text else None
     n = len(layer.text)
     own_low = np.arange(n) if layer.low is None else layer.low
     own_high = np.arange(1, n + 1) if layer.high is None else layer.high
     for m in pattern.finditer(layer.text):
-        got = decode(m[0])
-        if got is None:
-            continue
-        text, starts, ends = got
+        text, starts, ends = decode(m[0])
         parts += [layer.text[at:m.start()], text]
         low += [own_low[at:m.start()], own_low[m.start() + starts]]
         high += [own_high[at:m.start()], own_high[m.start() + ends - 1]]
@@ -129,16 +141,18 @@ def _spliced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     return Layer("".join(parts), np.concatenate([*low, own_low[at:]]), np.concatenate([*high, own_high[at:]]))
 
 
-def _utf8_widths(text: str) -> np.ndarray:
-    return np.fromiter((len(c.encode()) for c in text), np.int64, len(text))
+def _decoded(raw: bytes) -> tuple[str, np.ndarray]:
+    """UTF-8 bytes as text, each bad byte as one U+FFFD, and the bytes of each character."""
+    text = raw.decode("utf-8", "surrogateescape")
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    widths = 1 + (code >= 0x80).astype(np.int64) + (code >= 0x800) + (code >= 0x10000)
+    widths[(code >= 0xD800) & (code < 0xE000)] = 1
+    return _STRANGE.sub("\ufffd", text), widths
 
 
 def _percent(run: str):
-    try:
-        text = bytes.fromhex(run.replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return None
-    ends = 3 * np.cumsum(_utf8_widths(text))
+    text, widths = _decoded(bytes.fromhex(run.replace("%", "")))
+    ends = 3 * np.cumsum(widths)
     return text, np.concatenate(([0], ends[:-1])), ends
 
 
@@ -151,107 +165,179 @@ def _escape(run: str):
         if 0xD800 <= code < 0xDC00 and k + 1 < len(units) and 0xDC00 <= units[k + 1][1] < 0xE000:
             width, code = width + units[k + 1][0], 0x10000 + ((code - 0xD800) << 10) + units[k + 1][1] - 0xDC00
             k += 1
-        if 0xD800 <= code < 0xE000:
-            return None
-        text.append(chr(code))
+        text.append("\ufffd" if 0xD800 <= code < 0xE000 else chr(code))
         widths.append(width)
         k += 1
     ends = np.cumsum(widths)
     return "".join(text), ends - widths, ends
 
 
-def _printable(raw: bytes) -> str | None:
+def _packed(head: bytes) -> bool:
+    """Whether bytes may begin gzip or zlib data."""
+    return head[:2] == b"\x1f\x8b" or (len(head) > 1 and head[0] & 15 == 8 and (head[0] * 256 + head[1]) % 31 == 0)
+
+
+def _blocks(raw: bytes) -> Iterator[bytes]:
+    """Inflated bytes of every member in blocks, then the bytes behind the last; up to where the data is damaged."""
+    while _packed(raw):
+        d, data = zlib.decompressobj(47 if raw[:2] == b"\x1f\x8b" else 15), raw
+        while not d.eof:
+            before = d.copy()
+            try:
+                out = d.decompress(data, BLOCK)
+            except zlib.error:
+                out = _until_damage(before, data)
+                if out:
+                    yield out
+                return
+            data = d.unconsumed_tail
+            if out:
+                yield out
+            elif not data and not d.eof:
+                return  # it ends too early
+        raw = d.unused_data.lstrip(b"\0")
+    if raw:
+        yield raw
+
+
+def _until_damage(d, data: bytes) -> bytes:
+    """What a decompressor gives before the byte that it cannot read."""
+    out = bytearray()
     try:
-        text = raw.decode()
-    except UnicodeDecodeError:
-        return None
-    return None if _CONTROL.search(text) or not text else text
-
-
-def _inflate(raw: bytes) -> tuple[bytes, bool] | None:
-    """Inflated gzip or zlib data and whether MAX_LAYER cut it."""
-    gz = raw[:2] == b"\x1f\x8b"
-    if not gz and not (len(raw) > 2 and raw[0] & 15 == 8 and (raw[0] * 256 + raw[1]) % 31 == 0):
-        return None
-    d = zlib.decompressobj(47 if gz else 15)
-    try:
-        out = d.decompress(raw, MAX_LAYER)
+        for k in range(len(data)):
+            out += d.decompress(data[k:k + 1])
+            if len(out) > BLOCK:
+                break
     except zlib.error:
-        return None
-    return out, not d.eof and len(out) >= MAX_LAYER
-
-
-def _from_base64(layer: Layer) -> tuple[list[Layer], bool]:
-    out, cut = [], False
+        pass
+    return bytes(out)
+
+
+def _windows(raw: bytes) -> Iterator[str | None]:
+    """Inflated text in windows that no match lies across; None for one longer than MAX_LAYER, which is left out."""
+    decoder = codecs.getincrementaldecoder("utf-8")("replace")
+    held, size, lost = [], 0, False
+    for block in _blocks(raw):
+        text = decoder.decode(block)
+        end = m.end() if (m := _LAST_END.match(text)) else 0
+        if end:
+            if not lost:
+                yield "".join([*held, text[:end]])
+            held, size, lost = [], 0, False
+        held.append(text[end:])
+        size += len(text) - end
+        if size > MAX_LAYER:
+            if not lost:
+                yield None
+            held, lost = [], True
+    if not lost and (text := "".join([*held, decoder.decode(b"", True)])):
+        yield text
+
+
+def _worth(text: str) -> bool:
+    """Whether a text holds anything to report or to decode."""
+    return bool(find(text) or _PERCENT.search(text) or _ESCAPE.search(text) or _has_run(text, _B64_BYTE, 16))
+
+
+def _from_base64(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
+    """Layers that the base64 runs of a layer give; the original span of what was not read."""
     if not _has_run(layer.text, _B64_BYTE, 16):
-        return out, cut
+        return
     for m in _BASE64.finditer(layer.text):
-        run = m[0].rstrip("=").translate(_URLSAFE)
-        run = run[: len(run) - (len(run) % 4 == 1)]
-        try:
-            head = binascii.a2b_base64(run[:16])
-            if not _plausible(head):
+        lines = [x.span() for x in _LINE.finditer(layer.text, m.start(), m.end())]
+        whole = set()  # lines whose packed data ended in them
+        for a, b in lines:
+            if b - a >= 16:
+                yield from _from_lines(layer, [(a, b)], m.end() if b == lines[-1][1] else b, whole, len(lines) > 1)
+        if len(lines) > 1:
+            yield from _from_lines(layer, lines, m.end(), whole, True)
+
+
+def _from_lines(layer: Layer, lines: list[tuple[int, int]], end: int, whole: set[int], several: bool) -> Iterator[Layer | tuple[int, int]]:
+    """Layers of lines joined; text may begin with any of them, so every phase that one begins with is decoded."""
+    chars = "".join(layer.text[a:b] for a, b in lines).translate(_URLSAFE)
+    before = np.concatenate(([0], np.cumsum([b - a for a, b in lines])[:-1])).tolist()
+    for phase in sorted({c % 4 for c in before}):
+        text, widths = _decoded(_bytes(chars[phase:]))
+        if _worth(text):
+            if layer.span:
+                yield Layer(text, span=layer.span)
                 continue
-            raw = base64.b64decode(run + "=" * (-len(run) % 4))
-        except (binascii.Error, ValueError):
-            continue
-        text = _printable(raw)
-        if text is not None:
-            ends = np.cumsum(_utf8_widths(text))
-            starts = np.concatenate(([0], ends[:-1]))
-            low = m.start() + starts // 3 * 4 + starts % 3
-            high = m.start() + (ends - 1) // 3 * 4 + (ends - 1) % 3 + 2
+            at = np.concatenate([np.arange(a, b) for a, b in lines])[phase:]
+            ends = np.cumsum(widths)
+            starts = ends - widths
+            low = at[starts // 3 * 4 + starts % 3]
+            high = at[(ends - 1) // 3 * 4 + (ends - 1) % 3 + 1] + 1
             if layer.low is not None:
                 low, high = layer.low[low], layer.high[high - 1]
-            out.append(Layer(text, low, high))
+            yield Layer(text, low, high)
+    for c, (a, _) in zip(before, lines):
+        if a in whole or not _packed(_bytes(chars[c:c + 4])):
             continue
-        packed = _inflate(raw)
-        text = _printable(packed[0]) if packed else None
-        if text is not None:
-            cut = cut or packed[1]
-            a, b = layer.origin(m.start(), m.end())
-            out.append(Layer(text, np.full(len(text), a), np.full(len(text), b)))
-    return out, cut
-
-
-def _plausible(head: bytes) -> bool:
-    """Whether bytes may begin a printable UTF-8 text or compressed data."""
-    if head[:2] == b"\x1f\x8b" or (head[0] & 15 == 8 and (head[0] * 256 + head[1]) % 31 == 0):
-        return True
-    if any(b < 9 or 13 < b < 32 or b == 127 for b in head) or 128 <= head[0] < 192:
-        return False
-    try:
-        head[:-3].decode()
-    except UnicodeDecodeError as e:
-        return e.reason == "unexpected end of data"
-    return True
+        raw = _bytes(chars[c:])
+        origin = layer.origin(a, end)
+        for window in _windows(raw):
+            if window is None:
+                yield origin
+            elif _worth(window):
+                yield Layer(window, span=origin)
+        if several and _ends(raw):
+            whole.add(a)
+            if len(lines) > 1:
+                break  # the lines left are part of it
+
+
+def _bytes(run: str) -> bytes:
+    run = run[: len(run) - (len(run) % 4 == 1)]
+    return base64.b64decode(run + "=" * (-len(run) % 4))
+
+
+def _ends(raw: bytes) -> bool:
+    """Whether packed data is whole members and nothing else."""
+    while _packed(raw):
+        d, data = zlib.decompressobj(47 if raw[:2] == b"\x1f\x8b" else 15), raw
+        try:
+            while not d.eof:
+                out, data = d.decompress(data, BLOCK), d.unconsumed_tail
+                if not out and not data and not d.eof:
+                    return False
+        except zlib.error:
+            return False
+        raw = d.unused_data.lstrip(b"\0")
+    return not raw
 
 
 def spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], bool]:
-    """Base spans, all spans (both sorted by start, kind, end) and whether a layer was cut."""
+    """Base spans, all spans (both sorted by start, kind, end) and whether some span was not read."""
     base = find(text)
-    found, cut = set(base), False
-    seen, work = set(), [Layer(text)]
+    found = set(base)
+    seen, work = set(), [iter([Layer(text)])]
     while work:
-        layer = work.pop()
-        if layer.low is not None:
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        if isinstance(layer, tuple):
+            found.add((layer[0], UNREAD, layer[1]))
+            continue
+        if layer.low is not None or layer.span:
+            if (key := layer.key()) in seen:
+                continue
+            seen.add(key)
             found |= {(a, kind, b) for s, kind, e in find(layer.text) for a, b in [layer.origin(s, e)]}
-        new = []
-        if "%" in layer.text:
-            new.append(_spliced(layer, _PERCENT, _percent))
-        if "\\" in layer.text:
-            new.append(_spliced(layer, _ESCAPE, _escape))
-        decoded, was_cut = _from_base64(layer)
-        cut = cut or was_cut
-        for x in [*new, *decoded]:
-            if x is not None and (key := x.key()) not in seen:
-                seen.add(key)
-                work.append(x)
-    return base, sorted(found), cut
+        work.append(_next_layers(layer))
+    return base, sorted(found), any(kind == UNREAD for _, kind, _ in found)
+
+
+def _next_layers(layer: Layer) -> Iterator[Layer | tuple[int, int]]:
+    for sign, pattern, decode in (("%", _PERCENT, _percent), ("\\", _ESCAPE, _escape)):
+        if sign in layer.text and (spliced := _spliced(layer, pattern, decode)) is not None:
+            yield spliced
+    yield from _from_base64(layer)
 
 
 def _written(found: list[tuple[int, int, int]]) -> str:
-    return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in found)
+    return ",".join(f"{(*KINDS, 'unread')[k]}:{s}:{e}" for s, k, e in found)
 
 
 _RESULT = "struct<n_assign:bigint,n_access:bigint,n_hex:bigint,base_sha256:string,spans:string,cut:boolean>"

@@ -36,6 +36,20 @@ def test_kth_smallest_multi_round(spark):
         assert FE.kth_smallest(df, "k", k, buckets=8, exact_rows=100) == s[k - 1]
 
 
+def test_kth_smallest_of_any_type_by_one_path(spark):
+    base = spark.range(3000).selectExpr("id * 7919 % 3001 AS i")
+    kinds = {"string": "concat('C-', i)", "decimal": "cast(i / 10 AS decimal(12, 3))", "date": "date_add(DATE '1990-01-01', cast(i AS int))",
+             "double": "i / 7", "repeated": "concat('x', if(i < 2900, 500, i))"}
+    for kind, sql in kinds.items():
+        df = base.selectExpr(f"{sql} AS k")
+        want = sorted(r.k for r in df.collect())
+        for k in (1, 1234, 3000):
+            assert FE.kth_smallest(df, "k", k, buckets=40, exact_rows=100) == want[k - 1], (kind, k)
+    train, test = FE.split_prefix(base.selectExpr("concat('C-', i) AS key"), "key", 0.8)
+    assert (train.count(), test.count()) == (2400, 600)
+    assert train.agg({"key": "max"}).first()[0] < test.agg({"key": "min"}).first()[0]
+
+
 def test_one_hot_unknown_is_zero_and_drop_first(spark):
     train = spark.createDataFrame([("b",), ("a",), ("c",)], "x string")
     vocab = FE.fit_vocabulary(train, ["x"])

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.random import uniform
+from ..session import ensure_checkpoint_dir
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 CATEGORICAL = (T.StringType, T.BooleanType)
@@ -149,47 +150,31 @@ def split_hash(df: DataFrame, key: str, train_fraction: float = 0.8, seed: int =
     return df.where(u < F.lit(train_fraction)), df.where(u >= F.lit(train_fraction))
 
 
-def kth_smallest(df: DataFrame, key: str, k: int, buckets: int = 64, exact_rows: int = 1_000_000):
-    """Exact k-th smallest (1-based) value of a numeric ``key``, distributed.
+def kth_smallest(df: DataFrame, key: str, k: int, buckets: int = 64, exact_rows: int | None = None):
+    """Exact k-th smallest (1-based) value of ``key``, of any orderable type, distributed.
 
-    Each round draws approximate quantiles of the remaining key range, counts
-    rows per bucket (a tiny aggregate), and narrows to the bucket that holds
-    position k.  Once the range holds at most ``exact_rows`` keys, an ordered
-    offset picks the exact value.  Only bucket counts reach the driver.
+    Rows are counted per distinct key.  Each round deals the keys that are left into
+    range partitions, counts rows per partition and goes on with the keys of the
+    one that holds position k, until that is a single key.  Only one row per
+    partition reaches the driver.  ``exact_rows`` has no effect: all sizes go this way.
     """
-    keys = df.select(F.col(key).alias("k")).where(F.col("k").isNotNull())
-    lo = hi = None
+    ensure_checkpoint_dir(df.sparkSession)
+    keys = (df.select(F.col(key).alias("k")).where(F.col("k").isNotNull())
+            .groupBy("k").agg(F.count(F.lit(1)).alias("n")).checkpoint())
     remaining = k
     while True:
-        cur = keys
-        if lo is not None:
-            cur = cur.where(F.col("k") > F.lit(lo))
-        if hi is not None:
-            cur = cur.where(F.col("k") <= F.lit(hi))
-        st = cur.agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("mn"), F.max("k").alias("mx")).first()
-        if st["n"] < remaining or remaining < 1:
+        parts = (keys.repartitionByRange(max(2, buckets), "k").withColumn("part", F.spark_partition_id())
+                 .groupBy("part").agg(F.sum("n").alias("n"), F.min("k").alias("mn"), F.max("k").alias("mx"))
+                 .orderBy("part").collect())
+        if remaining < 1 or sum(p["n"] for p in parts) < remaining:
             raise ValueError("k is out of range")
-        if st["mn"] == st["mx"]:
-            return st["mn"]
-        if st["n"] <= exact_rows:
-            return cur.orderBy("k").offset(remaining - 1).limit(1).first()["k"]
-        probs = [i / buckets for i in range(1, buckets)]
-        cuts = sorted(set(cur.approxQuantile("k", probs, 1.0 / (4 * buckets))))
-        bucket = F.lit(0)
-        for c in cuts:
-            bucket = bucket + F.when(F.col("k") > F.lit(c), 1).otherwise(0)
-        counts = {r["b"]: r["n"] for r in cur.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
-        edges = [st["mn"] - 1 if lo is None else lo] + cuts + [st["mx"]]
-        acc = 0
-        for b in range(len(cuts) + 1):
-            n_b = counts.get(b, 0)
-            if acc + n_b >= remaining:
-                lo_new, hi_new = edges[b], edges[b + 1]
+        for p in parts:
+            if p["n"] >= remaining:
                 break
-            acc += n_b
-        if (lo_new, hi_new) == (lo, hi):  # quantiles could not split further
-            return cur.orderBy("k").offset(remaining - 1).limit(1).first()["k"]
-        lo, hi, remaining = lo_new, hi_new, remaining - acc
+            remaining -= p["n"]
+        if p["mn"] == p["mx"] or p["mn"] != p["mn"]:  # one key; NaN equals no key, itself included
+            return p["mn"]
+        keys = keys.where((F.col("k") >= F.lit(p["mn"])) & (F.col("k") <= F.lit(p["mx"])))
 
 
 def split_prefix(df: DataFrame, key: str, train_fraction: float = 0.8) -> tuple[DataFrame, DataFrame]:

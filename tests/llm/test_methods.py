@@ -367,6 +367,19 @@ def test_toxic_word_of_one_context_counts(frame):
     assert model.ratios(word, stem)[0] > model.ratios(np.array([unseen]), stem)[0]
 
 
+def test_vector_search_ties_go_to_the_smaller_id(frame):
+    rng = np.random.default_rng(11)
+    vectors = {int(i): [float(x) for x in v] for i, v in zip(rng.permutation(1500) + 1, rng.integers(0, 3, (1500, 6))) if v.any()}
+    rows = frame(list(vectors.items()), "vec_id bigint, embedding array<float>")
+    asked = rows.filter("vec_id % 25 = 0")
+    got = {}
+    for r in vp_search.search(rows, asked, k=10, factor=1.0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    for q, found in got.items():
+        own = np.array(vectors[q])
+        assert found == [i for _, i in sorted((((np.array(v) - own) ** 2).sum(), i) for i, v in vectors.items() if i != q)[:10]]
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.1"
     labels = {r.doc_id: r for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}

@@ -33,6 +33,7 @@ SHARD_ROWS = 4096
 QUERY_BLOCK = 2048
 LEAF = 64
 STEP = 1 << 21  # distances worked on at once
+ROUNDING = 1e-12  # so that rounded distances do not skip a point as near as the k-th
 
 
 def valid(vectors: DataFrame) -> DataFrame:
@@ -90,7 +91,7 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Search:
-    """The k + 1 nearest points of each query in one tree."""
+    """The k + 1 nearest points of each query in one tree, of equally near ones those of the first rows."""
 
     def __init__(self, tree: Tree, queries: np.ndarray, k: int, factor: float):
         self.tree, self.queries, self.factor = tree, queries, factor
@@ -102,7 +103,7 @@ class Search:
         keep = self.best.shape[1]
         dist = np.concatenate((self.best[q], d), axis=1)
         row = np.concatenate((self.row[q], np.broadcast_to(rows, d.shape)), axis=1)
-        order = np.argsort(dist, axis=1, kind="stable")[:, :keep]
+        order = np.lexsort((row, dist), axis=1)[:, :keep]  # rows stand in the order of their smallest ids
         self.best[q] = np.take_along_axis(dist, order, axis=1)
         self.row[q] = np.take_along_axis(row, order, axis=1)
 
@@ -122,8 +123,8 @@ class Search:
         self._visit(inner, q[first])
         self._visit(outer, q[~first])
         tau = self.best[q, -1]
-        self._visit(outer, q[first & ((gap - d) * self.factor <= tau)])
-        self._visit(inner, q[~first & ((d - radius) * self.factor <= tau)])
+        self._visit(outer, q[first & ((gap - d) * self.factor <= tau + ROUNDING * (gap + d))])
+        self._visit(inner, q[~first & ((d - radius) * self.factor <= tau + ROUNDING * (radius + d))])
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float = FACTOR) -> DataFrame:
@@ -143,6 +144,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float = F
             own_size, ask_size = own["vector"].map(len), asks["vector"].map(len)
             for size in np.unique(own_size):
                 mine, theirs = own[own_size == size], asks[ask_size == size]
+                mine = mine.iloc[np.argsort([i[0] for i in mine["ids"]])]
                 if not len(theirs):
                     continue
                 found = Search(Tree(np.stack(mine["vector"])), np.stack(theirs["vector"]), k, factor)

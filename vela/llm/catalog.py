@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_checkpoint_dir
 from ..sources import tables as TB
 from . import oracle
-from . import language_id, mixing, near_dedup, packing, quality_classifier, quality_rules, secrets, toxicity, url_reputation, vp_search
+from . import (fill_middle, language_id, lexical_search, mixing, near_dedup, packing, quality_classifier, quality_rules, secrets, sentence_pieces,
+               toxicity, url_reputation, vp_search)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,8 +66,24 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill-in-the-middle cuts and output of every document."""
+    return fill_middle.report(_table(spark, sf_dir, "documents"))
+
+
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document and the text decoded from them."""
+    return sentence_pieces.report(_table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best documents of every benchmark item by the words they share."""
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_language_id, op3_toxicity, op4_packing, op5_vp_search, op6_url_filters, op7_mixing, op8_quality_rules, op9_near_dedup, op10_secret_scans)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_language_id, op3_toxicity, op4_packing, op5_vp_search, op6_url_filters, op7_mixing, op8_quality_rules, op9_near_dedup, op10_secret_scans,
+                                       op11_fill_middle, op12_sentence_pieces, op13_lexical_search)}
 
 
 def oracle_sql() -> dict[str, str]:

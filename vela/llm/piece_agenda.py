@@ -6,7 +6,7 @@ No pair can be merged over a boundary whose two characters no piece holds side b
 segments (about words) that are encoded apart and, when equal, once per chunk of texts.
 
 Segments of up to ``SHORT`` characters keep their agendas in one array: each round, every segment takes its best
-pair by a segmented minimum over (rank, position).  Longer ones use a heap each, so a text without any boundary costs
+pair by a segmented minimum over (rank, position) and links its neighbours.  Longer ones use a heap each, so a text without any boundary costs
 n log n.  Characters that are no piece become the pieces of their UTF-8 bytes.
 """
 
@@ -71,7 +71,7 @@ class Pieces:
     """Merge tables of a merge-type vocabulary.
 
     Symbols are piece ids, then one number per character that pieces hold without being pieces themselves, then
-    ``other + code point``.  Pairs of symbols are looked up by key in a sorted array."""
+    ``other + code point``.  Pairs of symbols are looked up by key in a table of slots."""
 
     def __init__(self, path: str):
         pieces, trainer, normalizer = read_model(path)
@@ -102,10 +102,8 @@ class Pieces:
         rank = {s: k for k, s in enumerate(scores)}
         merges = [(symbol[text[:k]] << 32 | symbol[text[k:]], rank[-pieces[i][1]] << 32 | i) for text, i in normal.items()
                   for k in range(1, len(text)) if text[:k] in symbol and text[k:] in symbol]
-        merges.sort()
-        self.key = np.array([m[0] for m in merges] + [NONE], dtype=np.int64)
-        self.merge = np.array([m[1] for m in merges] + [NONE], dtype=np.int64)
         self.merged = dict(merges)
+        self._fill_slots()
         # characters that stand side by side in some piece, by class
         alphabet = sorted({c for text in normal if len(text) > 1 for c in text})
         self.kind = np.zeros(0x110000, dtype=np.uint16)
@@ -116,11 +114,38 @@ class Pieces:
             self.beside[k[:-1], k[1:]] = True
         self.size = len(pieces)
 
+    def _fill_slots(self) -> None:
+        """The pairs in a table with free slots; a pair whose slot is taken goes to the next free one."""
+        self.bits = max(8, (8 * len(self.merged)).bit_length())
+        self.key = np.full((1 << self.bits) + len(self.merged), -1, dtype=np.int64)
+        self.merge = np.full(len(self.key), NONE)
+        key, merge = (np.array(list(x), dtype=np.int64) for x in (self.merged.keys(), self.merged.values()))
+        slot = self._slot(key)
+        while len(key):
+            first = np.zeros(len(key), dtype=bool)
+            first[np.unique(slot, return_index=True)[1]] = True
+            first &= self.key[slot] == -1
+            self.key[slot[first]], self.merge[slot[first]] = key[first], merge[first]
+            key, merge, slot = key[~first], merge[~first], slot[~first] + 1
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
+
     def lookup(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """rank << 32 | piece of each pair, NONE if the two are no piece together."""
         key = left.astype(np.int64) << 32 | right
-        at = np.searchsorted(self.key, key)
-        return np.where(self.key[at] == key, self.merge[at], NONE)
+        slot = self._slot(key)
+        there = self.key[slot]
+        hit = there == key
+        out = np.where(hit, self.merge[slot], NONE)
+        more = np.flatnonzero(~hit & (there != -1))
+        while len(more):
+            slot[more] += 1
+            there = self.key[slot[more]]
+            hit = there == key[more]
+            out[more[hit]] = self.merge[slot[more[hit]]]
+            more = more[~hit & (there != -1)]
+        return out
 
     def encode_long(self, symbols: list[int]) -> list[int]:
         """Symbols after all merges of one segment, by a heap."""
@@ -148,53 +173,44 @@ class Pieces:
             enter(left, after[left])
         return [s for s in held if s >= 0]
 
-    def encode_short(self, symbols: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(symbols, segments) after all merges of many short segments; ``owner`` ascends."""
-        done_s, done_o = [], []
-        pair = self._pairs(symbols, owner)
-        while True:
-            start = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))) if len(owner) else np.zeros(0, int)
-            if not len(start):
-                break
-            place = np.where(pair == NONE, NONE, (pair >> 32 << 32) + np.arange(len(pair)))  # rank, then position
-            best = np.minimum.reduceat(place, start)
-            live = best != NONE
-            if not live.all():  # finished segments leave
-                size = np.diff(np.append(start, len(owner)))
-                stay = np.repeat(live, size)
-                done_s.append(symbols[~stay])
-                done_o.append(owner[~stay])
-                shift = np.cumsum(np.where(live, 0, size))
-                best = best[live] - shift[live]
-                symbols, owner, pair = symbols[stay], owner[stay], pair[stay]
-                if not len(best):
-                    break
-            at = best & 0xFFFFFFFF
-            symbols[at] = pair[at] & 0xFFFFFFFF
-            keep = np.ones(len(symbols), dtype=bool)
-            keep[at + 1] = False
-            at = at - np.arange(len(at))  # one symbol fewer per segment before
-            symbols, owner, pair = symbols[keep], owner[keep], pair[keep]
-            for left in (at, at[at > 0] - 1):
-                right = np.minimum(left + 1, len(symbols) - 1)
-                pair[left] = np.where((owner[left] == owner[right]) & (left < right), self.lookup(symbols[left], symbols[right]), NONE)
-        if not done_s:
-            return symbols, owner
-        symbols, owner = np.concatenate(done_s), np.concatenate(done_o)
-        order = np.argsort(owner, kind="stable")
-        return symbols[order], owner[order]
-
-    def _pairs(self, symbols: np.ndarray, owner: np.ndarray) -> np.ndarray:
-        pair = np.full(len(symbols), NONE)
-        if len(symbols) > 1:
-            pair[:-1] = np.where(owner[1:] == owner[:-1], self.lookup(symbols[:-1], symbols[1:]), NONE)
-        return pair
-
-    def to_ids(self, symbols: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Piece ids with their segments: characters that are no piece as their bytes."""
+    def encode_short(self, symbols: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(symbols after all merges, how many of each segment) of segments of ``size`` symbols, longest first."""
+        n = len(symbols)
+        if not n:
+            return symbols, size
+        end = np.cumsum(size)
+        start = end - size
+        held = np.append(symbols, self.other + 0x110000)  # a last symbol beyond all pairs stands before and after each segment
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after[end - 1], before[start] = n, n
+        place, piece = np.full(n + 1, NONE), np.zeros(n + 1, dtype=np.int32)  # rank, then position, of the pair that begins here
+
+        def enter(left: np.ndarray, right: np.ndarray) -> None:
+            found = self.lookup(held[left], held[right])
+            place[left] = np.where(found == NONE, NONE, (found >> 32 << 32) | left)
+            piece[left] = found & 0xFFFFFFFF
+
+        enter(np.arange(n), after[:n])
+        last = len(start)
+        while last:
+            best = np.minimum.reduceat(place[: end[last - 1]], start[:last])
+            live = np.flatnonzero(best != NONE)
+            last = int(live[-1]) + 1 if len(live) else 0  # short segments end first, so the rest shrinks
+            at = best[live] & 0xFFFFFFFF
+            right = after[at]
+            held[at], held[right], place[right] = piece[at], -1, NONE
+            after[at] = after[right]
+            before[after[right]] = at
+            enter(at, after[at])
+            enter(before[at], at)
+        alive = held[:n] >= 0
+        return held[:n][alive], np.add.reduceat(alive, start, dtype=np.int64)
+
+    def to_ids(self, symbols: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids and how many of each segment: characters that are no piece become their bytes."""
         strange = symbols >= self.first
         if not strange.any():
-            return symbols.astype(np.int32), owner
+            return symbols.astype(np.int32), count
         code = symbols[strange]
         code = np.where(code < self.other, self.code[np.minimum(code, self.other - 1)], code - self.other)
         size = np.ones(len(symbols), dtype=np.int64)
@@ -202,7 +218,8 @@ class Pieces:
         raw = np.frombuffer(code.astype("<u4").tobytes().decode("utf-32-le").encode("utf-8"), dtype=np.uint8)
         out = np.repeat(symbols, size).astype(np.int32)
         out[np.repeat(strange, size)] = self.bytes[raw]
-        return out, np.repeat(owner, size)
+        upto = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(count)))]
+        return out, np.diff(upto)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and where each text's ids begin (with the end)."""
@@ -219,33 +236,43 @@ class Pieces:
         at = np.flatnonzero(cut)
         s, e = at[:-1], at[1:]
         which, first = _distinct(wide, s, e)
-        # ids of the distinct segments
-        fs, fe = s[first], e[first]
-        size = fe - fs
-        short = size <= SHORT
-        symbols, owner = self.encode_short(self.char[_slices(wide, fs[short], size[short])], np.repeat(np.flatnonzero(short), size[short]))
-        for k in np.flatnonzero(~short):
-            more = self.encode_long(self.char[wide[fs[k] : fe[k]]].tolist())
-            symbols, owner = np.concatenate((symbols, more)), np.concatenate((owner, np.full(len(more), k)))
-        ids, owner = self.to_ids(symbols, owner)
-        order = np.argsort(owner, kind="stable")
-        ids, count = ids[order], np.bincount(owner, minlength=len(first))
+        # ids of the distinct segments, longest first
+        size = (e - s)[first]
+        order = np.argsort(-size, kind="stable")
+        first, size = first[order], size[order]
+        number = np.empty(len(order), dtype=np.int64)
+        number[order] = np.arange(len(order))
+        n_long = int((size > SHORT).sum())
+        long = [self.encode_long(self.char[wide[s[k] : e[k]]].tolist()) for k in first[:n_long].tolist()]
+        short, count = self.encode_short(self.char[_slices(wide, s[first[n_long:]], size[n_long:])], size[n_long:])
+        symbols = np.concatenate([*(np.array(x, dtype=np.int64) for x in long), short])
+        ids, count = self.to_ids(symbols, np.concatenate(([len(x) for x in long], count)).astype(np.int64))
         begin = np.cumsum(count) - count
         # every segment gets the ids of its like
-        out = _slices(ids, begin[which], count[which])
-        upto = np.concatenate(([0], np.cumsum(count[which])))
-        return out, upto[np.searchsorted(s, starts)]
+        like = number[which]
+        size = count[like]
+        upto = np.concatenate(([0], np.cumsum(size)))
+        return _slices(ids, begin[like], size), upto[np.searchsorted(s, starts)]
 
 
 def _slices(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The slices data[start : start + size] one after the other."""
     end = np.cumsum(size)
-    return data[np.arange(end[-1] if len(end) else 0) + np.repeat(start - end + size, size)]
+    total = int(end[-1]) if len(end) else 0
+    kind = np.int32 if max(total, len(data)) < 1 << 31 else np.int64
+    at = np.repeat((start - end + size).astype(kind), size)
+    at += np.arange(total, dtype=kind)
+    return data[at]
 
 
 def _distinct(wide: np.ndarray, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each segment the number of its like among the distinct ones, and the first segment of each distinct one."""
-    _, first, which = np.unique(run_hashes(wide, s, e), return_index=True, return_inverse=True)
+    found = run_hashes(wide, s, e)
+    order = np.argsort(found)
+    new = np.concatenate(([True], np.diff(found[order].view(np.int64)) != 0))
+    which = np.empty(len(s), dtype=np.int64)
+    which[order] = np.cumsum(new) - 1
+    first = order[new]
     like = first[which]
     size = e - s
     if (size[like] != size).any() or (_slices(wide, s[like], size) != wide).any():  # two texts of one hash

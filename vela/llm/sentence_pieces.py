@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .piece_agenda import Pieces
 
 MODEL = "piece_bpe_32k.model"
-CHUNK_CHARS = 1 << 22
+CHUNK_CHARS = 1 << 21
 SCHEMA = "doc_id bigint, ids array<int>, decoded string, agrees boolean"
 
 _loaded: dict[str, tuple] = {}

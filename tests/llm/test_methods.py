@@ -355,16 +355,69 @@ def test_language_masks_hold_every_gram():
     assert (filters.false_rate < 1e-4).all()
 
 
-def test_toxic_word_of_one_context_counts(frame):
-    rows = [("the vile glarbfish swims here", 1), ("a bad glarbfish", 0)] + [(f"w{chr(97 + k)} mild text again", 0) for k in range(20)]
-    rows += [("you zorkwump", 1)] * 3  # one context only, however often repeated
-    counts = toxicity.continuation_counts(frame(rows, "text string, label int"))
-    model = toxicity.build(counts)
-    _, word, stem = toxicity.words(next(toxicity.chunks(pa.array(["zorkwump"]))))
-    assert counts[0][1][word[0]] == 1 and counts[0][0][word[0]] == 0
-    assert 0 < model.kept[1][word[0]] < 1
-    [unseen] = np.flatnonzero(counts[0].sum(axis=0) == 0)[:1]
-    assert model.ratios(word, stem)[0] > model.ratios(np.array([unseen]), stem)[0]
+TOXIC_ROWS = ([("the vile glarbfish swims here", 1), ("a bad glarbfish", 0), ("", 0), (None, 1)] + [(f"w{chr(97 + k)} mild text again", 0) for k in range(20)]
+              + [("you zorkwump", 1)] * 3 + [("go away you a people now", 1)] * 6 + [("now people a you go", 0), ("away from a people", 0)] * 6)
+
+
+def toxic_shares(rows):
+    """Shares of stems, words and bigrams by the definition, and the corpus' own."""
+    pairs, seen = {}, ({}, {})
+    for text, label in rows:
+        before = ""
+        for w in re.findall(r"[^\W\d_]+", (text or "").lower()):
+            pairs.setdefault((before, w), [0, 0])[label] += 1
+            before = w
+    for (before, w), n in pairs.items():
+        for k, unit in enumerate((w[:toxicity.STEM], w)):
+            held = seen[k].setdefault(unit, [0, 0])
+            for label in (0, 1):
+                held[label] += n[label] > 0
+
+    def discount(counts):
+        once, twice = (sum(c == k for n in counts.values() for c in n) for k in (1, 2))
+        return min(max(once / max(1, once + 2 * twice), toxicity.DISCOUNTS[0]), toxicity.DISCOUNTS[1])
+
+    def share(n, d, up):
+        return (max(n[1] - d, 0) + (toxicity.BACKOFF + d * sum(c > 0 for c in n)) * up) / (sum(n) + toxicity.BACKOFF)
+
+    total = [sum(n[k] for n in seen[0].values()) for k in (0, 1)]
+    corpus = total[1] / sum(total)
+    stems = {u: share(n, discount(seen[0]), corpus) for u, n in seen[0].items()}
+    named = {u: share(n, discount(seen[1]), stems[u[:toxicity.STEM]]) for u, n in seen[1].items()}
+    toxic = {u: n for u, n in pairs.items() if n[1]}
+    return corpus, stems, named, {u: share(n, discount(toxic), named[u[1]]) for u, n in toxic.items()}
+
+
+def test_toxic_shares_equal_brute_force(frame):
+    corpus, *want = toxic_shares(TOXIC_ROWS)
+    got = toxicity.shares(frame(TOXIC_ROWS, "text string, label int"))
+    for table, shares in zip(got, want):
+        assert np.allclose(sorted(r.share for r in table.collect()), sorted(shares.values()), rtol=1e-12)
+    # the table's differences add up to the clipped ratios, a bigram by its own shares or those it falls back to
+    model = toxicity.collected(toxicity.model_table(frame(TOXIC_ROWS, "text string, label int")))
+
+    def clipped(share):
+        return max(0.0, np.log(share / (1 - share)) - np.log(corpus / (1 - corpus)) - toxicity.MARGIN)
+
+    for text in ["go away you a people now", "now go people you", "zorkwump unheard", "zorkers", "the vile glarbfish"]:
+        before, total, seen = "", 0.0, set()
+        for w in text.split():
+            share = want[2].get((before, w), want[1].get(w, want[0].get(w[:4], corpus)))
+            total += clipped(share)
+            seen.add((before, w))
+            before = w
+        assert toxicity.statistic(model, pa.array([text]))[0] == pytest.approx(total / (len(seen) + toxicity.PAD), abs=1e-12)
+
+
+def test_toxic_order_of_words_counts_and_both_ways_of_scoring_agree(frame):
+    rows = frame(TOXIC_ROWS, "text string, label int")
+    table = toxicity.model_table(rows).checkpoint()
+    texts = ["go away you a people now", "now people a you away go", "", None, "mild text again", "go away you a people now now now"]
+    docs = frame(list(enumerate(texts)), "doc_id bigint, text string")
+    by_model = {r.doc_id: r.x for r in toxicity.with_statistic(docs, table, "x", toxicity.collected(table)).collect()}
+    by_join = {r.doc_id: r.x for r in toxicity.with_statistic(docs, table, "x", None).collect()}
+    assert by_model == pytest.approx(by_join)
+    assert by_model[0] > by_model[1] and by_model[2] == by_model[3] == by_model[4] == 0
 
 
 def test_vector_search_ties_go_to_the_smaller_id(frame):
@@ -386,8 +439,9 @@ def test_held_out_accuracy(spark):
     lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang").collect()}
     quality = [r for r in catalog.op1_quality_classifier(spark, folder).collect() if r.held_out and r.doc_id in labels]
     assert np.mean([r.predicted == labels[r.doc_id].quality for r in quality]) > 0.97
-    toxic = [r for r in catalog.op3_toxicity(spark, folder).collect() if r.held_out and r.doc_id in labels]
-    assert np.mean([r.predicted == labels[r.doc_id].toxic for r in toxic]) > 0.97
+    toxic = [(r.predicted, labels[r.doc_id].toxic) for r in catalog.op3_toxicity(spark, folder).collect() if r.held_out and r.doc_id in labels]
+    assert np.mean([p == t for p, t in toxic]) > 0.97
+    assert sum(p and t for p, t in toxic) >= 0.93 * sum(t for _, t in toxic) and sum(p and not t for p, t in toxic) <= 10
     named = [r for r in catalog.op2_language_id(spark, folder).collect() if r.held_out and r.lang_pred != "und"]
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in named]) > 0.97
     again = {r.doc_id: r.score for r in catalog.op1_quality_classifier(spark, folder).collect()}

@@ -390,7 +390,8 @@ def toxic_shares(rows):
 
 def test_toxic_shares_equal_brute_force(frame):
     corpus, *want = toxic_shares(TOXIC_ROWS)
-    got = toxicity.shares(frame(TOXIC_ROWS, "text string, label int"))
+    found, got = toxicity.shares(frame(TOXIC_ROWS, "text string, label int"))
+    assert found == pytest.approx(corpus)
     for table, shares in zip(got, want):
         assert np.allclose(sorted(r.share for r in table.collect()), sorted(shares.values()), rtol=1e-12)
     # the table's differences add up to the clipped ratios, a bigram by its own shares or those it falls back to

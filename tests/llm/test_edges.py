@@ -120,6 +120,24 @@ def test_pipeline_stages_keep_columns(spark, pipeline, odd_docs, no_docs):
             out.count()
 
 
+CLASHING = ("_id", "_s", "_n", "_nth", "_kept", "_base", "_copies", "_copy", "_gone", "cut", "lang_", "source_", "stats", "cut_lang", "mix_id", "mix_nth",
+            "mix_of", "mix_times", "mix_copy", "gone", "x", "doc", "size", "start", "length", "ids", "form", "n")
+
+
+def test_stages_return_columns_of_clashing_names_unchanged(spark, frame, pipeline):
+    words = " ".join(f"good{k} words{k % 7}" for k in range(60))
+    rows = [(k, f"{words} {k % 4} {'odd ' * (k % 3)}", ("en", "de", None)[k % 3], ("a", "b", None)[k % 3], 100, *[f"{c}{k}" for c in CLASHING]) for k in range(30)]
+    rows += [(1, None, None, None, None, *[None] * len(CLASHING)), (2, "", "en", "a", 0, *["z"] * len(CLASHING))]
+    docs = frame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{c}` string" for c in CLASHING))
+    given = {tuple(r) for r in rows}
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        kept = [tuple(r) for r in out.collect()]
+        assert kept and set(kept) <= given, name
+    assert pipeline.STAGES[-1][1](spark, docs, "").count() >= len(rows)
+
+
 def test_pipeline_runs(spark, sf, pipeline):
     pieces = pipeline.run(spark, sf)
     docs = spark.read.parquet(f"{sf}/documents.parquet")

@@ -132,7 +132,33 @@ def test_quality_counts_equal_brute_force():
         windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
         covered = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)}
         assert row == {"n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": sum(c in "#*$%&|<>" for c in t),
-                       "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered)}
+                       "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered), "n_lines": len(lines)}
+
+
+def test_quality_cutoffs_follow_the_group_and_every_rule_rejects(frame):
+    rng = np.random.default_rng(7)
+
+    def prose(n, lines=6, spread=0):  # words of 6 letters on average, all different
+        words = ["".join(rng.choice(list("abcdefghij"), int(rng.integers(6 - spread, 7 + spread)))) + str(k) for k in range(n)]
+        return "\n".join(" ".join(x) for x in np.array_split(np.array(words, dtype=object), lines))
+
+    def repeats(share, n=200):  # a share of the words in windows that occur twice
+        twice = prose(int(n * share / 2), 1)
+        return f"{twice} {prose(n - int(n * share), 1)} {twice}"
+
+    rows = [(k, "en", "even", prose(100)) for k in range(300)]
+    rows += [(1000 + k, "en", "wild", [prose(100, spread=4), prose(100, spread=2) + " # # #" * (k % 30), repeats(0.003 * (k % 100)), "\n".join([prose(60, 12)] + ["same line"] * (k % 12))][k % 4]) for k in range(800)]
+    planted = {5001: " ".join("a" * 40 + str(k) for k in range(100)), 5002: " ".join(w + "#%" for w in prose(100).split()),
+               5003: "\n".join([prose(40, 4), *["same words again"] * 8]), 5004: repeats(0.45)}
+    rows += [(i, "en", "even", t) for i, t in planted.items()]
+    docs = frame(rows, "doc_id bigint, lang string, source string, text string")
+    out = {r.doc_id: r for r in quality_rules.report(docs).collect()}
+    assert all(not out[i].base_failed and not out[i].kept for i in planted)
+    assert all(out[i].kept for i in range(300))
+    stats = docs.select("lang", "source", quality_rules.text_stats(quality_rules.F.col("text")).alias("_s")).checkpoint()
+    cuts = {r.source: r.cut for r in quality_rules.thresholds(quality_rules.sketches(stats)).collect()}
+    for rule in quality_rules.RATES:
+        assert cuts["wild"][f"{rule.name}_high"] > cuts["even"][f"{rule.name}_high"], rule.name
 
 
 def test_packing_round_trip(spark):

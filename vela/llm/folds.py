@@ -1,4 +1,4 @@
-"""Bounded samples of labelled rows for the trained operators."""
+"""Bounded samples of labelled rows for the trained operators, and free column names."""
 
 from __future__ import annotations
 
@@ -22,3 +22,11 @@ def class_sample(rows: DataFrame, label: str, key: str, per_class: int, counts:
         return rows.filter(F.lit(False))
     share = F.element_at(F.create_map(*[F.lit(x) for v, n in counts.items() for x in (v, per_class / n)]), F.col(label))
     return rows.filter(F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1 << 30)) < share * (1 << 30))
+
+
+def unused(rows: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it as long as rows has a column of that name."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .folds import unused
+
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 CAP = 2.0
@@ -169,9 +171,9 @@ def report(docs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame) -> DataFrame:
     """The rows of docs as often as the mix takes them, with the columns of docs."""
-    number = copies(_sized(docs)).select(F.col("key.id").alias("_id"), F.col("key.nth").alias("_nth"), F.col("copies").alias("_copies"))
-    nth = F.row_number().over(W.partitionBy("doc_id").orderBy(word_count(F.col("text")), "source")).cast("int")
-    numbered = docs.withColumn("_n", nth)
-    return (numbered.join(number, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_nth")))
-            .filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    id_, of, times, nth, copy = (unused(docs, x) for x in ("mix_id", "mix_of", "mix_times", "mix_nth", "mix_copy"))
+    number = copies(_sized(docs)).select(F.col("key.id").alias(id_), F.col("key.nth").alias(of), F.col("copies").alias(times))
+    place = F.row_number().over(W.partitionBy("doc_id").orderBy(word_count(F.col("text")), "source", F.xxhash64("text"))).cast("int")
+    return (docs.withColumn(nth, place).join(number, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(nth) == F.col(of)))
+            .filter(F.col(times) > 0).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
             .select(*docs.columns))

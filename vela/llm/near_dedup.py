@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .components import components
+from .folds import unused
 from .idbitmap import bitmap, held, position
 from .textbatch import LOWER, SPACE, chunks, combine, mix, run_hashes, runs
 
@@ -154,7 +155,8 @@ def _neighbours(width: int, least: int):
             if out:
                 a, b, agree = (np.concatenate(x) for x in zip(*out))
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(agree.astype(np.int32))], names=["a", "b", "agree"])
-            keep = min(width, len(doc))
+            last = int(np.flatnonzero(region != region[-1])[-1]) + 1 if region[0] != region[-1] else 0
+            keep = min(width, len(doc) - last)  # rows of finished regions have no more neighbours
             held = tuple(x[-keep:] for x in (region, doc, side, root, size, room, sketch))
 
     return run
@@ -323,5 +325,6 @@ def groups(docs: DataFrame) -> DataFrame:
 
 def filter_docs(docs: DataFrame) -> DataFrame:
     """The rows of docs but for those whose group has a smaller doc_id."""
-    gone = _sized(groups(docs).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-dedup")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = unused(docs, "gone")
+    gone = _sized(groups(docs).filter("NOT kept").select(F.col("doc_id").alias(name)).distinct(), "near-dedup")
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")

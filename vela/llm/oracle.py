@@ -35,17 +35,22 @@ FROM judged j LEFT JOIN bad USING (host)
 
 
 def _op8() -> str:
-    rates = (("word_length", "word_chars", 0.05, True), ("symbol_rate", "n_symbols", 0.03, False),
-             ("dup_lines", "n_dup_lines", 0.05, False), ("repeat_rate", "n_repeat_words", 0.08, False))
-    each = " UNION ALL ".join(f"SELECT rid, lang, source, '{r}' AS rate, {c} / n_words AS x, {least} AS least, {str(below).lower()} AS below "
-                              f"FROM stats WHERE NOT base_failed" for r, c, least, below in rates)
-    picks = ", ".join(f"min(CASE WHEN upto * 10 >= n_rows * {k} THEN value END) AS q{k}" for k in (1, 5, 9))
+    # name, count, base, upper quantile, spreads, slack, whether too low a rate fails as well
+    rates = (("word_length", "word_chars", "n_words", 90, 4.0, 0, True), ("symbol_rate", "n_symbols", "n_words", 90, 4.0, 3, False),
+             ("dup_lines", "n_dup_lines", "n_lines", 98, 0.5, 1, False), ("repeat_rate", "n_repeat_words", "n_words", 98, 0.5, 6, False))
+    each = " UNION ALL ".join(f"SELECT rid, lang, source, '{r}' AS rate, {c} AS c, {b} AS base, {u} AS u, {k}::DOUBLE AS k, {slack} AS slack, {str(below).lower()} AS below "
+                              f"FROM stats WHERE NOT base_failed" for r, c, b, u, k, slack, below in rates)
+    picks = ", ".join(f"min(CASE WHEN upto * 100 >= n_rows * {k} THEN value END) AS {n}" for n, k in (("low", "(100 - u)"), ("mid", "50"), ("high", "u")))
 
     def quantiles(keys: str) -> str:
         by = f"{keys}, rate" if keys else "rate"
-        return (f"SELECT {by}, max(n_rows) AS n_rows, {picks} FROM (SELECT {by}, CASE WHEN bucket = -100000 THEN 0 ELSE pow(1.02, bucket - 0.5) END AS value, "
+        return (f"SELECT {by}, max(n_rows) AS n_rows, {picks} FROM (SELECT {by}, u, CASE WHEN bucket = -100000 THEN 0 ELSE pow(1.02, bucket - 0.5) END AS value, "
                 f"sum(n) OVER (PARTITION BY {by}) AS n_rows, sum(n) OVER (PARTITION BY {by} ORDER BY bucket) AS upto "
-                f"FROM (SELECT {by}, bucket, sum(n) AS n FROM sketch GROUP BY ALL)) GROUP BY {by}")
+                f"FROM (SELECT {by}, u, bucket, sum(n) AS n FROM sketch GROUP BY ALL)) GROUP BY {by}")
+
+    def blended(own: str, up: str, on: str, keys: str) -> str:
+        mixed = ", ".join(f"(o.n_rows * o.{q} + 200 * p.{q}) / (o.n_rows + 200) AS {q}" for q in ("low", "mid", "high"))
+        return f"SELECT {keys}, o.rate, {mixed} FROM {own} o JOIN {up} p ON o.rate = p.rate{on}"
 
     return rf"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
@@ -54,26 +59,25 @@ windows AS (SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS win FRO
 found AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS n FROM windows) WHERE n > 1),
 covered AS (SELECT rid, count(DISTINCT i + k) AS n_repeat_words FROM found, (VALUES (0), (1), (2)) AS o(k) GROUP BY rid),
 stats AS (
-  SELECT rid, doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+  SELECT rid, doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
     n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed FROM (
     SELECT rid, doc_id, lang, source, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
       length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
-      len(lines) - len(list_distinct(lines)) AS n_dup_lines
+      len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(lines) AS n_lines
     FROM (SELECT *, [x for x in string_split(t, chr(10)) if regexp_matches(x, '{_WORD}')] AS lines FROM words)) LEFT JOIN covered USING (rid)),
 rates AS ({each}),
-sketch AS (SELECT lang, source, rate, CASE WHEN x <= 0 THEN -100000 ELSE ceil(ln(x) / ln(1.02))::INT END AS bucket, count(*) AS n FROM rates GROUP BY ALL),
+sketch AS (SELECT lang, source, rate, u, CASE WHEN c <= 0 THEN -100000 ELSE ceil(ln(c / base) / ln(1.02))::INT END AS bucket, count(*) AS n FROM rates GROUP BY ALL),
 own AS ({quantiles("lang, source")}), by_lang AS ({quantiles("lang")}), overall AS ({quantiles("")}),
+lang_cut AS ({blended("by_lang", "overall", "", "o.lang")}),
+cuts AS ({blended("own", "lang_cut", " AND o.lang IS NOT DISTINCT FROM p.lang", "o.lang, o.source")}),
 verdicts AS (
-  SELECT r.rid, bool_or(x > q5 + 6 * greatest(q9 - q5, 0.05 * q5, least) OR (below AND x < q5 - 6 * greatest(q5 - q1, 0.05 * q5, least))) AS fails FROM (
-    SELECT r.*, CASE WHEN o.n_rows >= 200 THEN o.q1 WHEN l.n_rows >= 200 THEN l.q1 ELSE a.q1 END AS q1,
-      CASE WHEN o.n_rows >= 200 THEN o.q5 WHEN l.n_rows >= 200 THEN l.q5 ELSE a.q5 END AS q5,
-      CASE WHEN o.n_rows >= 200 THEN o.q9 WHEN l.n_rows >= 200 THEN l.q9 ELSE a.q9 END AS q9
-    FROM rates r JOIN own o ON o.lang IS NOT DISTINCT FROM r.lang AND o.source IS NOT DISTINCT FROM r.source AND o.rate = r.rate
-    JOIN by_lang l ON l.lang IS NOT DISTINCT FROM r.lang AND l.rate = r.rate JOIN overall a ON a.rate = r.rate) r GROUP BY r.rid)
+  SELECT r.rid, bool_or(c > (high + k * greatest(high - mid, 0.02 * mid)) * base + slack OR (below AND c < (low - k * greatest(mid - low, 0.02 * mid)) * base - slack)) AS fails
+  FROM rates r JOIN cuts o ON o.lang IS NOT DISTINCT FROM r.lang AND o.source IS NOT DISTINCT FROM r.source AND o.rate = r.rate GROUP BY r.rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(fails, false) AS kept
 FROM stats LEFT JOIN verdicts USING (rid)
 """
 
+
 _OP11 = r"""
 WITH hashed AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS h FROM documents),
 drawn AS (SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS tokens, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,

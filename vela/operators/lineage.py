@@ -2,7 +2,8 @@
 
 Events follow the open run-event shape: ``eventType``, ``eventTime``,
 ``run.runId``, ``job{namespace,name,facets}``, ``inputs[]``, ``outputs[]``,
-``producer``; facets are open-ended string maps.  Everything here is a
+``producer``; facets are open-ended nested values and stay VARIANT until a path or
+their fields are asked for.  Everything here is a
 Spark job over a (possibly huge) event table:
 
 * ingestion reads JSON lines with a fixed schema, routes bad lines to an
@@ -21,14 +22,15 @@ import json
 import traceback
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from .sequence import next_within
 from .versions import version_key
 
-FACETS = T.MapType(T.StringType(), T.StringType())
+FACETS = T.VariantType()
 DATASET = T.StructType([
     T.StructField("namespace", T.StringType()), T.StructField("name", T.StringType()),
     T.StructField("facets", FACETS)])
@@ -46,6 +48,18 @@ RAW_EVENT = T.StructType([
 ])
 TERMINAL = ("COMPLETE", "FAIL", "ABORT")
 
+# Names in the events of existing logs.
+ENVELOPE = ("_producer", "_schemaURL")  # in every facet, no part of its value
+WRITE_FACET = "iceberg_write_info"  # table_identifier, mode, schema, count, catalog
+READ_FACET = "iceberg_read_info"  # table_identifier, filter, selected_fields, snapshot_id, catalog
+ALL_FIELDS = "all fields"  # selected_fields of an unprojected read
+
+
+_TYPED = T.StructType([
+    T.StructField("run_id", T.StringType()), T.StructField("event_type", T.StringType()), T.StructField("event_time", T.TimestampNTZType()),
+    T.StructField("job_namespace", T.StringType()), T.StructField("job_name", T.StringType()), T.StructField("job_facets", FACETS),
+    T.StructField("inputs", T.ArrayType(DATASET)), T.StructField("outputs", T.ArrayType(DATASET)), T.StructField("producer", T.StringType())])
+
 
 # ------------------------------------------------------------ ingestion ---
 
@@ -66,20 +80,25 @@ def typed_events(raw: DataFrame) -> DataFrame:
         F.when(bad, F.coalesce(F.col("_corrupt_record"), F.lit("missing required field"))).alias("error"))
 
 
+_LINES = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+
+
+def parse_events(lines: DataFrame, column: str = "value") -> DataFrame:
+    """L1: JSON lines in a column -> typed events, duplicates (run, type, time) dropped."""
+    return dedupe(typed_events(lines.select(F.from_json(F.col(column), RAW_EVENT, _LINES).alias("e")).select("e.*")))
+
+
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """L1 batch: JSON lines -> typed events, duplicates (run, type, time) dropped."""
-    raw = (spark.read.schema(RAW_EVENT).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
-    return dedupe(typed_events(raw))
+    """L1 batch: JSON lines of a folder -> typed events, duplicates (run, type, time) dropped."""
+    return dedupe(typed_events(spark.read.schema(RAW_EVENT).options(**_LINES).json(path)))
 
 
 def _raw_stream(spark: SparkSession, path: str) -> DataFrame:
-    return (spark.readStream.schema(RAW_EVENT).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
+    return spark.readStream.schema(RAW_EVENT).options(**_LINES).json(path)
 
 
 def read_bad_events_stream(spark: SparkSession, path: str) -> DataFrame:
-    """The lines that ``read_events_stream`` leaves out, each with its ``error``."""
+    """The lines that the event stream leaves out, each with its ``error``."""
     return typed_events(_raw_stream(spark, path)).where(F.col("error").isNotNull())
 
 
@@ -88,18 +107,41 @@ def phase() -> F.Column:
     return (F.when(F.col("event_type") == "START", 0).when(F.col("event_type").isin(*TERMINAL), 2).otherwise(1))
 
 
-def read_events_stream(spark: SparkSession, path: str, watermark: str = "1 hour") -> DataFrame:
-    """L1 streaming twin: same schema and parsing over a growing folder.
+def _day() -> Column:
+    return F.to_date("event_time").cast("string").alias("day")
 
-    The watermark bounds the de-duplication state to recent event times.  Bad
-    lines have no event time; ``read_bad_events_stream`` gives them.
-    """
-    from ..streaming.scoring import ntz_to_instant
 
-    ev = (typed_events(_raw_stream(spark, path)).where(F.col("error").isNull())
-          .withColumn("_wm", ntz_to_instant(F.col("event_time"))))
-    return (ev.withWatermark("_wm", watermark)
-            .dropDuplicatesWithinWatermark(["run_id", "event_type", "event_time"]).drop("_wm"))
+def ingest_stream(spark: SparkSession, path: str, sink: str, checkpoint: str) -> StreamingQuery:
+    """L1 streaming twin: every good event of a growing folder once, however late or often it comes.
+
+    Each batch writes a folder of its own, partitioned by event day, of the events that no other batch wrote: an anti-join on
+    (run, type, time) with the folders of the batch's days alone.  No state is kept between batches and no watermark drops
+    anything; a batch that is run again leaves its own folder out and writes it anew, so restarts change nothing.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        key = ["run_id", "event_type", "event_time"]
+        new = batch.dropDuplicates(key).withColumn("day", _day())
+        folders = f"{sink}/events"
+        before = ingested(spark, sink, exclude=batch_id)
+        if before is not None:
+            days = [r.day for r in new.select("day").distinct().collect()]  # days of one batch: a handful
+            new = new.join(before.where(F.col("day").isin(days)).select(*key), key, "left_anti")
+        new.write.mode("overwrite").partitionBy("day").parquet(f"{folders}/batch_id={batch_id}")
+
+    good = typed_events(_raw_stream(spark, path)).where(F.col("error").isNull()).drop("error")
+    return good.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def ingested(spark: SparkSession, sink: str, exclude: int | None = None) -> DataFrame | None:
+    """The events of all batches of ``ingest_stream`` (``exclude``: but those of one); None before the first one."""
+    base = f"{sink}/events"
+    p = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p) or not any(x.getPath().getName() != f"batch_id={exclude}" for x in fs.listStatus(p)):
+        return None
+    schema = T.StructType([f for f in _TYPED.fields] + [T.StructField("batch_id", T.LongType()), T.StructField("day", T.StringType())])
+    found = spark.read.schema(schema).parquet(base)
+    return found if exclude is None else found.where(F.col("batch_id") != exclude)
 
 
 def dedupe(ev: DataFrame) -> DataFrame:
@@ -119,7 +161,7 @@ def runs(ev: DataFrame) -> DataFrame:
         F.min(F.when(F.col("event_type") == "START", F.col("event_time"))).alias("started_at"),
         F.max(F.when(is_term, F.col("event_time"))).alias("ended_at"),
         F.max_by("event_type", o).alias("status"),
-        F.max_by(F.col("job_facets").getItem("errorMessage"), F.when(F.col("event_type") == "FAIL", o))
+        F.max_by(bare_or("job_facets", "errorMessage", "message"), F.when(F.col("event_type") == "FAIL", o))
         .alias("error_message"),
         F.count(F.lit(1)).alias("events")).withColumn(
         "duration_s", F.timestamp_diff("MICROSECOND", F.col("started_at"), F.col("ended_at")) / F.lit(1e6))
@@ -158,12 +200,41 @@ def run_io(ev: DataFrame) -> DataFrame:
         F.max_by(F.col("d.facets"), order).alias("facets"))
 
 
-def job_facets(ev: DataFrame) -> DataFrame:
-    """Latest value per (run, facet key); later events replace earlier."""
+# -------------------------------------------------------------- facets ---
+
+def at(facets, path: str, type_: str = "string") -> Column:
+    """The value at a path of nested facets; NULL if there is none or it is of another type."""
+    return F.try_variant_get(facets, f"$.{path}", type_)
+
+
+def fields(value) -> Column:
+    """Fields of a nested value as map<string, variant>; NULL if it is no object."""
+    return F.try_variant_get(value, "$", "map<string,variant>")
+
+
+def text(value) -> Column:
+    """A nested value as text: scalars plainly, objects and arrays as JSON."""
+    return F.try_variant_get(value, "$", "string")
+
+
+def bare_or(facets, name: str, inner: str) -> Column:
+    """A facet written either as an object with the field ``inner`` or as the bare value itself."""
+    return F.coalesce(at(facets, f"{name}.{inner}"), F.when(at(facets, name, "map<string,variant>").isNull(), at(facets, name)))
+
+
+def latest_job_facets(ev: DataFrame) -> DataFrame:
+    """(run_id, facet, value VARIANT); a later event's facet replaces the earlier one as a whole."""
     good = ev.where(F.col("error").isNull())
-    kv = good.select("run_id", "event_time", "event_type", F.explode("job_facets").alias("facet", "value"))
+    kv = good.select("run_id", "event_time", "event_type", F.explode(fields("job_facets")).alias("facet", "value"))
     return kv.groupBy("run_id", "facet").agg(
-        F.max_by("value", F.struct("event_time", phase().alias("phase"), "event_type", "value")).alias("value"))
+        F.max_by("value", F.struct("event_time", phase().alias("phase"), "event_type", F.to_json("value"))).alias("value"))
+
+
+def job_facets(ev: DataFrame) -> DataFrame:
+    """L5, long form: (run_id, facet, field, value) of the latest facets; a facet that is no object has the one field ``value``."""
+    inner = F.coalesce(fields("value"), F.create_map(F.lit("value"), F.col("value")))
+    kv = latest_job_facets(ev).select("run_id", "facet", F.explode(inner).alias("field", "v"))
+    return kv.where(~F.col("field").isin(*ENVELOPE)).select("run_id", "facet", "field", text("v").alias("value"))
 
 
 def dataset_kind(name_col) -> F.Column:
@@ -172,37 +243,60 @@ def dataset_kind(name_col) -> F.Column:
     return F.when(c.contains("://"), F.split(c, "://").getItem(0)).otherwise(F.lit("dataset"))
 
 
+def is_virtual() -> Column:
+    """Outputs that stand for a result nobody stored."""
+    return F.coalesce(at("facets", "virtual.isVirtual", "boolean"), F.lit(False))
+
+
+def dataset_details(io: DataFrame) -> DataFrame:
+    """One row per run and written dataset with what its facets say."""
+    return io.where((F.col("side") == "output") & ~is_virtual()).select(
+        "run_id", "namespace", "name", bare_or("facets", "version", "version").alias("version"),
+        at("facets", "dataSource.uri").alias("uri"), at("facets", "documentation.description").alias("description"),
+        at("facets", "datasetProperties.properties.format").alias("format"),
+        at("facets", "datasetProperties.properties.snapshot_id").alias("snapshot_id"), "facets")
+
+
 def dataset_versions(io: DataFrame) -> DataFrame:
-    """Per written dataset: distinct versions, latest version and format."""
-    out = io.where(F.col("side") == "output").select(
-        "name", "run_id", F.col("facets").getItem("version").alias("version"),
-        F.col("facets").getItem("format").alias("format"))
-    return out.groupBy("name").agg(F.count_distinct("version").alias("versions"),
-                                   F.max_by("version", F.struct(version_key("version"), "version")).alias("max_version"),
-                                   F.max("format").alias("format"))
+    """Per written dataset: distinct versions, latest version, format, place and number of descriptions."""
+    return dataset_details(io).groupBy("name").agg(
+        F.count_distinct("version").alias("versions"), F.max_by("version", F.struct(version_key("version"), "version")).alias("max_version"),
+        F.max("format").alias("format"), F.max("uri").alias("uri"), F.count_distinct("snapshot_id").alias("snapshots"),
+        F.count("description").alias("described"))
 
 
-def model_facets(ev: DataFrame, io: DataFrame) -> DataFrame:
-    """Facets of runs that write a model, long form (model, version, run, kind, key, value).
+def dataset_columns(io: DataFrame) -> DataFrame:
+    """Distinct (name, version, column_name, data_type) of the schema facets of written datasets."""
+    listed = F.try_variant_get("facets", "$.schema.fields", "array<struct<name:string,type:string>>")
+    return (dataset_details(io).select("name", "version", F.explode(listed).alias("f"))
+            .select("name", "version", F.col("f.name").alias("column_name"), F.col("f.type").alias("data_type")).distinct())
 
-    START facets are the run's hyperparameters, COMPLETE facets its metrics,
-    FAIL facets its error; one row per facet key per event.
-    """
-    models = io.where((F.col("side") == "output") & (dataset_kind("name") == "model")).select(
-        "run_id", F.col("name").alias("model"), F.col("facets").getItem("version").alias("version"))
-    kv = ev.where(F.col("error").isNull()).select(
-        "run_id", F.when(F.col("event_type") == "START", F.lit("hyperparameter"))
-        .when(F.col("event_type") == "COMPLETE", F.lit("metric")).otherwise(F.lit("status")).alias("kind"),
-        F.explode("job_facets").alias("key", "value"))
-    return models.join(kv, "run_id").select("model", "version", "run_id", "kind", "key", "value")
 
+def model_facets(io: DataFrame) -> DataFrame:
+    """(model, version, run_id, kind, key, value): metrics, hyperparameters and properties of written models.
+
+    Models come with one nested ``model`` facet or with bare facets (``metrics``, ``model_type``, ``feature_count``)."""
+    empty = F.create_map().cast("map<string,variant>")
+
+    def kind(name: str, values: Column) -> Column:
+        return F.transform(F.map_entries(F.coalesce(values, empty)),
+                           lambda e: F.struct(F.lit(name).alias("kind"), e["key"].alias("key"), text(e["value"]).alias("value")))
 
-def run_kinds(io: DataFrame, all_runs: DataFrame) -> DataFrame:
-    """Generation (outputs only) / transformation (both) / sink / other."""
+    prop = [F.struct(F.lit("property").alias("kind"), F.lit(key).alias("key"), value.alias("value"))
+            for key, value in (("type", F.coalesce(at("facets", "model.type"), at("facets", "model_type"))), ("feature_count", at("facets", "feature_count")))]
+    rows = F.concat(kind("metric", F.coalesce(at("facets", "model.metrics", "map<string,variant>"), at("facets", "metrics", "map<string,variant>"))),
+                    kind("hyperparameter", at("facets", "model.hyperparams", "map<string,variant>")), F.array(*prop))
+    models = dataset_details(io).where(dataset_kind("name") == "model")
+    return (models.select(F.col("name").alias("model"), "version", "run_id", F.explode(rows).alias("r"))
+            .select("model", "version", "run_id", "r.*").where(F.col("value").isNotNull()))
+
+
+def run_kinds(ev: DataFrame, io: DataFrame, all_runs: DataFrame) -> DataFrame:
+    """Generation (outputs only) / transformation (both) / sink / other, and the rows that the runs' write facets count."""
     sides = io.groupBy("run_id").agg(
-        F.count_if(F.col("side") == "input").alias("n_in"), F.count_if(F.col("side") == "output").alias("n_out"),
-        F.sum(F.when(F.col("side") == "output", F.col("facets").getItem("rows").try_cast("bigint"))).alias("rows"))
-    r = all_runs.select("run_id").join(sides, "run_id", "left")
+        F.count_if(F.col("side") == "input").alias("n_in"), F.count_if(F.col("side") == "output").alias("n_out"))
+    written = table_writes(ev).groupBy("run_id").agg(F.sum("rows").alias("rows"))
+    r = all_runs.select("run_id").join(sides, "run_id", "left").join(written, "run_id", "left")
     kind = (F.when((F.coalesce("n_in", F.lit(0)) == 0) & (F.col("n_out") > 0), "generation")
             .when((F.col("n_in") > 0) & (F.col("n_out") > 0), "transformation")
             .when(F.col("n_in") > 0, "sink").otherwise("no_io"))
@@ -211,13 +305,90 @@ def run_kinds(io: DataFrame, all_runs: DataFrame) -> DataFrame:
 
 
 def facets_by_phase(ev: DataFrame, run_ids: DataFrame) -> DataFrame:
-    """L10/L11 pattern: START facets and terminal facets side by side per run."""
+    """L10-L12 pattern: START facets and terminal facets side by side per run."""
     good = ev.where(F.col("error").isNull()).join(run_ids, "run_id", "left_semi")
     o = F.struct("event_time", phase().alias("phase"), "event_type", F.to_json("job_facets"))
     return good.groupBy("run_id").agg(
+        F.max("job_name").alias("job_name"),
         F.max_by("job_facets", F.when(F.col("event_type") == "START", o)).alias("start_facets"),
         F.max_by("job_facets", F.when(F.col("event_type").isin(*TERMINAL), o)).alias("end_facets"),
-        F.max_by("event_type", o).alias("status"))
+        F.max_by("event_type", o).alias("status"),
+        F.max(F.when(F.col("event_type").isin(*TERMINAL), F.col("event_time"))).alias("ended_at"))
+
+
+def table_writes(ev: DataFrame) -> DataFrame:
+    """(run_id, table_identifier, mode, rows) of the latest write facet of each run."""
+    w = latest_job_facets(ev).where(F.col("facet") == WRITE_FACET)
+    return w.select("run_id", at("value", "table_identifier").alias("table_identifier"), at("value", "mode").alias("mode"),
+                    at("value", "count", "bigint").alias("rows"))
+
+
+def table_reads(ev: DataFrame) -> DataFrame:
+    """(run_id, table_identifier, filter, selected, snapshot_id); ``selected`` is NULL for a read of all fields."""
+    r = latest_job_facets(ev).where(F.col("facet") == READ_FACET)
+    return r.select("run_id", at("value", "table_identifier").alias("table_identifier"), at("value", "filter").alias("filter"),
+                    at("value", "selected_fields", "array<string>").alias("selected"), at("value", "snapshot_id", "bigint").alias("snapshot_id"))
+
+
+_WORDS = ("and", "or", "not", "in", "is", "null", "like", "ilike", "rlike", "between", "true", "false", "case", "when", "then", "else", "end", "cast", "as", "escape", "date", "timestamp")
+
+
+def filter_columns(filter_: Column) -> Column:
+    """Columns that a filter expression refers to: its names but for literals, keywords, functions and types of casts; back-quoted names whole."""
+    bare = F.regexp_replace(filter_, r"'(?:[^']|'')*'", " ")
+    bare = F.regexp_replace(bare, r"(?i)\bas\s+\w+", " ")
+    names = F.regexp_extract_all(bare, F.lit(r"`[^`]+`|(?<![\w.`])[A-Za-z_][\w.]*(?![\w.]*\s*\()"), F.lit(0))
+    kept = F.filter(names, lambda n: ~F.lower(n).isin(*_WORDS))
+    return F.array_distinct(F.transform(kept, lambda n: F.regexp_replace(n, "`", "")))
+
+
+def column_usage(ev: DataFrame) -> DataFrame:
+    """Per table and column: reads that select it and reads that filter on it."""
+    r = table_reads(ev)
+    empty = F.array().cast("array<string>")
+    used = r.select("table_identifier", F.explode(F.concat(
+        F.transform(F.coalesce(F.array_distinct("selected"), empty), lambda c: F.struct(c.alias("column_name"), F.lit(1).alias("s"), F.lit(0).alias("f"))),
+        F.transform(F.coalesce(filter_columns(F.col("filter")), empty), lambda c: F.struct(c.alias("column_name"), F.lit(0).alias("s"), F.lit(1).alias("f"))))).alias("u"))
+    return used.groupBy("table_identifier", F.col("u.column_name").alias("column_name")).agg(
+        F.sum(F.col("u.s")).cast("bigint").alias("selected"), F.sum(F.col("u.f")).cast("bigint").alias("filtered"))
+
+
+def deployment_status(ev: DataFrame) -> DataFrame:
+    """Per endpoint: what its latest ended deployment run reports (the run's own status if it reports none), its replicas, and counts of runs."""
+    ph = facets_by_phase(ev, ev.select("run_id").distinct()).select(
+        "run_id", "status", "ended_at", at("start_facets", "deployment.config.endpoint").alias("endpoint"),
+        at("start_facets", "deployment.config.replicas", "int").alias("replicas"), at("end_facets", "deploymentStatus.status").alias("deployed"))
+    o = F.struct("ended_at", "run_id")
+    return ph.where(F.col("endpoint").isNotNull() & F.col("ended_at").isNotNull()).groupBy("endpoint").agg(
+        F.max_by(F.coalesce("deployed", "status"), o).alias("latest_status"), F.max_by("replicas", o).alias("replicas"),
+        F.count(F.lit(1)).alias("runs"), F.count_if(F.col("status") == "FAIL").alias("failed_runs"))
+
+
+def inference_volume(ev: DataFrame, io: DataFrame) -> DataFrame:
+    """Per model version that inference runs read: runs, failed runs, records and the worst latency they report."""
+    used = io.where((F.col("side") == "input") & (dataset_kind("name") == "model")).select(
+        "run_id", F.col("name").alias("model"), bare_or("facets", "version", "version").alias("version"))
+    ph = facets_by_phase(ev, used.select("run_id").distinct()).where(at("start_facets", "inference", "variant").isNotNull())
+    m = "inferenceMetrics.metrics"
+    return ph.join(used, "run_id").groupBy("model", "version").agg(
+        F.count(F.lit(1)).alias("runs"), F.count_if(F.col("status") == "FAIL").alias("failed_runs"),
+        F.coalesce(F.sum(at("end_facets", f"{m}.records", "bigint")), F.lit(0)).alias("records"),
+        F.max(at("end_facets", f"{m}.latency_ms", "bigint")).alias("worst_latency_ms"))
+
+
+def table_usage(ev: DataFrame) -> DataFrame:
+    """Reads, writes and rows written per table, from the runs' read and write facets."""
+    one, none = F.lit(1), F.lit(0)
+    used = (table_reads(ev).select("table_identifier", one.alias("r"), none.alias("w"), none.cast("bigint").alias("n"))
+            .unionByName(table_writes(ev).select("table_identifier", none.alias("r"), one.alias("w"), F.col("rows").alias("n"))))
+    return used.groupBy("table_identifier").agg(F.sum("r").alias("reads"), F.sum("w").alias("writes"), F.sum("n").alias("rows_written"))
+
+
+def provenance(io: DataFrame) -> DataFrame:
+    """Which version of which dataset trained which model version, per run."""
+    models = dataset_details(io).where(dataset_kind("name") == "model").select(F.col("name").alias("model"), F.col("version").alias("model_version"), "run_id")
+    inputs = io.where(F.col("side") == "input").select("run_id", F.col("name").alias("trained_on"), bare_or("facets", "version", "version").alias("data_version"))
+    return models.join(inputs, "run_id").select("model", "model_version", "trained_on", "data_version", "run_id")
 
 
 # --------------------------------------------------------------- graph ---
@@ -294,7 +465,7 @@ class LineageLog:
               "eventTime": _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None).isoformat() + "Z",
               "run": {"runId": run["run_id"]},
               "job": {"namespace": self.namespace, "name": run["job"],
-                      "facets": {k: str(v) for k, v in (facets or {}).items()}},
+                      "facets": dict(facets or {})},
               "inputs": [ds(x) for x in inputs], "outputs": [ds(x) for x in outputs], "producer": self.producer}
         (self.spark.createDataFrame([(json.dumps(ev),)], "value string").coalesce(1)
          .write.mode("append").text(self.path))
@@ -309,4 +480,4 @@ class LineageLog:
 
     def fail(self, run: dict, exc: BaseException) -> None:
         msg = "".join(traceback.format_exception(type(exc), exc, exc.__traceback__))
-        self._emit("FAIL", run, run.get("inputs", ()), (), {"errorMessage": str(exc), "stackTrace": msg})
+        self._emit("FAIL", run, run.get("inputs", ()), (), {"errorMessage": {"message": str(exc), "programmingLanguage": "PYTHON", "stack": msg}})

@@ -134,3 +134,18 @@ def test_sequence_within_on_array_keys(spark):
     want = {(r.m, tuple(r.v), r.rn) for r in df.select("m", "v", (F.row_number().over(w) - 1).alias("rn")).collect()}
     got = {(r.m, tuple(r.v), r.seq) for r in sequence_within(df, ["m"], "v", buckets=8).collect()}
     assert got == want
+
+
+def test_sequence_within_over_two_thousand_parts(spark):
+    from vela.operators.sequence import next_within, sequence_within
+
+    n = 200_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 > 0, F.lit("hot")).alias("m"),  # a third has no key
+                               F.array((F.col("id") % 5).cast("int"), F.floor(F.col("id") / 5).cast("int")).alias("v"), "id")
+    seq = sequence_within(df, ["m"], "v", ["id"], buckets=2000)
+    hot = seq.where("m = 'hot'")
+    assert seq.count() == n and hot.agg(F.max("seq"), F.count_distinct("seq")).first() == (hot.count() - 1, hot.count())
+    pairs = hot.alias("a").join(hot.alias("b"), F.col("a.seq") + 1 == F.col("b.seq"))
+    assert pairs.where(F.col("a.v") > F.col("b.v")).count() == 0
+    nxt = next_within(df, ["m"], "v", ["id"], ["id"], buckets=200)
+    assert nxt.where("next_id IS NULL").count() == 2

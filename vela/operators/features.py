@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .sequence import sequence_within
+
 from ..functions.random import uniform
 from ..session import ensure_checkpoint_dir
 
@@ -89,14 +91,34 @@ def _cat_str(c: str, dtype) -> Column:
 
 
 def vocabulary_table(df: DataFrame, columns: list[str]) -> DataFrame:
-    """A7 as a table: (column_name, sorted distinct values), one aggregate job.
+    """A7 as a table of any size: (column_name, category, index, times), categories numbered in sorted order within their column.
 
-    Only for categorical columns of bounded cardinality (see ``fit_vocabulary``).
-    """
+    Distinct values are counted by partial aggregates and numbered over range partitions with offsets (``sequence_within``);
+    nothing is collected.  NULL is no category."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    one = df.agg(*[F.array_sort(F.collect_set(_cat_str(c, types[c]))).alias(c) for c in columns])
-    return one.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("categories")) for c in columns])).alias("v")).select("v.*")
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), _cat_str(c, types[c]).alias("category")) for c in columns])
+    counts = (df.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("category").isNotNull())
+              .groupBy("column_name", "category").agg(F.count(F.lit(1)).alias("times")))
+    return sequence_within(counts, ["column_name"], "category", out="index").select("column_name", "category", "index", "times")
+
+
+def encode(df: DataFrame, vocabulary: DataFrame, columns: list[str], drop_first: bool = False) -> DataFrame:
+    """T3 / T5 for vocabularies of any size: df with ``<column>_code`` per column, ``positions`` and ``size``.
+
+    A code is the category's index in its column (NULL if unknown or NULL).  ``positions`` are the places of the ones in the one-hot vector
+    of all columns in turn, ``size`` the vector's length: a sparse vector without a column per category.  The table is joined column by column;
+    the planner broadcasts small ones and merges large ones, skewed categories are split by the adaptive join."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    sizes = {r.column_name: r.n for r in vocabulary.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per column
+    out, offset, positions = df, 0, []
+    for c in columns:
+        code = f"{c}_code"
+        own = vocabulary.where(F.col("column_name") == c).select(F.col("category").alias(f"_c_{c}"), F.col("index").alias(code))
+        out = out.join(own, _cat_str(c, types[c]) == F.col(f"_c_{c}"), "left").drop(f"_c_{c}")
+        first = 1 if drop_first else 0
+        positions.append(F.when(F.col(code) >= first, F.col(code) + F.lit(offset - first)))
+        offset += max(0, sizes.get(c, 0) - first)
+    return out.withColumn("positions", F.array_compact(F.array(*positions))).withColumn("size", F.lit(offset).cast("bigint"))
 
 
 def scaler_table(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -108,16 +130,16 @@ def scaler_table(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def fit_vocabulary(df: DataFrame, columns: list[str], max_categories: int = 10_000) -> dict[str, list[str]]:
-    """Sorted distinct values per categorical column, one aggregate.
+    """Sorted distinct values per categorical column, for ``one_hot``, whose result has a column per category.
 
-    The cardinality is checked first so an id-like column cannot pull an
-    unbounded set into one row.
+    A plan of more than ``max_categories`` columns is of no use: such columns are encoded by ``vocabulary_table`` and
+    ``encode``, which have no such bound.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     card = df.agg(*[F.approx_count_distinct(_cat_str(c, types[c])).alias(c) for c in columns]).first()
     too_big = [c for c in columns if card[c] > max_categories]
     if too_big:
-        raise ValueError(f"too many categories for one-hot encoding: {too_big}")
+        raise ValueError(f"too many categories for one column each, use vocabulary_table and encode: {too_big}")
     row = df.agg(*[F.array_sort(F.collect_set(_cat_str(c, types[c]))).alias(c) for c in columns]).first()
     return {c: list(row[c]) for c in columns}
 
@@ -150,13 +172,13 @@ def split_hash(df: DataFrame, key: str, train_fraction: float = 0.8, seed: int =
     return df.where(u < F.lit(train_fraction)), df.where(u >= F.lit(train_fraction))
 
 
-def kth_smallest(df: DataFrame, key: str, k: int, buckets: int = 64, exact_rows: int | None = None):
+def kth_smallest(df: DataFrame, key: str, k: int, buckets: int = 64):
     """Exact k-th smallest (1-based) value of ``key``, of any orderable type, distributed.
 
     Rows are counted per distinct key.  Each round deals the keys that are left into
     range partitions, counts rows per partition and goes on with the keys of the
     one that holds position k, until that is a single key.  Only one row per
-    partition reaches the driver.  ``exact_rows`` has no effect: all sizes go this way.
+    partition reaches the driver.  All sizes go this way.
     """
     ensure_checkpoint_dir(df.sparkSession)
     keys = (df.select(F.col(key).alias("k")).where(F.col("k").isNotNull())

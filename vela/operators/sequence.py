@@ -2,19 +2,17 @@
 
 ``row_number() over (partition by key order by t)`` sends every row of a key
 to one task; a key holding a third of all rows then becomes one huge sorted
-task.  Here each key is further split by an order bucket (approximate
-quantiles of ``t``, so buckets are balanced for any time distribution):
-
-1. rows get ``bucket(t)``, a monotone function of the order column;
-2. a window partitioned by (key, bucket) numbers rows locally — a hot key is
-   spread over as many tasks as it has buckets;
-3. a per-(key, bucket) count table (at most keys x buckets rows, usually far
-   fewer) gives each bucket's offset with a tiny window per key;
+task.  Here rows are dealt by ranges of (key, order, tiebreak) instead, for any orderable types:
+
+1. a range partitioning cuts the whole table into equal parts, whatever the keys; the part's number grows with the order
+   within each key, so a hot key spans as many parts as it fills (the parts are checkpointed, so they stay as they are);
+2. a window partitioned by (key, part) numbers rows locally;
+3. a per-(key, part) count table (at most keys + parts rows) gives each part's offset with a tiny window per key;
 4. offset + local number = the exact global position within the key.
 
-``next_within`` is the same idea for ``lead``: inside a bucket it is the
-local lead; the last row of a bucket takes the first row of the key's next
-non-empty bucket (from a per-bucket table of first rows).
+``next_within`` is the same idea for ``lead``: inside a part it is the
+local lead; the last row of a part takes the first row of the key's next
+part (from a per-part table of first rows).  Equal order values are split by the tiebreak like any others.
 """
 
 from __future__ import annotations
@@ -40,45 +38,19 @@ def _numeric(df: DataFrame, order: str) -> Column:
     return F.col(order).cast("double")
 
 
-_NUMERIC_ORDER = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
-                  T.DecimalType, T.TimestampType, T.TimestampNTZType, T.DateType)
-
-
-def _sampled_cuts(df: DataFrame, order: str, buckets: int, per_bucket: int = 32) -> list:
-    """Cut points of any orderable column (arrays, strings) from a bounded sample.
-
-    Like a range partitioner: about ``buckets * per_bucket`` rows are sampled,
-    sorted on the driver, and every ``per_bucket``-th value becomes a cut.
-    """
-    n = df.count()
-    want = buckets * per_bucket
-    frac = min(1.0, want / max(n, 1))
-    vals = [r[0] for r in df.select(order).where(F.col(order).isNotNull()).sample(fraction=frac, seed=17)
-            .orderBy(order).limit(2 * want).collect()]
-    step = max(1, len(vals) // buckets)
-    cuts = []
-    for v in vals[step::step]:
-        if not cuts or v != cuts[-1]:
-            cuts.append(v)
-    return cuts[:buckets - 1]
+def range_parts(df: DataFrame, key: Sequence[str], order: str, tiebreak: Sequence[str] = (), parts: int | None = None, name: str = "_bkt") -> DataFrame:
+    """df dealt by ranges of (key, order, tiebreak), with the number of each row's range; NULLs first, nothing goes through the driver but the sampled bounds of a range partitioner."""
+    parts = parts or max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    return df.repartitionByRange(parts, *key, order, *tiebreak).withColumn(name, F.spark_partition_id()).checkpoint()
 
 
 def with_order_bucket(df: DataFrame, order: str, buckets: int | None = None, name: str = "_bkt") -> DataFrame:
-    """Add a monotone integer bucket of ``order`` (NULLs first, bucket -1).
-
-    Numeric and time columns use approximate quantiles (one pass) and a binary
-    search; other orderable columns (arrays, strings) use sampled cut points.
-    """
+    """Add a monotone integer bucket of a numeric or time column (NULLs first, bucket -1): approximate quantiles in one pass, then a binary search."""
     spark = df.sparkSession
     if buckets is None:
         buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     if buckets <= 1:
         return df.withColumn(name, F.lit(0))
-    if not isinstance(df.schema[order].dataType, _NUMERIC_ORDER):
-        b = F.lit(0)
-        for c in _sampled_cuts(df, order, buckets):
-            b = b + F.when(F.col(order) > F.lit(c), 1).otherwise(0)
-        return df.withColumn(name, F.when(F.col(order).isNull(), F.lit(-1)).otherwise(b))
     num = df.withColumn("_ord_num", _numeric(df, order))
     cuts = sorted(set(num.approxQuantile("_ord_num", [i / buckets for i in range(1, buckets)],
                                          1.0 / (4 * buckets))))
@@ -91,27 +63,36 @@ def with_order_bucket(df: DataFrame, order: str, buckets: int | None = None, nam
     return bz.transform(num).withColumn(name, bucket).drop("_ord_num", f"{name}_d")
 
 
+def _joined(rows: DataFrame, parts: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+    """rows with the columns of their (key, part); a NULL key is a key like any other."""
+    named = parts.select(*[F.col(c).alias(f"_k_{c}") for c in (*key, "_bkt")], *[c for c in parts.columns if c not in (*key, "_bkt")])
+    on = rows["_bkt"] == named["_k__bkt"]
+    for c in key:
+        on = on & rows[c].eqNullSafe(named[f"_k_{c}"])
+    return rows.join(named, on, how)
+
+
 def sequence_within(df: DataFrame, key: Sequence[str], order: str, tiebreak: Sequence[str] = (),
                     out: str = "seq", buckets: int | None = None) -> DataFrame:
     """0-based position of each row within its key, ordered by (order, *tiebreak)."""
     key = list(key)
-    b = with_order_bucket(df, order, buckets)
+    b = range_parts(df, key, order, tiebreak, buckets)
     w = Window.partitionBy(*key, "_bkt").orderBy(order, *tiebreak)
     local = b.withColumn("_local", F.row_number().over(w) - 1)
     counts = b.groupBy(*key, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.select(*key, "_bkt", F.coalesce(F.sum("_n").over(
         Window.partitionBy(*key).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("_off"))
-    return (local.join(offs, [*key, "_bkt"])
+    return (_joined(local, offs, key, "inner")
             .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
-            .drop("_bkt", "_local", "_off"))
+            .select(*df.columns, out))
 
 
 def next_within(df: DataFrame, key: Sequence[str], order: str, tiebreak: Sequence[str],
                 cols: Sequence[str], prefix: str = "next_", buckets: int | None = None) -> DataFrame:
     """``lead(c) over (partition by key order by order, *tiebreak)`` for each c in cols."""
     key, cols = list(key), list(cols)
-    b = with_order_bucket(df, order, buckets)
+    b = range_parts(df, key, order, tiebreak, buckets)
     w = Window.partitionBy(*key, "_bkt").orderBy(order, *tiebreak)
     local = b.select("*", F.lead(F.lit(1)).over(w).alias("_has_next"),
                      *[F.lead(c).over(w).alias(f"_ln_{c}") for c in cols],
@@ -119,7 +100,7 @@ def next_within(df: DataFrame, key: Sequence[str], order: str, tiebreak: Sequenc
     firsts = local.where("_first").select(*key, "_bkt", *[F.col(c).alias(f"_f_{c}") for c in cols])
     wb = Window.partitionBy(*key).orderBy("_bkt")
     nb = firsts.select(*key, "_bkt", *[F.lead(f"_f_{c}").over(wb).alias(f"_nb_{c}") for c in cols])
-    j = local.join(nb, [*key, "_bkt"], "left")
+    j = _joined(local, nb, key, "left")
     outs = [F.when(F.col("_has_next").isNotNull(), F.col(f"_ln_{c}")).otherwise(F.col(f"_nb_{c}"))
             .alias(f"{prefix}{c}") for c in cols]
     keep = [c for c in df.columns]

@@ -432,11 +432,32 @@ def scaler_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("category_vocabulary", " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, string_agg(DISTINCT {c}, '|' ORDER BY {c}) AS categories FROM ({_TRAIN3})"
+    f"SELECT '{c}' AS column_name, {c} AS category, row_number() OVER (ORDER BY {c}) - 1 AS index, count(*) AS times FROM ({_TRAIN3}) GROUP BY {c}"
     for c in _CAT3))
 def category_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
-    """Sorted categories per categorical feature on the training rows."""
+    """Numbered categories per categorical feature on the training rows."""
     df = G.customer_dataset(TB.customer_ids(spark, sf), "3.0.0")
     train, _ = FE.split_hash(df, "CustomerId", 0.8, 42)
-    v = FE.vocabulary_table(train, _CAT3)
-    return v.select("column_name", F.array_join("categories", "|").alias("categories"))
+    return FE.vocabulary_table(train, _CAT3)
+
+
+_CODED = ("o_custkey", "o_orderpriority", "o_orderdate")
+
+
+def _encoding_sql() -> str:
+    vocab = [f"v{k} AS (SELECT CAST({c} AS VARCHAR) AS category, row_number() OVER (ORDER BY CAST({c} AS VARCHAR)) - 1 AS code FROM orders WHERE o_orderkey % 5 <> 0 AND {c} IS NOT NULL GROUP BY 1)"
+             for k, c in enumerate(_CODED)]
+    sizes = [f"(SELECT count(*) FROM v{k})" for k in range(len(_CODED))]
+    joins = " ".join(f"LEFT JOIN v{k} ON CAST({c} AS VARCHAR) = v{k}.category" for k, c in enumerate(_CODED))
+    codes = ", ".join(f"v{k}.code AS {c}_code" for k, c in enumerate(_CODED))
+    positions = ", ".join(f"v{k}.code + {' + '.join(['0', *sizes[:k]])}" for k in range(len(_CODED)))
+    return (f"WITH {', '.join(vocab)} SELECT o_orderkey, {codes}, array_to_string([{positions}], ',') AS positions,"
+            f" ({' + '.join(sizes)})::BIGINT AS size FROM orders {joins}")
+
+
+@register("category_encoding", _encoding_sql())
+def category_encoding(spark: SparkSession, sf: str) -> DataFrame:
+    """Sparse one-hot positions of columns with many categories, learned from four fifths of the orders."""
+    orders = TB.table(spark, sf, "orders").select("o_orderkey", *_CODED)
+    coded = FE.encode(orders, FE.vocabulary_table(orders.where("o_orderkey % 5 <> 0"), list(_CODED)), list(_CODED))
+    return coded.select("o_orderkey", *[f"{c}_code" for c in _CODED], F.concat_ws(",", F.col("positions").cast("array<string>")).alias("positions"), "size")

@@ -54,8 +54,7 @@ def snapshot_rates(spark: SparkSession, sf: str) -> DataFrame:
     for v, seed, noise in (("1.0.0", 42, 0.5), ("2.0.0", 43, 0.8)):
         df = _cust(spark, sf, v, seed, noise)
         cat.write(df, CHURN, properties=_props("customer", v, seed, noise, df))
-    frames = {sid: cat.read(CHURN, snapshot_id=sid) for sid in cat.snapshot_ids(CHURN)}
-    return round_doubles(S.snapshot_rates(frames, "Churned", ["ContractType"]))
+    return round_doubles(S.snapshot_rates(cat.read_all(CHURN), "Churned", ["ContractType"]))
 
 
 # ------------------------------------------------------------- S1/S4/S8 ---
@@ -180,8 +179,7 @@ def evolved_union(spark: SparkSession, sf: str) -> DataFrame:
     cat = _catalog(spark)
     for v in ("1.0.0", "2.0.0", "3.0.0"):
         cat.write(_cust(spark, sf, v), CHURN)
-    frames = {sid: cat.read(CHURN, snapshot_id=sid) for sid in cat.snapshot_ids(CHURN)}
-    return round_doubles(S.tagged_union(frames))
+    return round_doubles(cat.read_all(CHURN))
 
 
 # ------------------------------------------------------------------ S17 ---
@@ -240,31 +238,79 @@ def snapshot_sample(spark: SparkSession, sf: str) -> DataFrame:
     cat = _catalog(spark)
     for v, seed, noise in (("1.0.0", 42, 0.5), ("2.0.0", 43, 0.8)):
         cat.write(_cust(spark, sf, v, seed, noise), CHURN)
-    frames = {sid: cat.read(CHURN, snapshot_id=sid).select(*_SAMPLE_COLS) for sid in cat.snapshot_ids(CHURN)}
-    return S.sample_rows(S.tagged_union(frames), ["snapshot_id"], ["CustomerId"], 3)
+    return S.sample_rows(cat.read_all(CHURN).select(*_SAMPLE_COLS, "snapshot_id"), ["snapshot_id"], ["CustomerId"], 3)
 
 
 # ------------------------------------------------------------- L7/S12 ---
-def _profile_sql() -> str:
-    cols = G.CREDIT_COLUMNS["3"]
-    numeric = {"Amount", "HourOfDay", "DayOfWeek", "Month", "DistanceFromHome", "DistanceFromLastTransaction",
-               "RatioToMedianPurchasePrice", "FraudSignals"}
+def _profile_sql(source: str, columns: list[str], numeric: set[str], table: str = "demo.credit_fraud", sid: int = 1) -> str:
     parts = []
-    for c in cols:
-        lo = f"round(cast(min({c}) AS double), 6)" if c in numeric else "NULL::double"
-        hi = f"round(cast(max({c}) AS double), 6)" if c in numeric else "NULL::double"
-        parts.append(f"SELECT 'demo.credit_fraud' AS table_identifier, 1::bigint AS snapshot_id, count(*) AS row_count,"
-                     f" '{c}' AS column_name, count(*) - count({c}) AS null_count, {lo} AS min_value,"
-                     f" {hi} AS max_value FROM ({O.credit_sql(O.ORDER_IDS, '3.0.0')})")
+    for c in columns:
+        low, high = (f"round(cast({g}({c}) AS double), 6)" if c in numeric else "NULL::double" for g in ("min", "max"))
+        # numbers are compared as numbers only: engines write doubles differently
+        low_text, high_text = ("NULL::varchar" if c in numeric else f"cast({g}({c}) AS varchar)" for g in ("min", "max"))
+        parts.append(f"SELECT '{table}' AS table_identifier, {sid}::bigint AS snapshot_id, count(*) AS row_count,"
+                     f" '{c}' AS column_name, count(*) - count({c}) AS null_count, {low} AS min_value, {high} AS max_value,"
+                     f" {low_text} AS min_text, {high_text} AS max_text FROM ({source})")
     return " UNION ALL ".join(parts)
 
 
-@register("dataset_profile", _profile_sql())
+def _profile(cat: S.SnapshotCatalog, table: str) -> DataFrame:
+    """Profile of the current snapshot, the text of numbers left out."""
+    log = cat.committed().where(F.col("table_identifier") == table)
+    p = S.profile(log.orderBy(F.col("snapshot_id").desc()).limit(1)).drop("distinct_values")
+    return round_doubles(p.withColumns({c: F.when(F.col("min_value").isNull(), F.col(c)) for c in ("min_text", "max_text")}))
+
+
+_CREDIT_NUMBERS = {"Amount", "HourOfDay", "DayOfWeek", "Month", "DistanceFromHome", "DistanceFromLastTransaction",
+                   "RatioToMedianPurchasePrice", "FraudSignals"}
+
+
+@register("dataset_profile", _profile_sql(O.credit_sql(O.ORDER_IDS, "3.0.0"), G.CREDIT_COLUMNS["3"], _CREDIT_NUMBERS))
 def dataset_profile(spark: SparkSession, sf: str) -> DataFrame:
-    """Row count, null count and numeric range of every column, from the commit's footer statistics."""
+    """Row count, null count and range of every column, from the commit's statistics."""
     cat = _catalog(spark)
     cat.write(G.credit_dataset(TB.order_ids(spark, sf), "3.0.0"), FRAUD)
-    return round_doubles(S.profile(cat.committed().where(F.col("table_identifier") == FRAUD)))
+    return _profile(cat, FRAUD)
+
+
+# ------------------------------------------------- S2, evolved and mixed ---
+_EVENT_COLS = ["event_id", "ts", "event_type", "value"]
+_EVOLVED_APPEND = ("SELECT event_id, ts, event_type, value, NULL::integer AS late, NULL::varchar AS note, NULL::double AS empty FROM events WHERE event_id % 3 > 0"
+                   " UNION ALL SELECT event_id, ts, NULL, value, cast(event_id % 7 AS integer), concat('n', event_id % 11), NULL FROM events WHERE event_id % 3 = 0")
+
+
+@register("snapshot_append_evolved", _profile_sql(_EVOLVED_APPEND, [*_EVENT_COLS, "late", "note", "empty"], {"event_id", "value", "late", "empty"}, "demo.events", 2)
+          .replace("round(cast(min(empty) AS double), 6)", "NULL::double").replace("round(cast(max(empty) AS double), 6)", "NULL::double"))
+def snapshot_append_evolved(spark: SparkSession, sf: str) -> DataFrame:
+    """Profile after an append that lacks a column, adds two and has one without any value."""
+    cat = _catalog(spark)
+    ev = TB.table(spark, sf, "events").select(*_EVENT_COLS)
+    cat.write(ev.where("event_id % 3 > 0"), "demo.events")
+    more = ev.where("event_id % 3 = 0").drop("event_type").selectExpr(
+        "*", "cast(event_id % 7 AS int) AS late", "concat('n', event_id % 11) AS note", "cast(NULL AS double) AS empty")
+    cat.write(more, "demo.events", mode="append")
+    return _profile(cat, "demo.events")
+
+
+@register("snapshot_append_partitioned", "SELECT event_id, ts, event_type, value FROM events WHERE event_type = 'click' AND event_id % 2 = 0")
+def snapshot_append_partitioned(spark: SparkSession, sf: str) -> DataFrame:
+    """A filter over a table of three folders: unpartitioned, by event type, by event type and day."""
+    cat = _catalog(spark)
+    ev = TB.table(spark, sf, "events").select(*_EVENT_COLS)
+    cat.write(ev.where("event_id % 3 = 0"), "demo.events")
+    cat.write(ev.where("event_id % 3 = 1"), "demo.events", mode="append", partition_by=["event_type"])
+    cat.write(ev.where("event_id % 3 = 2").withColumn("day", F.dayofmonth("ts")), "demo.events", mode="append", partition_by=["event_type", "day"])
+    return cat.read("demo.events", columns=_EVENT_COLS, where="event_type = 'click' AND event_id % 2 = 0")
+
+
+@register("snapshot_as_of", "SELECT count(*) AS rows, 1::bigint AS first_id FROM customer")
+def snapshot_as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """The table as of the first snapshot's commit, while a second one exists."""
+    cat = _catalog(spark)
+    cat.write(_cust(spark, sf), CHURN)
+    cat.write(_cust(spark, sf, seed=43), CHURN, mode="append")
+    first = cat.committed().where("snapshot_id = 1").first()["committed_at"]
+    return cat.read(CHURN, as_of=first).agg(F.count(F.lit(1)).alias("rows")).withColumn("first_id", F.lit(1).cast("bigint"))
 
 
 # ------------------------------------------------------------------ S13 ---

@@ -12,25 +12,31 @@ plus the new one, so no data is copied.  A failed write leaves an ``error``
 row that every reader skips, and the error is re-raised.  One writer per
 table; ids are ``max + 1`` from the log.
 
-Statistics (row count, per-column null counts) are answered from the new
-files' Parquet footers (aggregate pushdown: COUNT(*) and COUNT(col) read
-row-group statistics, not data pages), so they cost a metadata scan, not a
-second pass over the data; file count and bytes come from a file-system
-listing of the new folder.  (An ``Observation`` would avoid even that, but
-it leaves the session unable to serialise Spark ML models afterwards.)
+Statistics (rows, per-column nulls and ranges, distinct-value sketches where asked for) form a monoid: those of an append are merged with the
+previous snapshot's over the union of the columns, a column that one side lacks counting as all NULL there.  Counts and the ranges of
+numbers, booleans and dates are answered from the new files' Parquet footers (aggregate pushdown, in a session of its own, so the caller's
+settings stay as they are); where footers cannot answer (strings, timestamps, decimals, files without any value) one scan of just
+those columns does.  File count and bytes come from a listing of the new folder.
+
+Every folder has its own partition spec, so a table may change its partitioning from one append to the next.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
+import math
 import traceback
+from decimal import Decimal
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..operators.lineage import WRITE_FACET
+
 LOG_SCHEMA = T.StructType([
     T.StructField("table_identifier", T.StringType(), False),
     T.StructField("snapshot_id", T.LongType(), False),
@@ -48,10 +54,65 @@ LOG_SCHEMA = T.StructType([
     T.StructField("null_counts", T.MapType(T.StringType(), T.LongType()), True),
     T.StructField("properties", T.MapType(T.StringType(), T.StringType()), True),
     T.StructField("error", T.StringType(), True),
-    T.StructField("min_values", T.MapType(T.StringType(), T.DoubleType()), True),
-    T.StructField("max_values", T.MapType(T.StringType(), T.DoubleType()), True),
+    T.StructField("min_values", T.MapType(T.StringType(), T.StringType()), True),
+    T.StructField("max_values", T.MapType(T.StringType(), T.StringType()), True),
+    T.StructField("sketches", T.MapType(T.StringType(), T.BinaryType()), True),
+    T.StructField("dir_partitions", T.ArrayType(T.ArrayType(T.StringType())), True),
 ])
-_MINMAX_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+_FOOTER_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.BooleanType, T.DateType)
+_SCAN_TYPES = (T.StringType, T.DecimalType, T.TimestampType, T.TimestampNTZType)
+#: Mappings of file folders to snapshots are broadcast up to so many rows.
+FOLDER_ROWS = 1_000_000
+
+
+class Stats(NamedTuple):
+    """Rows of a set of files and, per column, NULLs, range (as text) and sketch of the distinct values."""
+
+    rows: int
+    nulls: dict[str, int]
+    low: dict[str, str | None]
+    high: dict[str, str | None]
+    sketches: dict[str, bytes]
+
+
+def _order(type_: T.DataType):
+    """Key that orders the text of a type's values as the type does."""
+    if isinstance(type_, (T.FloatType, T.DoubleType)):
+        return lambda text: (math.isnan(float(text)), float(text) if not math.isnan(float(text)) else 0.0)
+    if isinstance(type_, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)):
+        return Decimal
+    return lambda text: text.encode()  # ISO dates and times, true after false
+
+
+def merge_stats(spark: SparkSession, a: Stats, b: Stats, schema: T.StructType) -> Stats:
+    """Statistics of both sets of files together; a column that one set lacks is all NULL there."""
+    types = {f.name: f.dataType for f in schema.fields}
+    columns = [c for c in types if c in a.nulls or c in b.nulls]
+
+    def pick(best, x: dict, y: dict) -> dict:
+        both = {c: [v for v in (x.get(c), y.get(c)) if v is not None] for c in columns}
+        return {c: best(v, key=_order(types[c])) if v else None for c, v in both.items()}
+
+    sketches = {**a.sketches, **b.sketches}
+    shared = sorted(set(a.sketches) & set(b.sketches))
+    if shared:
+        pairs = spark.createDataFrame([(c, a.sketches[c], b.sketches[c]) for c in shared], "c string, x binary, y binary")
+        sketches |= {r.c: bytes(r.s) for r in pairs.select("c", F.hll_union("x", "y").alias("s")).collect()}
+    return Stats(a.rows + b.rows, {c: a.nulls.get(c, a.rows) + b.nulls.get(c, b.rows) for c in columns},
+                 pick(min, a.low, b.low), pick(max, a.high, b.high), sketches)
+
+
+def stats_of(row) -> Stats:
+    """Statistics of a log row."""
+    return Stats(row["row_count"] or 0, dict(row["null_counts"] or {}), dict(row["min_values"] or {}), dict(row["max_values"] or {}),
+                 {c: bytes(v) for c, v in (row["sketches"] or {}).items()})
+
+
+def dir_specs(row) -> list[tuple[str, tuple[str, ...]]]:
+    """(folder, partition columns) of a log row's data."""
+    dirs = list(row["data_dirs"] or [])
+    specs = row["dir_partitions"] or [list(row["partition_cols"] or [])] * len(dirs)
+    return [(d, tuple(p)) for d, p in zip(dirs, specs)]
 
 
 class SnapshotNotFoundError(ValueError):
@@ -114,41 +175,38 @@ class SnapshotCatalog:
         fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
         return bool(fs.exists(p))
 
-    def _footer_stats(self, path: str, schema: T.StructType, partition_cols: list[str]):
-        """Rows, per-column nulls and numeric min/max answered from Parquet footers.
-
-        Aggregate pushdown is a feature of the V2 Parquet source, so the read
-        switches Parquet to V2 for this one metadata query and restores the
-        session settings afterwards.
-        """
-        confs = {"spark.sql.parquet.aggregatePushdown": "true",
-                 "spark.sql.sources.useV1SourceList": ",".join(
-                     x for x in self.spark.conf.get("spark.sql.sources.useV1SourceList", "").split(",")
-                     if x.strip().lower() != "parquet")}
-        old = {k: self.spark.conf.get(k, None) for k in confs}
-        data_cols = [f for f in schema.fields if f.name not in partition_cols]
-        num = [f.name for f in data_cols if isinstance(f.dataType, _MINMAX_TYPES)]
-        for k, v in confs.items():
-            self.spark.conf.set(k, v)
+    def _file_stats(self, path: str, schema: T.StructType, partition_cols: list[str], distinct: list[str]) -> Stats:
+        """Statistics of the files of one folder."""
+        meta = self.spark.newSession()  # aggregate pushdown is a feature of the V2 Parquet source; only this session reads by it
+        meta.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+        meta.conf.set("spark.sql.sources.useV1SourceList", ",".join(
+            x for x in meta.conf.get("spark.sql.sources.useV1SourceList", "").split(",") if x.strip().lower() != "parquet"))
+        footers = meta.read.schema(schema).parquet(path)
+        data = [f for f in schema.fields if f.name not in partition_cols]
+        counts = footers.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(f"`{f.name}`")).alias(f"n{k}") for k, f in enumerate(data)]).first()
+        rows = counts["rows"]
+        nulls = {f.name: rows - counts[f"n{k}"] for k, f in enumerate(data)}
+        for c in partition_cols:  # prunes to the NULL partition's files, if any
+            nulls[c] = footers.where(F.col(f"`{c}`").isNull()).count()
+        valued = [f for f in schema.fields if nulls[f.name] < rows]
+        low, high = {f.name: None for f in schema.fields}, {f.name: None for f in schema.fields}
+
+        def ranges(df: DataFrame, fields: list[T.StructField]) -> None:
+            aggs = [g(F.col(f"`{f.name}`")).cast("string").alias(f"{n}{k}") for k, f in enumerate(fields) for g, n in ((F.min, "lo"), (F.max, "hi"))]
+            row = df.agg(*aggs).first() if aggs else None
+            for k, f in enumerate(fields):
+                low[f.name], high[f.name] = row[f"lo{k}"], row[f"hi{k}"]
+
+        scan = [f for f in valued if isinstance(f.dataType, _SCAN_TYPES) or (f.name in partition_cols and isinstance(f.dataType, _FOOTER_TYPES))]
+        footed = [f for f in valued if isinstance(f.dataType, _FOOTER_TYPES) and f.name not in partition_cols]
         try:
-            df = self.spark.read.schema(schema).parquet(path)
-            aggs = [F.count(F.lit(1)).alias("__rows")]
-            aggs += [F.count(F.col(f.name)).alias(f"n::{f.name}") for f in data_cols]
-            aggs += [F.min(F.col(c)).alias(f"lo::{c}") for c in num] + [F.max(F.col(c)).alias(f"hi::{c}") for c in num]
-            row = df.agg(*aggs).first()
-            n = int(row["__rows"])
-            nulls = {f.name: n - int(row[f"n::{f.name}"]) for f in data_cols}
-            for c in partition_cols:  # prunes to the NULL partition's files, if any
-                nulls[c] = df.where(F.col(c).isNull()).count()
-        finally:
-            for k, v in old.items():
-                if v is None:
-                    self.spark.conf.unset(k)
-                else:
-                    self.spark.conf.set(k, v)
-        lo = {c: None if row[f"lo::{c}"] is None else float(row[f"lo::{c}"]) for c in num}
-        hi = {c: None if row[f"hi::{c}"] is None else float(row[f"hi::{c}"]) for c in num}
-        return n, nulls, lo, hi
+            ranges(footers, footed)
+        except Exception:  # noqa: BLE001 - some file has no value of a column, so its footer has no range
+            scan += footed
+        plain = self.spark.read.schema(schema).option("basePath", path).parquet(path)
+        ranges(plain, scan)
+        found = plain.agg(*[F.hll_sketch_agg(F.col(f"`{c}`").cast("string")).alias(f"s{k}") for k, c in enumerate(distinct)]).first() if distinct else None
+        return Stats(rows, nulls, low, high, {c: bytes(found[f"s{k}"]) for k, c in enumerate(distinct)})
 
     def _summary(self, path: str) -> tuple[int | None, int | None]:
         jvm = getattr(self.spark, "_jvm", None)
@@ -234,60 +292,52 @@ class SnapshotCatalog:
     # ---------------------------------------------------------- write ---
     def write(self, df: DataFrame, table: str, mode: str = "overwrite",
               properties: dict[str, str] | None = None,
-              partition_by: list[str] | None = None) -> dict:
-        """Commit ``df`` as a new snapshot (S1 overwrite, S2 append, S18 partitioned)."""
+              partition_by: list[str] | None = None, distinct: list[str] | None = None) -> dict:
+        """Commit ``df`` as a new snapshot (S1 overwrite, S2 append, S18 partitioned).
+
+        Partitioned data is dealt by its partition columns first, large partitions to several tasks (rebalance), so a task does
+        not open a file per partition.  ``distinct``: columns to sketch the distinct values of.  Whatever fails, the data
+        write or what follows it, leaves an error row and ends the lineage run.
+        """
         if mode not in ("overwrite", "append"):
             raise ValueError(f"unknown mode {mode!r}")
         ident = self.identifier(table)
-        sid, prev = self._next_id(ident)
+        sid, current = self._next_id(ident)
+        prev = current if mode == "append" else None
         path = f"{self._table_dir(ident)}/snapshot-{sid:08d}"
         partition_by = list(partition_by or [])
-        run = None
-        if self.lineage is not None:
-            run = self.lineage.start(f"write_{ident}", inputs=[], facets={"mode": mode})
-        base = {"table_identifier": ident, "snapshot_id": sid, "parent_id": prev["snapshot_id"] if prev else None,
-                "operation": mode, "committed_at": _dt.datetime.now(),
-                "schema_json": df.schema.json(), "partition_cols": partition_by,
+        base = {"table_identifier": ident, "snapshot_id": sid, "parent_id": current["snapshot_id"] if current else None,
+                "operation": mode, "schema_json": df.schema.json(), "partition_cols": partition_by,
                 "properties": {k: str(v) for k, v in (properties or {}).items()}}
-        if mode == "append" and prev is not None:
-            _merge_schemas(T.StructType.fromJson(json.loads(prev["schema_json"])), df.schema)  # raises on conflict
+        run = self.lineage.start(f"write_{ident}", inputs=[], facets={"mode": mode}) if self.lineage is not None else None
         try:
-            writer = df.write.mode("errorifexists")
+            schema = df.schema if prev is None else _merge_schemas(T.StructType.fromJson(json.loads(prev["schema_json"])), df.schema)
+            writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("errorifexists")
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
             writer.parquet(path)
+            added = self._file_stats(path, df.schema, partition_by, list(distinct or []))
+            files, size = self._summary(path)
+            total = added if prev is None else merge_stats(self.spark, stats_of(prev), added, schema)
+            dirs = [*(dir_specs(prev) if prev is not None else []), (path, tuple(partition_by))]
+            self._append_log({**base, "status": "committed", "committed_at": _dt.datetime.now(), "schema_json": schema.json(),
+                              "data_dirs": [d for d, _ in dirs], "dir_partitions": [list(p) for _, p in dirs], "row_count": total.rows,
+                              "added_rows": added.rows, "added_files": files, "added_bytes": size, "null_counts": total.nulls,
+                              "min_values": total.low, "max_values": total.high, "sketches": total.sketches})
         except Exception as exc:
-            self._append_log({**base, "status": "error", "error": "".join(
-                traceback.format_exception_only(type(exc), exc)).strip()})
-            if run is not None:
-                self.lineage.fail(run, exc)
+            try:
+                self._append_log({**base, "status": "error", "committed_at": _dt.datetime.now(), "error": "".join(
+                    traceback.format_exception_only(type(exc), exc)).strip()})
+            finally:
+                if run is not None:
+                    self.lineage.fail(run, exc)
             raise
-        added, nulls, lo, hi = self._footer_stats(path, df.schema, partition_by)
-        files, size = self._summary(path)
-        dirs = [path]
-        total = added
-        if mode == "append" and prev is not None:
-            row_schema = _merge_schemas(T.StructType.fromJson(json.loads(prev["schema_json"])), df.schema)
-            base["schema_json"] = row_schema.json()
-            dirs = list(prev["data_dirs"]) + [path]
-            total = (prev["row_count"] or 0) + added
-            old_nulls = prev["null_counts"] or {}
-            nulls = {c: nulls.get(c, 0) + int(old_nulls.get(c, 0)) for c in set(nulls) | set(old_nulls)}
-        if mode == "append" and prev is not None:
-            plo, phi = prev["min_values"] or {}, prev["max_values"] or {}
-            lo = {c: min(x for x in (v, plo.get(c)) if x is not None) if (v is not None or plo.get(c) is not None)
-                  else None for c, v in lo.items()}
-            hi = {c: max(x for x in (v, phi.get(c)) if x is not None) if (v is not None or phi.get(c) is not None)
-                  else None for c, v in hi.items()}
-        row = {**base, "status": "committed", "data_dirs": dirs, "row_count": total,
-               "added_rows": added, "added_files": files, "added_bytes": size, "null_counts": nulls,
-               "min_values": lo, "max_values": hi}
-        self._append_log(row)
         if run is not None:
-            self.lineage.complete(run, outputs=[f"snapshot://{ident}"],
-                                  facets={"snapshot_id": str(sid), "rows": str(added)})
-        return {"table_identifier": ident, "snapshot_id": sid, "path": path, "row_count": total,
-                "added_rows": added, "files": files, "bytes": size, "status": "committed"}
+            self.lineage.complete(run, outputs=[f"snapshot://{ident}"], facets={WRITE_FACET: {
+                "table_identifier": ident, "mode": mode, "count": added.rows, "snapshot_id": sid,
+                "schema": [{"name": f.name, "type": f.dataType.simpleString()} for f in df.schema.fields]}})
+        return {"table_identifier": ident, "snapshot_id": sid, "path": path, "row_count": total.rows,
+                "added_rows": added.rows, "files": files, "bytes": size, "status": "committed"}
 
     def create_table(self, table: str, df: DataFrame, properties: dict[str, str] | None = None) -> dict:
         """S3: create (or replace) a table from a DataFrame."""
@@ -305,7 +355,8 @@ class SnapshotCatalog:
             "data_dirs": list(target["data_dirs"]), "schema_json": target["schema_json"],
             "partition_cols": list(target["partition_cols"] or []), "row_count": target["row_count"],
             "added_rows": 0, "added_files": 0, "added_bytes": 0, "null_counts": target["null_counts"],
-            "min_values": target["min_values"], "max_values": target["max_values"],
+            "min_values": target["min_values"], "max_values": target["max_values"], "sketches": target["sketches"],
+            "dir_partitions": [list(p) for _, p in dir_specs(target)],
             "properties": {**(target["properties"] or {}), "rollback_to": str(snapshot_id)}})
         return {"table_identifier": ident, "snapshot_id": sid, "rollback_to": snapshot_id}
 
@@ -316,23 +367,48 @@ class SnapshotCatalog:
         ident = self.identifier(table)
         row = self._latest_row(ident, snapshot_id, as_of)
         schema = T.StructType.fromJson(json.loads(row["schema_json"]))
-        dirs = list(row["data_dirs"])
-        parts = list(row["partition_cols"] or [])
-        if parts:
-            # Partitioned folders are separate roots: one scan each (partition
-            # pruning applies per scan), then a union.
-            df = None
-            for d in dirs:
-                one = self.spark.read.schema(schema).option("basePath", d).parquet(d).select(*schema.fieldNames())
-                df = one if df is None else df.unionByName(one)
-        else:
-            df = self.spark.read.schema(schema).parquet(*dirs).select(*schema.fieldNames())
+        df = None
+        for one in self._scans(dir_specs(row), schema):
+            one = one.select(*[f"`{c}`" for c in schema.fieldNames()])
+            df = one if df is None else df.unionByName(one)
         if where is not None:
             df = df.where(where)
         if columns is not None:
             df = df.select(*columns)
         return df
 
+    def _scans(self, dirs: list[tuple[str, tuple[str, ...]]], schema: T.StructType) -> list[DataFrame]:
+        """One scan of all unpartitioned folders, and one, with its own partition pruning, of each partitioned folder."""
+        flat = [d for d, parts in dirs if not parts]
+        out = [self.spark.read.schema(schema).parquet(*flat)] if flat else []
+        return out + [self.spark.read.schema(schema).option("basePath", d).parquet(d) for d, parts in dirs if parts]
+
+    def read_all(self, table: str, snapshot_ids: list[int] | None = None, tag: str = "snapshot_id") -> DataFrame:
+        """The rows of many snapshots (by default all), each with its snapshot's id, evolved schemas merged.
+
+        Every folder is read once, however many snapshots hold it: the file's path tells the folder, a table of (folder, snapshot)
+        the snapshots.  The number of scans does not grow with the number of snapshots.
+        """
+        ident = self.identifier(table)
+        log = self.committed().where(F.col("table_identifier") == ident)
+        if snapshot_ids is not None:
+            log = log.where(F.col("snapshot_id").isin([int(i) for i in snapshot_ids]))
+        rows = log.orderBy("snapshot_id").collect()
+        if not rows or (snapshot_ids is not None and len(rows) < len(set(snapshot_ids))):
+            raise SnapshotNotFoundError(f"Table {ident} lacks some of the snapshots {snapshot_ids}")
+        schema = T.StructType.fromJson(json.loads(rows[0]["schema_json"]))
+        for row in rows[1:]:
+            schema = _merge_schemas(schema, T.StructType.fromJson(json.loads(row["schema_json"])))
+        held = [(d.rsplit("/", 1)[1], row["snapshot_id"]) for row in rows for d, _ in dir_specs(row)]
+        of = self.spark.createDataFrame(held, f"_folder string, `{tag}` bigint")
+        of = F.broadcast(of) if len(held) <= FOLDER_ROWS else of
+        folder = F.regexp_extract("_metadata.file_path", r"/(snapshot-\d{8,})/", 1).alias("_folder")
+        out = None
+        for one in self._scans(sorted({s for row in rows for s in dir_specs(row)}), schema):
+            one = one.select(*[f"`{c}`" for c in schema.fieldNames()], folder)
+            out = one if out is None else out.unionByName(one)
+        return out.join(of, "_folder").drop("_folder")
+
     def snapshot_ids(self, table: str) -> list[int]:
         ident = self.identifier(table)
         return [r["snapshot_id"] for r in self.committed().where(F.col("table_identifier") == ident)
@@ -351,13 +427,16 @@ def tagged_union(frames: dict[int, DataFrame], tag: str = "snapshot_id") -> Data
 
 
 def profile(log_row_df: DataFrame) -> DataFrame:
-    """One row per column: nulls, min and max (numeric), from the commit record."""
-    return log_row_df.select(
-        "table_identifier", "snapshot_id", "row_count",
-        F.explode("null_counts").alias("column_name", "null_count"), "min_values", "max_values").select(
-        "table_identifier", "snapshot_id", "row_count", "column_name", "null_count",
-        F.col("min_values").getItem(F.col("column_name")).alias("min_value"),
-        F.col("max_values").getItem(F.col("column_name")).alias("max_value"))
+    """One row per column: nulls, range as text and, for numbers, as numbers, and the estimated distinct values, from the commit record."""
+    types = F.map_from_entries(F.transform(F.from_json("schema_json", "struct<fields: array<struct<name: string, type: variant>>>").getField("fields"),
+                                           lambda f: F.struct(f["name"], F.try_variant_get(f["type"], "$", "string"))))
+    row = log_row_df.select("table_identifier", "snapshot_id", "row_count", F.explode("null_counts").alias("column_name", "null_count"),
+                            "min_values", "max_values", "sketches", types.alias("types"))
+    numeric = F.col("types")[F.col("column_name")].rlike("^(byte|short|integer|long|float|double|decimal.*)$")
+    low, high = (F.col(c)[F.col("column_name")] for c in ("min_values", "max_values"))
+    return row.select("table_identifier", "snapshot_id", "row_count", "column_name", "null_count", low.alias("min_text"), high.alias("max_text"),
+                      F.when(numeric, low.try_cast("double")).alias("min_value"), F.when(numeric, high.try_cast("double")).alias("max_value"),
+                      F.hll_sketch_estimate(F.col("sketches")[F.col("column_name")]).alias("distinct_values"))
 
 
 def schema_table(log_rows: DataFrame) -> DataFrame:
@@ -373,13 +452,9 @@ def sample_rows(df: DataFrame, by: list[str], order: list[str], n: int) -> DataF
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
 
 
-def snapshot_rates(frames: dict[int, DataFrame], target: str, by: list[str] | None = None) -> DataFrame:
-    """Row count and target rate per snapshot (and optional grouping)."""
-    keys = ["snapshot_id"] + list(by or [])
-    return (tagged_union({k: v.select(*(list(by or []) + [target])) for k, v in frames.items()})
-            .groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("rows"),
-                 F.avg(F.col(target).cast("int")).alias("target_rate")))
+def snapshot_rates(tagged: DataFrame, target: str, by: list[str] | None = None) -> DataFrame:
+    """Row count and target rate per snapshot (and optional grouping) of ``read_all``."""
+    return tagged.groupBy("snapshot_id", *(by or [])).agg(F.count(F.lit(1)).alias("rows"), F.avg(F.col(target).cast("int")).alias("target_rate"))
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:

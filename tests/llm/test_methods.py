@@ -187,6 +187,10 @@ def test_packing_round_trip(spark):
         assert at <= 1024
         used += at
     assert used / (1024 * len(sequences)) > 0.98
+    ends = packing._vocabulary(public_tokenizers.path("byte_bpe_50k.json")).ends
+    last = [max(own, key=lambda r: r.offset) for own in sequences.values()]
+    kinds = ["document" if r.start + r.length == r.doc_tokens else "sentence" if ends[ids[r.doc_id][r.start + r.length - 1]] else "inside" for r in last]
+    assert kinds.count("inside") < 0.1 * len(kinds) and kinds.count("document") > 0.05 * len(kinds)
 
 
 def test_cuts_are_optimal():

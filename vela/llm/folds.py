@@ -1,8 +1,10 @@
-"""Bounded samples of labelled rows for the trained operators, and free column names."""
+"""Bounded samples of labelled rows for the trained operators, free column names, and the release of finished plans' files."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import gc
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,3 +32,9 @@ def unused(rows: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def release(spark: SparkSession) -> None:
+    """Has Spark delete the shuffle and checkpoint files of plans that nothing refers to any more: its cleaner does so when the driver collects garbage, by itself every half hour."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from .components import components
-from .folds import unused
+from .folds import release, unused
 from .idbitmap import bitmap, held, position
 from .textbatch import LOWER, SPACE, chunks, combine, mix, run_hashes, runs
 
@@ -290,8 +290,10 @@ def linked_components(docs: DataFrame, rows: DataFrame) -> DataFrame:
     first = sided.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= FIRST).select("a", "b").distinct()
     tried = _confirmed(first, sets)
     found = components(_links(tried))
+    release(docs.sparkSession)
     more = _confirmed(_untried(candidates(rows, NEIGHBOURS, found), tried), sets)
     found = components(_joined(found, more))
+    release(docs.sparkSession)
     crowd = crowded(rows, found)
     if crowd.isEmpty():
         return found

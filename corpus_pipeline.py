@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from vela.llm import mixing, near_dedup, packing, quality_rules, secrets
+from vela.llm.folds import release
 from vela.session import ensure_checkpoint_dir, scratch_path
 
 
@@ -21,22 +22,26 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
     ensure_checkpoint_dir(spark)
+    release(spark)  # of the stage before
     return near_dedup.filter_docs(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their secrets replaced."""
+    release(spark)  # of the stage before
     return secrets.redact(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     ensure_checkpoint_dir(spark)
+    release(spark)  # of the stage before
     return mixing.mix(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences."""
+    release(spark)  # of the stage before
     return packing.pack(docs)
 
 

@@ -81,3 +81,48 @@ def test_late_events_are_counted(spark):
         ST.event_counters_stream(spark, src, spark.read.parquet(src).schema, sink, ck).awaitTermination()
     rows = ST.fold_counters(spark.read.parquet(sink), ["window_start", "event_type"]).collect()
     assert sorted((r.window_start.day, r.requests, r.mean_value) for r in rows) == [(1, 2, 1.0), (2, 2, 2.0)]
+
+
+def _bfs(pairs, seeds):
+    out = {}
+    for origin in seeds:
+        front, depth = {origin}, 0
+        while front:
+            depth += 1
+            front = {b for a, b in pairs if a in front and (origin, b) not in out}
+            out |= {(origin, b): depth for b in front}
+    return out
+
+
+def _impact(spark, pairs, seeds, direction="downstream"):
+    got = L.impact(_io(spark, pairs), spark.createDataFrame([(s,) for s in seeds], "origin string"), direction)
+    rows = [(r.origin, r.node, r.depth) for r in got.collect()]
+    assert len(rows) == len({r[:2] for r in rows})
+    return {r[:2]: r[2] for r in rows}
+
+
+def test_impact_of_a_long_chain_and_a_large_ring_takes_few_rounds(spark):
+    from vela.operators import reach as R
+    chain = [(f"d{k}", f"d{k + 1}") for k in range(70)]
+    ring = [(f"r{k}", f"r{(k + 1) % 1000}") for k in range(1000)]
+    pairs = [*chain, *ring, ("d35", "r10"), ("r500", "tail")]
+    seeds = ["d0", "r700", "r700", "nowhere"]
+    assert _impact(spark, pairs, seeds) == _bfs(pairs, seeds)
+    edges = spark.createDataFrame(pairs, "src string, dst string").withColumn("length", F.lit(1))
+    short, _ = R.condense(edges, spark.createDataFrame([(s,) for s in seeds], "node string"))
+    assert short.count() <= 8  # what stands between the seeds, the junctions and the ends
+
+
+def test_impact_equals_search_on_random_graphs(spark):
+    import random
+    rnd = random.Random(5)
+    pairs = [(f"n{rnd.randrange(30)}", f"n{rnd.randrange(30)}") for _ in range(40)]
+    pairs += [("n29", "x0"), *[(f"x{k}", f"x{k + 1}") for k in range(8)], ("n1", "n1"), ("x3", "n2")]
+    seeds = ["n0", "n1", "x2"]
+    assert _impact(spark, pairs, seeds, "upstream") == _bfs([(b, a) for a, b in pairs], seeds)
+
+
+def test_impact_without_edges_or_seeds_and_with_null_names(spark):
+    assert _impact(spark, [("a", "b")], []) == {}
+    assert _impact(spark, [], ["a"]) == {}
+    assert _impact(spark, [("a", None), (None, "c"), ("a", "b")], ["a", None]) == {("a", "b"): 1}

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from .reach import reach
 from .sequence import next_within
 from .versions import version_key
 
@@ -443,6 +444,22 @@ def closure(io: DataFrame, direction: str = "downstream", seeds: DataFrame | Non
     return out
 
 
+def dataset_edges(io: DataFrame, direction: str = "downstream") -> DataFrame:
+    """(src, dst): distinct datasets that some run links, from inputs to outputs or, ``upstream``, back."""
+    ins = io.where(F.col("side") == "input").select(F.col("name").alias("a"), "run_id").distinct()
+    outs = io.where(F.col("side") == "output").select(F.col("name").alias("b"), "run_id").distinct()
+    src, dst = ("a", "b") if direction == "downstream" else ("b", "a")
+    return ins.join(outs, "run_id").select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct()
+
+
+def impact(io: DataFrame, seeds: DataFrame, direction: str = "downstream") -> DataFrame:
+    """(origin, node, depth) for every dataset that the datasets ``seeds`` (origin) lead to or, ``upstream``, come from.
+
+    Long chains and cycles are condensed first (see ``reach``); the result holds pairs of the seeds only.
+    """
+    return reach(dataset_edges(io, direction), seeds)
+
+
 # ------------------------------------------------------------- emitter ---
 
 class LineageLog:

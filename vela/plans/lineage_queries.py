@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import lineage as L
-from ..operators.sequence import sequence_within
+from ..operators.sequence import next_within, sequence_within
 from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import tables as TB
 from .catalog import register, round_doubles
@@ -309,6 +309,42 @@ def lineage_upstream(spark: SparkSession, sf: str) -> DataFrame:
     return _closure(spark, sf, "upstream")
 
 
+@register("lineage_impact", _q(
+    ", e AS (SELECT DISTINCT o.name AS src, i.name AS dst FROM io i JOIN io o ON i.run_id = o.run_id AND i.side = 'input' AND o.side = 'output'),"
+    " final AS (SELECT run_id, arg_max(event_type, (event_time, phase, event_type)) AS status FROM ev GROUP BY run_id),"
+    " s AS (SELECT DISTINCT name FROM io JOIN final USING (run_id) WHERE side = 'input' AND namespace = 'model' AND status = 'FAIL'),"
+    " r AS (SELECT * FROM (WITH RECURSIVE r(origin, node, depth) AS (SELECT src, dst, 1 FROM e JOIN s ON src = name UNION"
+    " SELECT r.origin, e.dst, r.depth + 1 FROM r JOIN e ON r.node = e.src) SELECT * FROM r))"
+    " SELECT origin, node, min(depth) AS depth FROM r GROUP BY origin, node"))
+def lineage_impact(spark: SparkSession, sf: str) -> DataFrame:
+    """Every dataset that the models of failed runs come from."""
+    ensure_checkpoint_dir(spark)
+    ev = _events(spark, sf)
+    io = L.run_io(ev).drop("facets").checkpoint()
+    failed = L.runs(ev).where("status = 'FAIL'").select("run_id")
+    models = io.where("side = 'input' AND namespace = 'model'").join(failed, "run_id", "left_semi")
+    return L.impact(io, models.select(F.col("name").alias("origin")), "upstream")
+
+
+@register("lineage_impact_rings", (
+    "WITH o AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderstatus AS st, count(*) OVER (PARTITION BY o_custkey) AS n,"
+    " row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS pos FROM orders)"
+    " SELECT concat('order://', a.k) AS origin, concat('order://', b.k) AS node, cast((b.pos - a.pos + a.n - 1) % a.n + 1 AS integer) AS depth"
+    " FROM o a JOIN o b ON a.c = b.c WHERE a.st = 'P'"))
+def lineage_impact_rings(spark: SparkSession, sf: str) -> DataFrame:
+    """Rings of runs, one per customer, each reading an order and writing the next, the last one the first; seeds: the open orders."""
+    ensure_checkpoint_dir(spark)
+    orders = TB.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    name = lambda key: F.concat(F.lit("order://"), key.cast("string"))
+    first = orders.groupBy("o_custkey").agg(F.min("o_orderkey").alias("first_key"))
+    linked = (next_within(orders, ["o_custkey"], "o_orderkey", [], ["o_orderkey"]).join(first, "o_custkey")
+              .withColumn("to", F.coalesce("next_o_orderkey", "first_key")).checkpoint())
+    io = linked.select(F.col("o_orderkey").cast("string").alias("run_id"), F.explode(F.array(
+        F.struct(F.lit("input").alias("side"), name(F.col("o_orderkey")).alias("name")),
+        F.struct(F.lit("output").alias("side"), name(F.col("to")).alias("name")))).alias("d")).select("run_id", "d.*")
+    return L.impact(io, linked.where("o_orderstatus = 'P'").select(name(F.col("o_orderkey")).alias("origin")))
+
+
 # ---------------------------------------------------------------- L16 ---
 @register("lineage_provenance", _q(
     " SELECT o.name AS model, o.version AS model_version, i.name AS trained_on, i.version AS data_version, o.run_id FROM stored o"

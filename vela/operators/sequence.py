@@ -105,3 +105,20 @@ def next_within(df: DataFrame, key: Sequence[str], order: str, tiebreak: Sequenc
             .alias(f"{prefix}{c}") for c in cols]
     keep = [c for c in df.columns]
     return j.select(*keep, *outs)
+
+
+def max_before(df: DataFrame, key: Sequence[str], order: str, tiebreak: Sequence[str], value: str, out: str,
+               buckets: int | None = None) -> DataFrame:
+    """Largest ``value`` of the rows that come before each row of its key (NULL: none), values of any orderable type.
+
+    A key is split over order ranges: each range takes the running maximum of its own rows and that of the
+    ranges before it, from a table with one row per (key, range).
+    """
+    key = list(key)
+    b = range_parts(df, key, order, tiebreak, buckets)
+    earlier = Window.partitionBy(*key, "_bkt").orderBy(order, *tiebreak).rowsBetween(Window.unboundedPreceding, -1)
+    local = b.withColumn("_local", F.max(value).over(earlier))
+    tops = b.groupBy(*key, "_bkt").agg(F.max(value).alias("_top"))
+    ranges = Window.partitionBy(*key).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    before = tops.select(*key, "_bkt", F.max("_top").over(ranges).alias("_before"))
+    return (_joined(local, before, key, "inner").withColumn(out, F.greatest("_before", "_local")).select(*df.columns, out))

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, spread
 from . import features as FE
 from . import metrics as M
+from .versions import get_version
 
 # ---------------------------------------------------------------------------
 # The reference trainer's default hyperparameters per model type.
@@ -246,3 +247,11 @@ def save(model: PipelineModel, path: str) -> None:
 
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def load_version(log: DataFrame, model_name: str, version: str | None = None) -> PipelineModel:
+    """R2 + T14: the saved model of a registered version (newest by default)."""
+    row = get_version(log, model_name, version).first()
+    if row["path"] is None:
+        raise ValueError(f"{model_name!r} {row['model_version']} was registered without a path")
+    return load(row["path"])

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .sequence import sequence_within
+from .sequence import max_before, sequence_within
 
 REGISTRY_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType(), False),
@@ -32,8 +32,19 @@ REGISTRY_SCHEMA = T.StructType([
     T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType()), True),
     T.StructField("deployment_id", T.StringType(), True),
     T.StructField("status", T.StringType(), True),
+    T.StructField("path", T.StringType(), True),            # folder of the saved model
+    T.StructField("tags", T.ArrayType(T.StringType()), True),
+    T.StructField("model_type", T.StringType(), True),
+    T.StructField("feature_columns", T.ArrayType(T.StringType()), True),
+    T.StructField("target_column", T.StringType(), True),
+    T.StructField("training_duration_s", T.DoubleType(), True),
+    T.StructField("deployment_name", T.StringType(), True),
+    T.StructField("config", T.MapType(T.StringType(), T.StringType()), True),
 ])
+RECORD = ["ts", "description", "training_samples", "test_samples", "hyperparameters", "metrics", "path", "tags", "model_type",
+          "feature_columns", "target_column", "training_duration_s"]
 
+CREATED = "created"  # status of a new deployment
 KNOWN_METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc"]
 
 
@@ -65,14 +76,14 @@ def get_version(log: DataFrame, model_name: str, version: str | None = None) ->
     """R2 with its three errors: unknown model, no versions, unknown version."""
     reg = log.where((F.col("kind") == "register") & (F.col("model_name") == model_name))
     if not reg.limit(1).count():
-        raise VersionNotFoundError(f"Model {model_name} not found in registry")
+        raise VersionNotFoundError(f"{model_name!r}: not found in registry")
     if version is None:
         version = latest_versions(reg).first()["latest_version"]
         if version is None:
-            raise VersionNotFoundError(f"No versions found for model {model_name}")
+            raise VersionNotFoundError(f"{model_name!r} has no registered version")
     row = registrations(reg.where(F.col("model_version") == version))
     if not row.limit(1).count():
-        raise VersionNotFoundError(f"Version {version} not found for model {model_name}")
+        raise VersionNotFoundError(f"Version {version} of {model_name!r} is not registered")
     return row
 
 
@@ -80,7 +91,7 @@ def registrations(log: DataFrame) -> DataFrame:
     """Current registration record per (model, version) (re-register overwrites)."""
     reg = log.where(F.col("kind") == "register")
     return current_state(reg, ["model_name", "model_version"],
-                         ["ts", "description", "training_samples", "test_samples", "hyperparameters", "metrics"])
+                         [c for c in RECORD if c in log.columns])
 
 
 def stages(log: DataFrame) -> DataFrame:
@@ -115,13 +126,42 @@ def list_models(log: DataFrame) -> DataFrame:
         F.min("ts").alias("first_registered"), F.max("ts").alias("last_registered"))
 
 
+def compare_long(log: DataFrame, requested: DataFrame) -> DataFrame:
+    """R5 in long form for any number of models: (model_name, model_version, known, kind, name, value).
+
+    ``requested`` (model_name, model_version) may be a table of any size.  A version that is not registered gives one row with
+    ``known`` false; a registered one a row of kind ``version`` per record field, ``hyperparameter`` and ``metric`` per entry.
+    Names are data here, not columns, so none is collected.
+    """
+    asked = requested.select("model_name", "model_version").distinct()
+    keys = ["model_name", "model_version"]
+    regs = registrations(log).join(stages(log), keys, "left")
+
+    def entry(kind: str, name: Column, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), name.alias("name"), value.cast("string").alias("value"))
+
+    def entries(kind: str, column: str, type_: str) -> Column:
+        pairs = F.map_entries(F.coalesce(F.col(column), F.create_map().cast(type_)))
+        return F.transform(pairs, lambda e: entry(kind, e["key"], e["value"]))
+
+    fields = F.array(*[entry("version", F.lit(c), F.col(c)) for c in ("stage", "training_samples", "test_samples")])
+    maps = [entries("hyperparameter", "hyperparameters", "map<string,string>"), entries("metric", "metrics", "map<string,double>")]
+    rows = regs.select(*keys, F.explode(F.concat(fields, *maps)).alias("e")).select(*keys, F.lit(True).alias("known"), "e.*")
+    return asked.join(rows, keys, "left").withColumn("known", F.coalesce("known", F.lit(False)))
+
+
+def unknown_versions(log: DataFrame, requested: DataFrame) -> DataFrame:
+    """Those of ``requested`` (model_name, model_version) that are not registered."""
+    known = log.where(F.col("kind") == "register").select("model_name", "model_version")
+    return requested.select("model_name", "model_version").distinct().join(known, ["model_name", "model_version"], "left_anti")
+
+
 def compare_versions(log: DataFrame, model_name: str, versions: Sequence[str] | None = None,
                      metrics: Sequence[str] = KNOWN_METRICS) -> DataFrame:
     """R5 + R6: one row per version: stage, sample counts, hp_* and metrics.
 
-    Unknown requested versions are skipped (the reference warns and skips).
-    Hyperparameter names are read from the log (a small distinct set) so
-    the pivot has an explicit value list and needs no extra planning job.
+    Requested versions that are not registered give no row here; ``unknown_versions`` and ``compare_long`` report them.
+    Hyperparameter names become columns, so those of this one model are read from the log (a small distinct set).
     """
     regs = registrations(log.where(F.col("model_name") == model_name))
     if versions is not None:
@@ -138,7 +178,7 @@ def compare_versions(log: DataFrame, model_name: str, versions: Sequence[str] |
 def deployments(log: DataFrame) -> DataFrame:
     """Current status and deployed version per deployment id."""
     dep = log.where(F.col("kind").isin("deploy", "deploy_status") & F.col("deployment_id").isNotNull())
-    status = F.when(F.col("kind") == "deploy", F.lit("created")).otherwise(F.col("status"))
+    status = F.when(F.col("kind") == "deploy", F.lit(CREATED)).otherwise(F.col("status"))
     dep = dep.select("deployment_id", "ts", "seq", status.alias("status"),
                      F.when(F.col("kind") == "deploy", F.struct("model_name", "model_version")).alias("target"))
     o = F.struct("ts", "seq")
@@ -150,6 +190,57 @@ def deployments(log: DataFrame) -> DataFrame:
         F.col("target.model_version").alias("model_version"), "events")
 
 
+def deployment_list(log: DataFrame) -> DataFrame:
+    """One row per deployment: name (the model's if none), target, creation time, current status, description, config."""
+    dep = log.where(F.col("kind").isin("deploy", "deploy_status") & F.col("deployment_id").isNotNull())
+    made = F.col("kind") == "deploy"
+    o = F.struct("ts", "seq")
+    return dep.groupBy("deployment_id").agg(
+        F.max_by(F.when(made, F.struct(F.coalesce("deployment_name", "model_name").alias("deployment_name"), "model_name", "model_version",
+                                       F.col("ts").alias("created_at"), "description", "config")), F.when(made, o)).alias("d"),
+        F.max_by(F.when(made, F.lit(CREATED)).otherwise(F.col("status")), o).alias("status")).select("deployment_id", "d.*", "status")
+
+
+def get_deployment(log: DataFrame, deployment_id: str) -> DataFrame:
+    """The row of one deployment; an id that no deployment has is an error."""
+    row = deployment_list(log.where(F.col("deployment_id") == deployment_id)).where("created_at IS NOT NULL")
+    if row.isEmpty():
+        raise VersionNotFoundError(f"No deployment has the id {deployment_id!r}")
+    return row
+
+
+def resolve_deployments(log: DataFrame) -> DataFrame:
+    """Deploy events with the version they deploy: the given one, else the newest that was registered before."""
+    reg = F.col("kind") == "register"
+    ev = log.where(reg | (F.col("kind") == "deploy")).withColumn(
+        "_newest", F.when(reg, F.struct(version_key("model_version").alias("key"), F.col("model_version").alias("version"))))
+    seen = max_before(ev, ["model_name"], "ts", ["seq"], "_newest", "_before").where(F.col("kind") == "deploy")
+    return seen.withColumn("model_version", F.coalesce("model_version", "_before.version")).select(*log.columns)
+
+
+def check_events(log: DataFrame) -> DataFrame:
+    """Every stage, deploy and status event with ``rejected``: why it cannot apply, NULL if it can.
+
+    An event applies if what it names existed before it: the version registered, the deployment created.
+    One aggregate per kind of name holds the first (ts, seq) it existed at; events join it on their key.
+    """
+    at = F.struct("ts", "seq")
+    made = F.col("kind") == "register"
+    versions = log.where(made).groupBy("model_name", "model_version").agg(F.min(at).alias("registered"))
+    models = log.where(made).groupBy("model_name").agg(F.min(at).alias("first"))
+    before = lambda c: F.coalesce(F.col(c) < F.struct("ts", "seq"), F.lit(False))
+    newest = (F.col("kind") == "deploy") & F.col("model_version").isNull()
+    named = (log.where(F.col("kind").isin("stage", "deploy")).join(versions, ["model_name", "model_version"], "left")
+             .join(models, "model_name", "left")
+             .withColumn("rejected", F.when(~before("first"), "unknown model").when(~newest & ~before("registered"), "unknown version")))
+    deps = (named.where((F.col("kind") == "deploy") & F.col("deployment_id").isNotNull() & F.col("rejected").isNull())
+            .groupBy("deployment_id").agg(F.min(at).alias("created")))
+    status = (log.where(F.col("kind") == "deploy_status").join(deps, "deployment_id", "left")
+              .withColumn("rejected", F.when(~before("created"), "unknown deployment")))
+    cols = [*log.columns, "rejected"]
+    return named.select(*cols).unionByName(status.select(*cols))
+
+
 class VersionLog:
     """R1/R7 writers: append rows to a Parquet log under a shared folder."""
 
@@ -178,14 +269,56 @@ class VersionLog:
 
     def register(self, model_name: str, model_version: str, description: str = "",
                  training_samples: int | None = None, test_samples: int | None = None,
-                 hyperparameters: dict | None = None, metrics: dict | None = None) -> None:
+                 hyperparameters: dict | None = None, metrics: dict | None = None, **record) -> None:
+        """``record``: path, tags, model_type, feature_columns, target_column, training_duration_s."""
+        unknown = set(record) - set(RECORD)
+        if unknown:
+            raise ValueError(f"no fields of a registration: {sorted(unknown)}")
         self.append(kind="register", model_name=model_name, model_version=model_version, description=description,
                     training_samples=training_samples, test_samples=test_samples,
                     hyperparameters={k: str(v) for k, v in (hyperparameters or {}).items()},
-                    metrics={k: float(v) for k, v in (metrics or {}).items() if v is not None})
+                    metrics={k: float(v) for k, v in (metrics or {}).items() if v is not None}, **record)
+
+    def append_events(self, events: DataFrame) -> DataFrame:
+        """Append a table of events (columns of the log but ``seq``) in one job; those that cannot apply are returned, not written.
+
+        Within the batch events follow their ``ts``; ``seq`` continues the log's by range-partitioned position.
+        """
+        log = self.read()
+        last = log.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+        rows = events.select(*[(F.col(f.name) if f.name in events.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                               for f in REGISTRY_SCHEMA.fields if f.name != "seq"])
+        rows = sequence_within(rows.withColumn("_all", F.lit(0)), ["_all"], "ts", out="seq").drop("_all")
+        rows = rows.withColumn("seq", F.col("seq") + F.lit(last + 1)).select(*REGISTRY_SCHEMA.names).checkpoint()
+        checked = check_events(log.unionByName(rows)).where(F.col("seq") > last).checkpoint()
+        bad = checked.where("rejected IS NOT NULL")
+        good = resolve_deployments(log.unionByName(rows)).where(F.col("seq") > last).unionByName(rows.where("kind <> 'deploy'"))
+        good.join(bad.select("seq"), "seq", "left_anti").select(*REGISTRY_SCHEMA.names).write.mode("append").parquet(self.path)
+        self._seq = None
+        return bad
 
     def set_stage(self, model_name: str, model_version: str, stage: str) -> None:
         known = self.read().where((F.col("model_name") == model_name) & (F.col("model_version") == model_version))
         if not known.limit(1).count():
-            raise VersionNotFoundError(f"Version {model_version} not found for model {model_name}")
+            raise VersionNotFoundError(f"Version {model_version} of {model_name!r} is not registered")
         self.append(kind="stage", model_name=model_name, model_version=model_version, stage=stage)
+
+    def create_deployment(self, model_name: str, model_version: str | None = None, deployment_name: str | None = None,
+                          description: str | None = None, config: dict | None = None) -> str:
+        """Deploy a version (newest by default); returns the deployment's id."""
+        now = _dt.datetime.now()
+        name = deployment_name or model_name
+        dep = f"{name}_{now.isoformat().replace(':', '-')}"
+        self._change(ts=now, kind="deploy", model_name=model_name, model_version=model_version, deployment_id=dep, deployment_name=name,
+                     description=description, config={k: str(v) for k, v in (config or {}).items()})
+        return dep
+
+    def set_deployment_status(self, deployment_id: str, status: str) -> None:
+        self._change(ts=_dt.datetime.now(), kind="deploy_status", deployment_id=deployment_id, status=status)
+
+    def _change(self, **event) -> None:
+        row = {f.name: event.get(f.name) for f in REGISTRY_SCHEMA.fields if f.name != "seq"}
+        schema = T.StructType([f for f in REGISTRY_SCHEMA.fields if f.name != "seq"])
+        bad = self.append_events(self.spark.createDataFrame([row], schema)).first()
+        if bad is not None:
+            raise VersionNotFoundError(f"{bad['rejected']}: {event.get('deployment_id') if bad['kind'] == 'deploy_status' else event['model_name']}")

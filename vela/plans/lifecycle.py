@@ -63,7 +63,8 @@ def run_lifecycle(spark: SparkSession, ids: DataFrame, version: str = "1.0.0", s
     registry.register(model_name, model_version, description=f"{model_type} on snapshot {snap['snapshot_id']}",
                       training_samples=record["training_samples"], test_samples=record["test_samples"],
                       hyperparameters=record["hyperparameters"],
-                      metrics={k: record[k] for k in ("accuracy", "precision", "recall", "f1", "roc_auc")})
+                      metrics={k: record[k] for k in ("accuracy", "precision", "recall", "f1", "roc_auc")}, path=model_path,
+                      **{k: record[k] for k in ("model_type", "feature_columns", "target_column", "training_duration_s")})
 
     scored = TR.predict(model, cat.read(table), ["CustomerId"]).withColumn(
         "model_version", F.lit(model_version))

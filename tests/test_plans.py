@@ -7,7 +7,7 @@ import pytest
 from vela.plans import catalog
 
 ROWS_ONLY_HEAVY = {"train_rf", "train_gbt", "train_lr", "train_mlp", "tune_lr", "score_two_versions",
-                   "model_roundtrip", "stream_score", "stream_event_counters", "lineage_stream", "lineage_stream_late"}
+                   "model_roundtrip", "stream_score", "stream_linear_scores", "stream_scoring_metrics", "stream_event_counters", "lineage_stream", "lineage_stream_late"}
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin",
              "FlatMapGroupsInPandas", "MapInPandas")
 

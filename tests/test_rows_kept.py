@@ -126,3 +126,21 @@ def test_impact_without_edges_or_seeds_and_with_null_names(spark):
     assert _impact(spark, [("a", "b")], []) == {}
     assert _impact(spark, [], ["a"]) == {}
     assert _impact(spark, [("a", None), (None, "c"), ("a", "b")], ["a", None]) == {("a", "b"): 1}
+
+
+def test_stored_metrics_of_a_scoring_stream_survive_a_restart(spark):
+    src, sink, metrics, ck = (scratch_path(spark, n) for n in ("src", "sink", "metrics", "ck"))
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("x", T.DoubleType())])
+    run = lambda: ST.score_batches(spark, src, schema, F.col("x"), ["id"], sink, metrics, ck, threshold=0.5,
+                                   checks=lambda: F.when(F.col("x").isNull(), "no x")).awaitTermination()
+    for lines in (['{"id":1,"x":0.25}', "broken", '{"id":2,"x":0.75}'], ['{"id":3}', '{"id":4,"x":0.5}']):
+        spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1).write.mode("append").text(src)
+        run()
+    run()  # nothing new: no batch, no count
+    got = ST.fold_metrics(ST.scoring_metrics(spark, metrics)).first()
+    assert (got.batches, got.requests, got.errors, got.positives, got.scored, got.mean_probability) == (2, 5, 2, 2, 3, 0.5)
+    assert got.mean_latency_ms > 0
+    assert {(r.id, r.prediction, r.error) for r in spark.read.parquet(sink).collect()} == {
+        (1, False, None), (2, True, None), (None, None, "broken"), (3, None, "no x"), (4, True, None)}
+    none = ST.fold_metrics(spark.createDataFrame([], ST.METRICS)).first()
+    assert (none.batches, none.requests, none.mean_probability) == (0, 0, None)

@@ -148,3 +148,48 @@ def stream_bad_records(spark: SparkSession, sf: str) -> DataFrame:
     q.awaitTermination()
     return spark.read.parquet(sink).groupBy(F.col("error").isNotNull().alias("bad")).agg(
         F.count(F.lit(1)).alias("records"), F.coalesce(F.sum("k"), F.lit(0)).alias("total"))
+
+
+# ------------------------------------------------------- V9 + A8, metered ---
+REQUEST = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("k", T.LongType()), T.StructField("amount", T.DoubleType())])
+REQUEST_MODEL = {"intercept": -1.5, "weights": {"k": 0.02, "amount": 0.01}}
+_REQUESTS_SQL = (
+    "SELECT event_id, event_id % 7 = 3 AS broken, cast(json_extract_string(props, '$.k') AS bigint) AS k,"
+    " CASE WHEN event_id % 11 <> 5 THEN value END AS amount FROM events")
+_SCORES_SQL = (
+    f"SELECT CASE WHEN NOT broken THEN event_id END AS event_id, CASE WHEN NOT broken THEN 1.0::double / (1.0::double + exp(-(-1.5::double"
+    f" + 0.02::double * k + 0.01::double * amount))) END AS probability, CASE WHEN broken THEN 'malformed' WHEN amount IS NULL THEN 'amount missing'"
+    f" END AS error FROM ({_REQUESTS_SQL})")
+
+
+def _scored_in_rounds(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """The events as JSON requests, scored by a stream that is stopped and started again; folders of scores and metrics."""
+    ensure_checkpoint_dir(spark)
+    src, sink, metrics, ck = (scratch_path(spark, n) for n in ("metered-src", "metered-scores", "metered-metrics", "metered-ckpt"))
+    ev = TB.table(spark, sf, "events").select(
+        "event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"), F.when(F.col("event_id") % 11 != 5, F.col("value")).alias("amount"))
+    line = F.to_json(F.struct("event_id", "k", "amount"))
+    lines = ev.select("event_id", F.when(F.col("event_id") % 7 == 3, F.concat(F.lit("broken "), line)).otherwise(line).alias("value"))
+    late = F.col("event_id") % 2 == 0
+    for part in (lines.where(late), lines.where(~late)):
+        part.select("value").write.mode("append").text(src)
+        ST.score_batches(spark, src, REQUEST, SC.sigmoid(SC.linear_logit(**REQUEST_MODEL)), ["event_id"], sink, metrics, ck,
+                         checks=lambda: SC.validity([(F.col("amount").isNotNull(), "amount missing")]), max_files_per_trigger=64).awaitTermination()
+    return sink, metrics
+
+
+@register("stream_linear_scores", f"SELECT event_id, round(probability, 6) AS probability, probability >= 0.5 AS prediction, error FROM ({_SCORES_SQL})")
+def stream_linear_scores(spark: SparkSession, sf: str) -> DataFrame:
+    sink, _ = _scored_in_rounds(spark, sf)
+    broken = F.col("error").startswith("broken ")
+    return spark.read.parquet(sink).select("event_id", F.round("probability", 6).alias("probability"), "prediction",
+                                           F.when(broken, "malformed").otherwise(F.col("error")).alias("error"))
+
+
+@register("stream_scoring_metrics", (
+    f"SELECT count(*) AS requests, count(error) AS errors, count_if(probability >= 0.5)::bigint AS positives, count(probability) AS scored,"
+    f" round(avg(probability), 6) AS mean_probability FROM ({_SCORES_SQL})"))
+def stream_scoring_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored metrics of all batches of both rounds equal those of the whole table."""
+    _, metrics = _scored_in_rounds(spark, sf)
+    return round_doubles(ST.fold_metrics(ST.scoring_metrics(spark, metrics)).select("requests", "errors", "positives", "scored", "mean_probability"))

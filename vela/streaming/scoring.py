@@ -8,13 +8,18 @@
 * ``event_counters_stream`` — per event-time window partial sums of every
   batch, written through ``foreachBatch`` to a folder per batch;
   ``fold_counters`` adds them up, late events included.
+* ``score_batches`` — any scoring projection, each batch's rows and its observed metrics in folders of
+  their own; ``scoring_metrics`` / ``fold_metrics`` read the metrics of all batches as a table.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable, Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -57,6 +62,55 @@ def score_stream(spark: SparkSession, source_dir: str, record_schema: T.StructTy
     return w.start()
 
 
+METRICS = T.StructType([
+    T.StructField("requests", T.LongType()), T.StructField("errors", T.LongType()), T.StructField("positives", T.LongType()),
+    T.StructField("scored", T.LongType()), T.StructField("probability_sum", T.DoubleType()),
+    T.StructField("started_at", T.DoubleType()), T.StructField("duration_ms", T.DoubleType())])
+
+
+def score_batches(spark: SparkSession, source_dir: str, record_schema: T.StructType, probability: Column, keep: Sequence[str],
+                  sink_dir: str, metrics_dir: str, checkpoint_dir: str, threshold: float = 0.5,
+                  checks: Callable[[], Column] | None = None, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """V9 + A8: score every JSON record of a growing folder and keep each batch's metrics.
+
+    Rows: ``keep``, probability, prediction, ``error`` (the malformed line, or the message of ``checks``; neither is scored).
+    The metrics are observed while the batch is written, without another pass, and stored beside it.  Both go to
+    ``batch_id=<n>`` folders that a repeated batch replaces, so a restart neither loses nor doubles a count; a query listener,
+    which hears of a batch after it is committed, would miss the last one of a lost driver.
+    """
+    raw = read_records_stream(spark, source_dir, record_schema, max_files_per_trigger)
+    message = F.col("error") if checks is None else F.coalesce(F.col("error"), checks())
+    score = F.when(F.col("error").isNull(), probability)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        started = time.time()
+        rows = (batch.withColumn("error", message).select(*keep, score.alias("probability"), "error")
+                .withColumn("prediction", F.col("probability") >= F.lit(threshold)))
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("requests"), F.count("error").alias("errors"),
+                            F.count_if("prediction").alias("positives"), F.count("probability").alias("scored"),
+                            F.coalesce(F.sum("probability"), F.lit(0.0)).alias("probability_sum"))
+        rows.write.mode("overwrite").parquet(f"{sink_dir}/batch_id={batch_id}")
+        row = seen.get | {"started_at": started, "duration_ms": 1000 * (time.time() - started)}
+        (batch.sparkSession.createDataFrame([row], METRICS).coalesce(1)
+         .write.mode("overwrite").parquet(f"{metrics_dir}/batch_id={batch_id}"))
+
+    return raw.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start()
+
+
+def scoring_metrics(spark: SparkSession, metrics_dir: str) -> DataFrame:
+    """One row per batch."""
+    return spark.read.schema(T.StructType([*METRICS.fields, T.StructField("batch_id", T.LongType())])).parquet(metrics_dir)
+
+
+def fold_metrics(metrics: DataFrame) -> DataFrame:
+    """Counts, mean probability and mean latency of a request over all batches; no batch: zero counts, NULL means."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    mean = lambda x, n: F.when(F.sum(n) > 0, F.sum(x) / F.sum(n))
+    return metrics.agg(F.count(F.lit(1)).alias("batches"), *[total(c) for c in ("requests", "errors", "positives", "scored")],
+                       mean("probability_sum", "scored").alias("mean_probability"), mean("duration_ms", "requests").alias("mean_latency_ms"))
+
+
 _EPOCH_NTZ = "1970-01-01 00:00:00"
 
 

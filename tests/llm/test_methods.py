@@ -464,6 +464,41 @@ def test_vector_search_ties_go_to_the_smaller_id(frame):
         assert found == [i for _, i in sorted((((np.array(v) - own) ** 2).sum(), i) for i, v in vectors.items() if i != q)[:10]]
 
 
+@pytest.mark.parametrize("factor", [1.0, 2.0])
+def test_vector_search_visits_few_shards_of_clustered_vectors(frame, monkeypatch, factor):
+    monkeypatch.setattr(vp_search, "SHARD_ROWS", 100)
+    rng = np.random.default_rng(3)
+    sizes = [1000, *[100] * 20]  # one cluster holds a third of all points
+    data = np.concatenate([rng.normal(0, 0.05, (n, 16)) + rng.normal(0, 1, 16) for n in sizes])
+    data = {int(i): v for i, v in zip(rng.permutation(len(data)), data)}
+    rows = frame([(i, [float(x) for x in v]) for i, v in data.items()], "vec_id bigint, embedding array<double>").checkpoint()
+    asked = rows.filter("vec_id % 50 = 0")
+    hit = 0
+    found = {}
+    for r in vp_search.search(rows, asked, 10, factor).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert set(found) == {i for i in data if i % 50 == 0}
+    for q, got in found.items():
+        want = sorted((float(np.sqrt(((v - data[q]) ** 2).sum())), i) for i, v in data.items() if i != q)[:10]
+        hit += len({i for _, i in got} & {i for _, i in want})
+        assert len(got) == 10 and (factor > 1 or [i for _, i in sorted(got)] == [i for _, i in want])
+    assert hit >= 0.9 * 10 * len(found)
+    index, cells, queries, first = vp_search.prepare(rows, asked, 10)
+    near = vp_search.walk(index, first, queries, 10, factor)
+    visits = first.select("vec_id", "shard").unionByName(vp_search.admitted(queries, cells, first, vp_search.bounds(near, 10), factor).select("vec_id", "shard"))
+    shards, compared = {}, 0
+    for r in index.collect():
+        shards.setdefault(r.shard, []).append(r.vector)
+    limit = {r.query_id: r.far for r in near.groupBy("query_id").agg({"score": "max"}).withColumnRenamed("max(score)", "far").collect()}
+    own = {(r.vec_id, r.shard) for r in first.collect()}
+    for r in visits.collect():
+        start = np.inf if (r.vec_id, r.shard) in own else limit[r.vec_id]
+        search = vp_search.Search(vp_search.Tree(np.array(shards[r.shard])), data[r.vec_id][None], 10, factor, np.array([start]))
+        compared += search.compared
+    assert compared < 0.3 * len(data) * len(found)
+    assert max(len(v) for v in shards.values()) <= 300
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.1"
     labels = {r.doc_id: r for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}

@@ -1,17 +1,21 @@
 """Nearest neighbours by vantage-point trees, one per shard, with relaxed triangle-inequality pruning.
 
-Rows are dealt to shards of about ``SHARD_ROWS`` by a hash of their vector, so equal vectors meet in one shard
-and are one point there: a point keeps its k + 1 smallest ids, the only ones that can be among any
-query's k nearest.  Each shard's tree halves the points at the median distance to a vantage point, down to leaves
+Equal vectors are one point: it keeps its k + 1 smallest ids, the only ones that can be among any query's k nearest.  Points
+are dealt to the nearest of at most ``PIVOTS`` pivots (a hash sample of the points; the origin for lengths that no pivot has),
+then cut by range of (length, pivot, distance to the pivot) into shards of about ``SHARD_ROWS``: a crowded pivot gives many shells,
+thin ones share a shard.  Each shard's tree halves the points at the median distance to a vantage point, down to leaves
 of ``LEAF`` points.  A subtree on the far side of the vantage sphere is skipped when
 
-    |distance to the vantage point - radius| * factor > distance of the k-th best found in the shard
+    |distance to the vantage point - radius| * factor > distance of the k-th best found
 
-With ``factor`` 1 that is the triangle inequality and the result is exact; larger factors skip more.  Queries are
-searched ``QUERY_BLOCK`` at a time: the block walks the tree together, each node with the queries still open there.
+With ``factor`` 1 that is the triangle inequality and the result is exact; larger factors skip more.  Queries are searched twice: first
+in the shard whose shell of their own pivot is nearest, then, with the k-th distance found there as bound, in every other shard
+that the same inequality admits, of the two bounds |distance to the pivot - shell| and half of (distance to the pivot - distance to
+the query's own pivot), since a point is no nearer to another pivot than to its own.  ``QUERY_BLOCK`` queries walk a tree together.
 
-Every (shard, query block) pair is one task group: its size is bounded by SHARD_ROWS points and QUERY_BLOCK queries,
+Every (shard, query block) pair is one task group of about SHARD_ROWS points and QUERY_BLOCK queries,
 whatever the table holds; copies of one vector beyond k + 1 are left out before a group is formed.
+How many shards a query visits depends on the data: few where vectors cluster, all of them where all distances are alike.
 A query's k best of all shards are picked by a window whose input each task has cut to k rows first.
 
 Edge cases: null, empty and zero vectors and vectors with null or non-finite components take no part; vectors meet
@@ -21,17 +25,22 @@ than k candidates gets them all; ties go to the smaller vec_id; an empty table g
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.sequence import range_parts
+
 K = 10
 FACTOR = 2.0
 SHARD_ROWS = 4096
 QUERY_BLOCK = 2048
 LEAF = 64
+PIVOTS = 64
 STEP = 1 << 21  # distances worked on at once
 ROUNDING = 1e-12  # so that rounded distances do not skip a point as near as the k-th
 
@@ -91,15 +100,20 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Search:
-    """The k + 1 nearest points of each query in one tree, of equally near ones those of the first rows."""
+    """The k + 1 nearest points of each query in one tree, of equally near ones those of the first rows.
 
-    def __init__(self, tree: Tree, queries: np.ndarray, k: int, factor: float):
-        self.tree, self.queries, self.factor = tree, queries, factor
+    Points beyond a query's ``bound`` need not be found.  ``compared`` counts the distances taken.
+    """
+
+    def __init__(self, tree: Tree, queries: np.ndarray, k: int, factor: float, bound: np.ndarray | None = None):
+        self.tree, self.queries, self.factor, self.compared = tree, queries, factor, 0
+        self.bound = np.full(len(queries), np.inf) if bound is None else bound
         self.best = np.full((len(queries), k + 1), np.inf)  # a query's own point may be among them
         self.row = np.full((len(queries), k + 1), -1)
         self._visit(tree.root, np.arange(len(queries)))
 
     def _offer(self, q: np.ndarray, rows: np.ndarray, d: np.ndarray) -> None:
+        self.compared += d.size
         keep = self.best.shape[1]
         dist = np.concatenate((self.best[q], d), axis=1)
         row = np.concatenate((self.row[q], np.broadcast_to(rows, d.shape)), axis=1)
@@ -122,21 +136,43 @@ class Search:
         first = d <= (radius + gap) / 2
         self._visit(inner, q[first])
         self._visit(outer, q[~first])
-        tau = self.best[q, -1]
+        tau = np.minimum(self.best[q, -1], self.bound[q])
         self._visit(outer, q[first & ((gap - d) * self.factor <= tau + ROUNDING * (gap + d))])
         self._visit(inner, q[~first & ((d - radius) * self.factor <= tau + ROUNDING * (radius + d))])
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float = FACTOR) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest rows of ``vectors`` for each row of ``queries`` (both vec_id, embedding)."""
-    index = points(valid(vectors), k).checkpoint()
-    asked = valid(queries).dropDuplicates(["vec_id"]).checkpoint()
-    n_points, n_asked = index.count(), asked.count()
-    shards, blocks = max(1, -(-n_points // SHARD_ROWS)), max(1, -(-n_asked // QUERY_BLOCK))
-    left = index.select(F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int").alias("shard"), "vector", "ids",
-                        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    right = asked.select(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), "vec_id", "vector",
-                         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+def dealer(pivots: list[np.ndarray]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Adds size, pivot, reach (the nearest pivot and its distance), names and away (all pivots of the vector's length)."""
+    known = {size: ([i for i, v in enumerate(pivots) if len(v) == size], np.stack([v for v in pivots if len(v) == size]))
+             for size in {len(v) for v in pivots}}
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sizes = batch["vector"].map(len)
+            for size in sizes.unique():
+                rows = batch[sizes == size]
+                names, at = known.get(size, ([-1], np.zeros((1, size))))
+                away = distances(np.stack(rows["vector"]), at)
+                near = away.argmin(axis=1)
+                yield rows.assign(size=size, pivot=np.array(names)[near], reach=away[np.arange(len(rows)), near],
+                                  names=[names] * len(rows), away=list(away))
+    return deal
+
+
+def shards_of(index: DataFrame, pivots: list[np.ndarray]) -> DataFrame:
+    """The points with size, pivot, reach and the shard each is dealt to."""
+    dealt = index.mapInPandas(dealer(pivots), "vector array<double>, ids array<bigint>, size int, pivot int, reach double,"
+                                              " names array<int>, away array<double>").drop("names", "away")
+    dealt = dealt.withColumn("first", F.col("ids")[0])
+    return range_parts(dealt, ["size", "pivot"], "reach", ["first"], max(1, -(-index.count() // SHARD_ROWS)), "shard").drop("first")
+
+
+def walk(index: DataFrame, pairs: DataFrame, asked: DataFrame, k: int, factor: float) -> DataFrame:
+    """query_id, vec_id, score: the k nearest of each (vec_id, shard, bound) pair's shard."""
+    blocks = pairs.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / F.lit(QUERY_BLOCK)).cast("int").alias("blocks"))
+    left = index.join(blocks, "shard").select(F.col("shard").alias("of"), "vector", "ids", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    right = (pairs.join(blocks, "shard").join(asked.select("vec_id", "vector"), "vec_id")
+             .select(F.col("shard").alias("of"), F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), "vec_id", "vector", "bound"))
 
     def run(own: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -147,17 +183,60 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float = F
                 mine = mine.iloc[np.argsort([i[0] for i in mine["ids"]])]
                 if not len(theirs):
                     continue
-                found = Search(Tree(np.stack(mine["vector"])), np.stack(theirs["vector"]), k, factor)
+                found = Search(Tree(np.stack(mine["vector"])), np.stack(theirs["vector"]), k, factor, theirs["bound"].to_numpy(dtype=float))
                 ids = mine["ids"].to_numpy()
                 for query, rows, dist in zip(theirs["vec_id"], found.row, found.best):
                     got = sorted((d, i) for r, d in zip(rows, dist) if r >= 0 for i in ids[r] if i != query)[:k]
                     out += [(query, i, d) for d, i in got]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    near = (left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block"))
+    return (left.groupBy("of", "block").cogroup(right.groupBy("of", "block"))
             .applyInPandas(run, "query_id bigint, vec_id bigint, score double"))
+
+
+def admitted(asked: DataFrame, cells: DataFrame, first: DataFrame, taus: DataFrame, factor: float) -> DataFrame:
+    """vec_id, shard, bound: the shards besides the first one that may hold a point as near as the bound."""
+    def within(gap: Column, size: Column) -> Column:
+        return gap * factor <= F.col("bound") + size * ROUNDING
+    far = (asked.join(taus, "vec_id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+           .select("vec_id", "size", "reach", "bound", F.explode(F.arrays_zip("names", "away")).alias("p"))
+           .select("vec_id", "size", "reach", "bound", F.col("p.names").alias("pivot"), F.col("p.away").alias("away"))
+           .filter(within((F.col("away") - F.col("reach")) / 2, F.col("away"))))
+    gap = F.greatest(F.col("low") - F.col("away"), F.col("away") - F.col("high"))
+    return (far.join(cells, ["size", "pivot"]).filter(within(gap, F.col("away") + F.col("high"))).select("vec_id", "shard", "bound").distinct()
+            .join(first.select("vec_id", "shard"), ["vec_id", "shard"], "left_anti"))
+
+
+def prepare(vectors: DataFrame, queries: DataFrame, k: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The points in shards, the shards' shells (low to high, by pivot), the queries with their pivots, and each query's first shard."""
+    distinct = points(valid(vectors), k).checkpoint()
+    pivots = [np.array(r["vector"]) for r in distinct.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(PIVOTS).collect()]
+    index = shards_of(distinct, pivots)
+    cells = index.groupBy("shard", "size", "pivot").agg(F.min("reach").alias("low"), F.max("reach").alias("high")).checkpoint()
+    asked = (valid(queries).dropDuplicates(["vec_id"])
+             .mapInPandas(dealer(pivots), "vec_id bigint, vector array<double>, size int, pivot int, reach double, names array<int>, away array<double>")
+             .checkpoint())
+    gap = F.greatest(F.lit(0.0), F.col("low") - F.col("reach"), F.col("reach") - F.col("high"))
+    first = (asked.select("vec_id", "size", "pivot", "reach").join(cells, ["size", "pivot"]).groupBy("vec_id")
+             .agg(F.min(F.struct(gap.alias("gap"), "shard")).alias("m"))
+             .select("vec_id", F.col("m.shard").alias("shard"), F.lit(float("inf")).alias("bound")))
+    return index, cells, asked, first
+
+
+def bounds(near: DataFrame, k: int) -> DataFrame:
+    """vec_id, bound: the k-th distance of queries that have found k."""
+    return near.groupBy(F.col("query_id").alias("vec_id")).agg(F.count(F.lit(1)).alias("n"), F.max("score").alias("far")).select(
+        "vec_id", F.when(F.col("n") >= k, F.col("far")).alias("bound"))
+
+
+def search(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float = FACTOR) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest rows of ``vectors`` for each row of ``queries`` (both vec_id, embedding)."""
+    index, cells, asked, first = prepare(vectors, queries, k)
+    near = walk(index, first, asked, k, factor).checkpoint()
+    rest = walk(index, admitted(asked, cells, first, bounds(near, k), factor), asked, k, factor)
     rank = F.row_number().over(W.partitionBy("query_id").orderBy("score", "vec_id"))
-    return near.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return (near.unionByName(rest).withColumn("rank", rank).filter(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
 
 
 def report(vectors: DataFrame) -> DataFrame:

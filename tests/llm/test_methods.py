@@ -440,6 +440,21 @@ def test_toxic_shares_equal_brute_force(frame):
         assert toxicity.statistic(model, pa.array([text]))[0] == pytest.approx(total / (len(seen) + toxicity.PAD), abs=1e-12)
 
 
+def test_toxic_operator_counts_bigrams_of_ordinary_texts_alone(frame, monkeypatch):
+    two = [a + b for a in "abcdefgh" for b in "ijklmnop"]
+    rows = [(f"{w} grim", 1) for w in two] + [("the grim story", 0)] * 25 + [(f"mild {w}{c} text", 0) for w in two for c in "qrstuvwxyz"]
+    _, (_, _, pairs) = toxicity.shares(frame(rows, "text string, label int"), every=True)
+    assert pairs.count() == 2 * 64 + 3 + 1 + 2 * 640  # a text's first word has a bigram too
+    tables, whole = [], toxicity.model_table
+    monkeypatch.setattr(toxicity, "model_table", lambda *a, **k: tables.append(whole(*a, **k)) or tables[-1])
+    docs = frame([(k, *rows[k % len(rows)]) for k in range(3 * len(rows))], "doc_id bigint, text string, label int")
+    assert toxicity.report(docs, docs.selectExpr("doc_id", "label AS toxic")).count() == 3 * len(rows)
+    model = toxicity.collected(tables[0])
+    owner, word = toxicity.words(next(iter(toxicity.chunks(pa.array(["the grim"])))))
+    behind, unheard = toxicity.before(owner, word)[1:], np.array([7], dtype=np.uint32)
+    assert 0 < model.values(word[1:], behind)[0] < model.values(word[1:], unheard)[0] - 0.5
+
+
 def test_toxic_order_of_words_counts_and_both_ways_of_scoring_agree(frame):
     rows = frame(TOXIC_ROWS, "text string, label int")
     table = toxicity.model_table(rows).checkpoint()

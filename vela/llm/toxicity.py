@@ -24,7 +24,8 @@ true shares, turns it into a score.
 All learned rows are counted.  Bigram rows are combined per chunk, before the shuffle and after it; no key is gathered anywhere.  The model is a table
 of the units whose clipped log ratio differs from their backoff's, as differences, so a bigram's value is the sum of up to
 three rows: it grows with the input.  Up to ``MODEL_ROWS`` rows are broadcast; a larger table is joined to the bigrams of the texts,
-with the same sums.  Bigrams that no toxic text holds are left to their word and not counted for the discount.
+with the same sums.  The operator counts the bigrams of both classes (``every``): those of ordinary texts alone have shares below their word's and count for the
+discount like any others.  Without ``every`` the functions keep to bigrams that toxic texts hold and leave others to their word.
 
 Edge cases: null and empty texts and texts without letters have a statistic of 0; null labels are not learned
 from; without learned rows of both classes all scores are 0; repeated rows count as often as they stand there; an empty table gives an empty result;
@@ -95,16 +96,16 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                                  names=["word", "before", "ordinary", "toxic"])
 
 
-def unit_counts(rows: DataFrame) -> DataFrame:
-    """(word, before, ordinary, toxic) of rows (text, label), written to the scratch folder: the bigrams of toxic texts with their occurrences,
-    and every word (before is null) with its continuation counts."""
+def unit_counts(rows: DataFrame, every: bool = False) -> DataFrame:
+    """(word, before, ordinary, toxic) of rows (text, label), written to the scratch folder: the bigrams with their occurrences (those of toxic texts,
+    or every one), and every word (before is null) with its continuation counts."""
     pairs = (rows.select("text", F.col("label").cast("bigint").alias("label"))
              .mapInArrow(_grams, "word bigint, before int, ordinary bigint, toxic bigint")
              .groupBy("word", "before").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")))
     named = pairs.groupBy("word").agg(F.lit(None).cast("int").alias("before"), F.count_if(F.col("ordinary") > 0).alias("ordinary"),
                                       F.count_if(F.col("toxic") > 0).alias("toxic"))
     folder = scratch_path(rows.sparkSession, "bigrams")
-    named.unionByName(pairs.filter("toxic > 0")).write.parquet(folder)
+    named.unionByName(pairs if every else pairs.filter("toxic > 0")).write.parquet(folder)
     return rows.sparkSession.read.parquet(folder)
 
 
@@ -123,9 +124,9 @@ def _share(discount: float, up: Column) -> Column:
             / (F.col("toxic") + F.col("ordinary") + BACKOFF))
 
 
-def shares(rows: DataFrame) -> tuple[float, list[DataFrame]]:
+def shares(rows: DataFrame, every: bool = False) -> tuple[float, list[DataFrame]]:
     """The toxic share of the corpus, and tables (unit, share, up) of the stems, words and bigrams of rows (text, label): toxic shares of the units and of their backoffs."""
-    counts = unit_counts(rows)
+    counts = unit_counts(rows, every)
     named = counts.filter("before IS NULL").select("word", F.shiftrightunsigned("word", _WORD_BITS).alias("stem"), "ordinary", "toxic")
     pairs = counts.filter("before IS NOT NULL")
     stems = named.groupBy("stem").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
@@ -133,7 +134,7 @@ def shares(rows: DataFrame) -> tuple[float, list[DataFrame]]:
     stems = stems.select(F.col("stem").alias("unit"), _share(d_stem, F.lit(corpus)).alias("share"), F.lit(corpus).alias("up"))
     named = (named.join(stems.select(F.col("unit").alias("stem"), F.col("share").alias("up")), "stem")
              .select(F.col("word").alias("unit"), _share(d_word, F.col("up")).alias("share"), "up", "toxic"))
-    known = named.filter("toxic > 0").select(F.col("unit").alias("word"), F.col("share").alias("up"))
+    known = (named if every else named.filter("toxic > 0")).select(F.col("unit").alias("word"), F.col("share").alias("up"))
     pairs = pairs.join(known, "word").select(_bigram().alias("unit"), _share(d_pair, F.col("up")).alias("share"), "up")
     return corpus, [stems, named.drop("toxic"), pairs]
 
@@ -143,9 +144,9 @@ def _bigram() -> Column:
     return F.col("word").bitwiseXOR(F.col("before").cast("bigint") * F.lit(_SPREAD))
 
 
-def model_table(rows: DataFrame) -> DataFrame:
+def model_table(rows: DataFrame, every: bool = False) -> DataFrame:
     """(level, unit, extra): what a stem (0), a word (1) or a bigram (2) adds to the clipped log ratio of its backoff, where that is not 0."""
-    corpus, tables = shares(rows)
+    corpus, tables = shares(rows, every)
 
     def value(share: str) -> Column:
         return F.greatest(F.log(F.col(share) / (1 - F.col(share))) - float(np.log(corpus / (1 - corpus))) - MARGIN, F.lit(0.0))
@@ -256,7 +257,7 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     if len(rows) < 2:
         return texts.select("doc_id", held_out, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
     wide = known.hint("broadcast" if sum(rows.values()) <= LABEL_ROWS else "merge")
-    table = model_table(texts.join(wide, F.col("doc_id") == F.col("id"))).checkpoint()
+    table = model_table(texts.join(wide, F.col("doc_id") == F.col("id")), every=True).checkpoint()
     model = collected(table) if table.count() <= MODEL_ROWS else None
     picked = class_sample(known, "label", "id", PER_CLASS, rows)  # about 2 * PER_CLASS rows of two numbers: ids are distinct
     points = with_statistic(texts.join(F.broadcast(picked), F.col("doc_id") == F.col("id")), table, "x", model).select("x", "label").toPandas()

@@ -113,6 +113,19 @@ def test_impact_of_a_long_chain_and_a_large_ring_takes_few_rounds(spark):
     assert short.count() <= 8  # what stands between the seeds, the junctions and the ends
 
 
+def test_a_stretch_is_condensed_in_rounds_of_its_logarithm_and_rings_are_not_compared(spark, monkeypatch):
+    from vela.operators import reach as R
+    ring = [(f"r{k}", f"r{(k + 1) % 300}") for k in range(300)] + [(f"s{k}", f"s{(k + 1) % 5}") for k in range(5)]  # the second has no seed
+    edges = spark.createDataFrame(ring, "src string, dst string").withColumn("length", F.lit(1))
+    pins, rounds = spark.createDataFrame([("r0",), ("r7",)], "node string"), []
+    whole = type(edges).checkpoint
+    monkeypatch.setattr(type(edges), "checkpoint", lambda df, *a, **k: rounds.append(1) or whole(df, *a, **k))
+    short, removed = R.condense(edges, pins)
+    assert len(rounds) <= 20
+    assert sorted(tuple(r) for r in short.collect()) == [("r0", "r7", 7), ("r7", "r0", 293)]
+    assert sorted(r.offset for r in removed.collect()) == sorted([*range(1, 7), *range(1, 293)])
+
+
 def test_impact_equals_search_on_random_graphs(spark):
     import random
     rnd = random.Random(5)

@@ -3,11 +3,12 @@
 A breadth-first search takes one join per hop, so a long chain or ring of datasets (each read by one run and
 written by one) costs as many rounds as it has nodes.  ``reach`` condenses such stretches first:
 
-* ``condense``: a node with one way in and one way out that is no seed is replaced by an edge of summed length
-  from its predecessor to its successor.  Neighbours are never taken in one round: of adjacent ones that with
-  the smaller hash goes, about a third of every stretch, so a stretch of n nodes is gone after about log n rounds.
+* ``condense``: nodes with one way in and one way out that are no seeds are replaced by one edge of summed length for
+  each stretch of them.  Every such node points to the one before it and each round doubles how far it points, so a
+  stretch of n nodes is settled after log n rounds of one join of the nodes still open.
   A ring shrinks to a loop at its seeds; one that no seed is on and no edge enters disappears.
-* semi-naive evaluation over what is left: each round extends only pairs that are new or became shorter.
+* semi-naive evaluation over what is left: each round extends only pairs that are new or became shorter.  A seed that is
+  back at itself is not extended, so a pair can only come again at a node with several ways in: those alone are compared.
 * removed nodes come back by one join: each has one node of the condensed graph before it, at a known distance.
 
 Rounds follow the depth of the condensed graph plus the logarithm of the longest stretch.  State grows with the edges and with
@@ -29,15 +30,15 @@ def condense(edges: DataFrame, pinned: DataFrame) -> tuple[DataFrame, DataFrame]
     edges = _loops_of(edges.groupBy("src", "dst").agg(F.min("length").alias("length")), pins).checkpoint()
     removed: list[DataFrame] = []
     while True:
-        gone = _independent(edges, pins).checkpoint()
-        if gone.isEmpty():
+        inner = _inner(edges, pins).checkpoint()
+        if inner.isEmpty():
             break
+        gone = _anchored(inner)
         removed.append(gone)
-        names = gone.select("node")
-        kept = (edges.join(names.withColumnRenamed("node", "src"), "src", "left_anti")
-                .join(names.withColumnRenamed("node", "dst"), "dst", "left_anti").select("src", "dst", "length"))
-        bridges = gone.select(F.col("before").alias("src"), F.col("after").alias("dst"), (F.col("into") + F.col("out")).alias("length"))
-        edges = _loops_of(kept.unionByName(bridges).groupBy("src", "dst").agg(F.min("length").alias("length")), pins).checkpoint()
+        start = gone.select(F.col("node").alias("src"), "anchor", "offset")
+        bridged = (edges.join(inner.select(F.col("node").alias("dst")), "dst", "left_anti").join(start, "src", "left")
+                   .select(F.coalesce("anchor", "src").alias("src"), "dst", (F.col("length") + F.coalesce("offset", F.lit(0))).alias("length")))
+        edges = _loops_of(bridged.groupBy("src", "dst").agg(F.min("length").alias("length")), pins).checkpoint()
     return edges, _anchors(removed, edges)
 
 
@@ -47,33 +48,46 @@ def _loops_of(edges: DataFrame, pins: DataFrame) -> DataFrame:
     return edges.where("src <> dst").unionByName(loops)
 
 
-def _independent(edges: DataFrame, pins: DataFrame) -> DataFrame:
-    """(node, before, into, after, out): nodes to take out of their stretches, no two of them adjacent."""
-    into = (edges.groupBy(F.col("dst").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("src", "length")).alias("e"))
-            .where("n = 1").select("node", F.col("e.src").alias("before"), F.col("e.length").alias("into")))
-    out = (edges.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("dst", "length")).alias("e"))
-           .where("n = 1").select("node", F.col("e.dst").alias("after"), F.col("e.length").alias("out")))
-    inner = into.join(out, "node").join(pins, "node", "left_anti").withColumn("turn", F.struct(F.xxhash64("node"), "node"))
-    turns = inner.select("node", "turn")
-    before = turns.select(F.col("node").alias("before"), F.col("turn").alias("turn_before"))
-    after = turns.select(F.col("node").alias("after"), F.col("turn").alias("turn_after"))
-    least = inner.join(before, "before", "left").join(after, "after", "left")
-    first = F.lit(True)
-    for other in ("turn_before", "turn_after"):
-        first = first & (F.col(other).isNull() | (F.col("turn") < F.col(other)))
-    return least.where(first).select("node", "before", "into", "after", "out")
+def _inner(edges: DataFrame, pins: DataFrame) -> DataFrame:
+    """(node, before, into): the nodes of stretches, with the node before each."""
+    one, none = F.lit(1), F.lit(0)
+    ends = (edges.select(F.col("dst").alias("node"), one.alias("i"), none.alias("o"))
+            .unionByName(edges.select(F.col("src").alias("node"), none.alias("i"), one.alias("o"))))
+    names = (ends.groupBy("node").agg(F.sum("i").alias("i"), F.sum("o").alias("o")).where("i = 1 AND o = 1").select("node")
+             .join(pins, "node", "left_anti"))
+    return names.join(edges.select(F.col("dst").alias("node"), F.col("src").alias("before"), F.col("length").alias("into")), "node")
+
+
+def _anchored(inner: DataFrame) -> DataFrame:
+    """(node, anchor, offset): for each node of a stretch the node that the stretch starts behind, and how far back it is.
+
+    Each round doubles how far back the nodes still open point.  Where a round settles none, what is open lies on rings without an entry.
+    """
+    names = inner.select(F.col("node").alias("before"), F.lit(True).alias("open"))
+    found = (inner.join(names, "before", "left")
+             .select("node", F.col("before").alias("anchor"), F.col("into").alias("offset"), F.coalesce("open", F.lit(False)).alias("open")).checkpoint())
+    done, left = found.where("NOT open"), found.where("open")
+    while not left.isEmpty():
+        back = done.unionByName(left).select(F.col("node").alias("anchor"), F.col("anchor").alias("further"), F.col("offset").alias("more"), F.col("open").alias("still"))
+        step = (left.join(back, "anchor")
+                .select("node", F.col("further").alias("anchor"), (F.col("offset") + F.col("more")).alias("offset"), F.col("still").alias("open")).checkpoint())
+        settled = step.where("NOT open")
+        if settled.isEmpty():
+            break
+        done, left = done.unionByName(settled), step.where("open")
+    return done.select("node", "anchor", "offset")
 
 
 def _anchors(removed: list[DataFrame], edges: DataFrame) -> DataFrame:
     """(node, anchor, offset): for each removed node the node of the condensed graph before it.
 
-    The node before a removed one may itself go in a later round, so rounds are resolved from the last to the first.
+    The anchor of a round may itself go in a later one, so rounds are resolved from the last to the first.
     """
     done = edges.limit(0).select(F.col("src").alias("node"), F.col("dst").alias("anchor"), F.col("length").alias("offset"))
     for gone in reversed(removed):
-        later = done.select(F.col("node").alias("before"), "anchor", F.col("offset").alias("more"))
-        here = gone.join(later, "before", "left").select(
-            "node", F.coalesce("anchor", "before").alias("anchor"), (F.col("into") + F.coalesce("more", F.lit(0))).alias("offset"))
+        later = done.select(F.col("node").alias("anchor"), F.col("anchor").alias("first"), F.col("offset").alias("more"))
+        here = gone.join(later, "anchor", "left").select(
+            "node", F.coalesce("first", "anchor").alias("anchor"), (F.col("offset") + F.coalesce("more", F.lit(0))).alias("offset"))
         done = done.unionByName(here).checkpoint()
     return done
 
@@ -86,16 +100,19 @@ def reach(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     start = seeds.select("origin", F.col("origin").alias("node"), F.lit(0).cast("bigint").alias("depth"))
     known: DataFrame | None = None
     front = start
+    several = short.groupBy(F.col("dst").alias("node")).count().where("count > 1").select("node").checkpoint()
+    met = not several.isEmpty()
     while True:
         step = (front.join(short, front["node"] == short["src"])
                 .groupBy("origin", F.col("dst").alias("node")).agg(F.min(F.col("depth") + F.col("length")).alias("depth")))
-        if known is not None:
-            old = known.select(F.col("origin").alias("o"), F.col("node").alias("n"), F.col("depth").alias("d"))
+        if met and known is not None:
+            old = known.join(several, "node", "left_semi").select(F.col("origin").alias("o"), F.col("node").alias("n"), F.col("depth").alias("d"))
             step = step.join(old, (step["origin"] == old["o"]) & (step["node"] == old["n"]) & (old["d"] <= step["depth"]), "left_anti")
-        front = step.checkpoint()
-        if front.isEmpty():
+        step = step.checkpoint()
+        if step.isEmpty():
             break
-        known = front if known is None else known.unionByName(front)
+        known = step if known is None else known.unionByName(step)
+        front = step.where("node <> origin")
     if known is None:
         return start.limit(0).withColumn("depth", F.col("depth").cast("int"))
     reached = known.groupBy("origin", "node").agg(F.min("depth").alias("depth"))

@@ -1,11 +1,13 @@
 """Nested facets of both shapes, column references of filters, and the event stream's exactly-once tables."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from vela.operators import lineage as L
+from vela.plans import catalog, lineage_queries
 from vela.session import scratch_path
 
 
@@ -78,3 +80,28 @@ def test_stream_keeps_late_events_once_through_restarts(spark):
     again = scratch_path(spark, "ck")
     L.ingest_stream(spark, src, sink, again).awaitTermination()
     assert L.ingested(spark, sink).count() == 3
+
+
+def _parses(df):
+    return len(re.findall(r"Project \[from_json", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_lines_are_parsed_in_one_pass_and_bad_ones_all_kept(spark):
+    lines = [event("START"), event("START"), event("COMPLETE", time="2024-01-01T00:00:01Z"), "{broken", "{broken", event(time="never"), event(time="never")]
+    ev = parsed(spark, *lines)
+    assert sorted((r.event_type or "", r.error is None) for r in ev.select("event_type", "error").collect()) == [
+        ("", False), ("", False), ("COMPLETE", False), ("COMPLETE", False), ("COMPLETE", True), ("START", True)]
+    assert _parses(ev) == _parses(ev.where("error IS NULL")) == 1
+
+
+@pytest.mark.parametrize("name", ["lineage_run_kinds", "lineage_downstream", "lineage_upstream", "namespace_summary", "lineage_impact", "lineage_inventory",
+                                  "lineage_training_runs", "lineage_provenance", "lineage_inference_runs", "lineage_model_facets", "lineage_table_usage"])
+def test_queries_parse_their_lines_once(spark, sf, name):
+    assert _parses(catalog.queries()[name](spark, sf)) <= (name == "lineage_model_facets")  # others read the events from a scratch table
+
+
+def test_null_columns_leave_no_lines_but_malformed_ones(spark):
+    rows = [(5, None, 1, "click", "{}"), (50, "2024-01-01 00:00:00", None, "click", "{}"), (None, "2024-01-01 00:00:00", 3, "click", "{}"), (100, "2024-01-01 00:00:00", 4, "view", None)]
+    events = spark.createDataFrame(rows, "event_id bigint, ts string, user_id bigint, event_type string, props string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    got = [r.value for r in lineage_queries.event_lines(events).collect()]
+    assert None not in got and '{"eventType":"START", broken 5' in got and sum('"runId":"4-0"' in x for x in got) == 2
